@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
@@ -17,7 +17,7 @@ from ..fixed_values import (
     SERVICE_WORDS,
     TITLE_MAX_CHARS,
 )
-from .text import any_of, col, strip, text_or_blank
+from .text import any_of, bind, col, strip, text_or_blank
 
 
 def host(url: Column | str) -> Column:
@@ -50,12 +50,13 @@ def _ends_on(domain: Column, suffixes: Iterable[str], proper: bool) -> Column:
 
 def is_blocked(domain: Column | str, user_blocked: Iterable[str] = ()) -> Column:
     """Blank, on a block list (itself or a parent), or with a foreign country ending."""
-    d = F.lower(strip(text_or_blank(domain)))
-    test = text_or_blank(domain) == ""
     user = clean_block_list(user_blocked)
-    if user:
-        test = test | _ends_on(d, user, proper=False)
-    return test | _ends_on(d, BLOCKED_COUNTRY_ENDINGS, proper=True) | _ends_on(d, BLOCKED_SUFFIXES, proper=False)
+
+    def test(d: Column) -> Column:
+        listed = _ends_on(d, BLOCKED_COUNTRY_ENDINGS, proper=True) | _ends_on(d, BLOCKED_SUFFIXES, proper=False)
+        return listed | _ends_on(d, user, proper=False) if user else listed
+
+    return (text_or_blank(domain) == "") | bind(F.lower(strip(text_or_blank(domain))), test)
 
 
 def dot_suffixes(domain: Column | str) -> Column:
@@ -77,28 +78,41 @@ def name_from_host(domain: Column | str) -> Column:
     """Rough company name from a host: ending dropped, last label, title case."""
     domain = text_or_blank(domain)
     bare = F.regexp_replace(F.lower(strip(domain)), r"\.(" + any_of(NAME_ENDINGS) + r")$", "")
-    label = F.substring_index(bare, ".", -1)
-    return F.when(label == "", domain).otherwise(title_case(strip(label)))
+    return bind(
+        F.substring_index(bare, ".", -1),
+        lambda label: F.when(label == "", domain).otherwise(title_case(strip(label))),
+    )
 
 
-def name_from_title(title: Column | str, domain: Column | str) -> Column:
-    """Company name from a page title; falls back to the host when the title reads like an article."""
-    title = text_or_blank(title)
-    piece = strip(F.split(title, r"(?U)\s*[|—]\s*|\s+-\s+|\s*:\s+", 2)[0])
-    low = F.lower(piece)
-    size = F.char_length(piece)
-    looks_like_article = (
-        (title == "")
-        | (size > TITLE_MAX_CHARS)
+def _reads_like_article(piece: Column) -> Column:
+    low, size = F.lower(piece), F.char_length(piece)
+    return (
+        (size > TITLE_MAX_CHARS)
         | low.rlike("^(?:" + any_of(ARTICLE_BEGINNINGS) + ")")
         | piece.rlike(r"(?U)^\d+\s")
-        | (low.rlike(any_of(SERVICE_WORDS)) & (size > SERVICE_TITLE_MAX_CHARS))
+        | ((size > SERVICE_TITLE_MAX_CHARS) & low.rlike(any_of(SERVICE_WORDS)))
         | piece.contains("...")
     )
-    name = F.regexp_replace(piece, r"[.:,;!?]+$", "")
-    return F.when(looks_like_article | (name == ""), name_from_host(domain)).otherwise(name)
+
+
+def name_from_title(title: Column | str, domain: Column | str) -> Column:
+    """Company name from a page title; falls back to the host when the title reads like an article."""
+    piece = strip(F.split(text_or_blank(title), r"(?U)\s*[|—]\s*|\s+-\s+|\s*:\s+", 2)[0])
+    # A blank title leaves a blank piece and so a blank name.
+    name = bind(piece, lambda p: F.when(~_reads_like_article(p), F.regexp_replace(p, r"[.:,;!?]+$", "")))
+    return F.coalesce(F.nullif(name, F.lit("")), name_from_host(domain))
 
 
 def name_from_import_title(title: Column | str) -> Column:
     """Title of an import-index page without its site name."""
     return strip(F.regexp_replace(text_or_blank(title), r"(?iU)\s*-\s*ImportYeti\s*$", ""))
+
+
+def not_listed(rows: DataFrame, domain: str, row_id: str, listed: DataFrame, entry: str = "entry") -> DataFrame:
+    """Rows none of whose dot suffixes is in the list, for lists too long for an expression.
+
+    Distinct domains are tested, so a domain with a third of all rows is looked up once.
+    """
+    distinct = rows.select(domain).distinct().select(domain, F.explode(dot_suffixes(domain)).alias(entry))
+    hit = distinct.join(listed.select(entry).distinct(), entry, "left_semi").select(domain).distinct()
+    return rows.join(hit, domain, "left_anti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +15,16 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often `use` mentions it.
+
+    Catalyst copies an expression to every place that mentions it (also when it pushes filters below
+    projections); long regular-expression chains would run several times per row and outgrow the
+    generated method.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strip(c: Column | str) -> Column:
     """Trim every kind of white space (SQL `trim` only removes blanks)."""
     return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
@@ -50,9 +61,7 @@ def list_text(items: Column) -> Column:
     return F.array_join(F.sort_array(F.array_distinct(items)), ", ")
 
 
-def detect_signals(title: Column | str, snippet: Column | str) -> Column:
-    """Array of compliance signals mentioned in title and snippet, in fixed order."""
-    text = F.lower(F.concat(text_or_blank(title), F.lit(" "), text_or_blank(snippet)))
+def _signals(text: Column) -> Column:
     tests = {
         "sqep_mentioned": text.contains("sqep"),
         "otif_mentioned": text.contains("otif"),
@@ -62,6 +71,11 @@ def detect_signals(title: Column | str, snippet: Column | str) -> Column:
     return F.array_compact(F.array(*[F.when(tests[s], F.lit(s)) for s in SIGNALS]))
 
 
+def detect_signals(title: Column | str, snippet: Column | str) -> Column:
+    """Array of compliance signals mentioned in title and snippet, in fixed order."""
+    return bind(F.lower(F.concat(text_or_blank(title), F.lit(" "), text_or_blank(snippet))), _signals)
+
+
 _CODES = [code for _, code in US_STATES]
 # A text naming "west virginia" also names "virginia", which comes first in the table: leave it out.
 _NAMED = [(name, code) for name, code in US_STATES if name != "west virginia"]

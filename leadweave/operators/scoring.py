@@ -62,11 +62,10 @@ def best_vertical(settings: Settings) -> Column:
             v.alias("label"),
         ),
     )
-    best = F.array_max(rated)
-    return F.struct(
-        F.coalesce(best["multiplier"], F.lit(settings.unknown_multiplier)).alias("multiplier"),
-        F.coalesce(best["label"], F.lit("unknown")).alias("label"),
+    nothing = F.struct(
+        F.lit(settings.unknown_multiplier).alias("multiplier"), F.lit(0).alias("rank"), F.lit("unknown").alias("label")
     )
+    return F.coalesce(F.array_max(rated), nothing)
 
 
 def tier_of(score: Column, settings: Settings) -> Column:

@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A key holding more than 1/HOT_PARTS of all rows is hot; there are at most HOT_PARTS such keys.
 HOT_PARTS = 1000
+# Ranges for numbering rows.
+RANGES = 200
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **extra) -> SparkSession:
@@ -67,7 +69,7 @@ def row_order(df: DataFrame, order_col: str, out: str, start: int = 0) -> DataFr
     """
     stats = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.expr(f"percentile_approx({order_col}, transform(sequence(1, 199), i -> i / 200d), 10000)").alias("q"),
+        F.percentile_approx(order_col, [i / RANGES for i in range(1, RANGES)], 10000).alias("q"),
     ).first()
     cuts = sorted(set(stats["q"] or [])) if stats["n"] > 100_000 else []
     if cuts:
@@ -76,13 +78,11 @@ def row_order(df: DataFrame, order_col: str, out: str, start: int = 0) -> DataFr
     else:
         part = F.lit(0)
     marked = df.withColumn("_part", part.cast("int"))
-    counts = {r["_part"]: r["count"] for r in marked.groupBy("_part").count().collect()}  # at most 200 rows
+    counts = {r["_part"]: r["count"] for r in marked.groupBy("_part").count().collect()}  # at most RANGES rows
     shift, total = [], start
     for i in range(len(cuts) + 1):
         shift.append(total)
         total += counts.get(i, 0)
-    from pyspark.sql import Window
-
     within = F.row_number().over(Window.partitionBy("_part").orderBy(order_col))
     base = F.element_at(F.array(*[F.lit(s).cast("bigint") for s in shift]), F.col("_part") + 1)
     return marked.withColumn(out, (base + within).cast("bigint")).drop("_part")
