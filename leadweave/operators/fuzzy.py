@@ -6,15 +6,14 @@ D stays below S*(n+m) with S = 0.155. Everything below follows from that bound.
 * Keys are cut into numbered bigrams (gram, nth occurrence). A deletion destroys at most two bigrams
   of its key, an insertion at most one, so two matching keys of lengths n and m share at least
   floor(0.2675*(n+m)) bigrams, and a key of length n shares at least floor(0.4632*n) with any partner.
-* All keys order their bigrams by the same rule (rare letters first). If at least w bigrams are
-  shared, the first |G| - shared + w bigrams of both keys have w in common (prefix filtering with
-  w-element signatures). Signatures are pairs (w = 2), single bigrams only where a pair is not
-  guaranteed (keys of up to 4 characters) or not needed (keys of 64 and more).
-* Signature groups are probed with an equi join. Inside the join condition, lengths and two 64-bit
-  fingerprints (letters, bigrams) must agree: every bit that differs is a letter or bigram missing on
-  one side, so more than D (or 3 D) differing bits rule the pair out. Only survivors leave the join;
-  duplicates are dropped, then the built-in bounded `levenshtein` (never above D) and finally the
-  exact LCS decide.
+* All keys order their bigrams by the same rule, rare ones first. If at least w bigrams are shared,
+  the first |G| - shared + w bigrams of both keys have w in common (prefix filtering with w-element
+  signatures). Signatures are single bigrams for small sets. For large ones they are pairs (w = 2), and single
+  bigrams only where a pair is not guaranteed (keys of up to 4 characters) or not needed (keys of 64 and more).
+* Signature groups are probed with an equi join. Inside the join condition, lengths and fingerprints
+  (128 bits of letters, 256 bits of bigrams) must agree: every bit that differs is a letter or bigram missing on
+  one side, so more than D (or 3 D) differing bits rule the pair out; what is left meets the
+  built-in bounded `levenshtein`, never above D. Only survivors leave the join; the exact LCS decides.
 
 Nothing is capped: every bound is implied by the match condition.
 """
@@ -25,25 +24,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import is_match, lcs_length
-from ..session import HOT_PARTS, cut
+from ..session import cut
 
 SLACK = 155  # thousandths
 # Signature classes by the longer key of a pair: up to SHORT, then pairs of bigrams, then from LONG on.
 SHORT, LONG = 4, 64
-# Letters from rare to frequent take the places of blank, a, b, ..., z.
-_FROM = "zqxjkvbywgpfmucdlhrsnioate "
-_TO = " abcdefghijklmnopqrstuvwxyz"
+# Sets of keys up to this size use single-bigram signatures.
+SMALL_SET = 30_000
+# Bigrams whose frequency orders the prefixes; all others count as rare.
+RANKED_BIGRAMS = 500
+LETTER_WORDS, BIGRAM_WORDS = 2, 4
 
 # An index side of at most this many signature rows (about 100 bytes each) is broadcast.
 BROADCAST_ROWS = 200_000
-# Pair comparisons inside signature groups that one join may cost.
+# Comparisons inside signature groups that one join may cost: in all, or per key if that is more.
 PAIR_BUDGET = 500_000_000
+PAIRS_PER_KEY = 20_000
+# Comparisons and rows of one signature group that one task may get; larger groups are split.
+TASK_PAIRS = 1_000_000_000
+TASK_ROWS = 2_000_000
+# A split table of at most this many signatures (16 bytes each) is broadcast.
+BROADCAST_SPLITS = 1_000_000
+
+
+def _fingerprint(items: str, words: int, name: str) -> dict[str, Column]:
+    """Set of hashed items as `words` 64-bit columns."""
+    one = F.lit(1).cast("bigint")
+    out = {}
+    for w in range(words):
+        bit = lambda h: F.call_function("shiftleft", one, F.pmod(h, F.lit(64)).cast("int"))
+        mine = lambda h, w=w: F.pmod(F.floor(h / 64), F.lit(words)) == w
+        out[f"{name}{w}"] = F.aggregate(
+            items, F.lit(0).cast("bigint"), lambda acc, h: F.when(mine(h), acc.bitwiseOR(bit(h))).otherwise(acc)
+        )
+    return out
 
 
-def _fingerprint(items: Column) -> Column:
-    """64-bit set of hashed items."""
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(x), F.lit(64)).cast("int"))
-    return F.aggregate(items, F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseOR(bit(x)))
+FINGERPRINTS = [f"l{w}" for w in range(LETTER_WORDS)] + [f"b{w}" for w in range(BIGRAM_WORDS)]
 
 
 def _numbered(ordered: str) -> Column:
@@ -52,139 +69,168 @@ def _numbered(ordered: str) -> Column:
     return F.transform(ordered, lambda g, i: F.concat(g, F.lit("\u0001"), (i - first(g) + 2).cast("string")))
 
 
-def describe(keys: DataFrame) -> DataFrame:
+def _bigrams(key: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.char_length(key) - 1), lambda i: F.substr(key, i, F.lit(2)))
+
+
+def bigram_order(keys: DataFrame) -> list[str]:
+    """The RANKED_BIGRAMS most frequent bigrams, rarest first. Any order keeps the join exact."""
+    counts = keys.filter("char_length(name_key) >= 3").select(F.explode(_bigrams(F.col("name_key"))).alias("g"))
+    top = counts.groupBy("g").count().orderBy(F.col("count").desc(), "g").limit(RANKED_BIGRAMS).collect()
+    return [r["g"] for r in reversed(top)]
+
+
+def describe(keys: DataFrame, order: list[str]) -> DataFrame:
     """Adds to (ord, name_key) its length, fingerprints and bigrams in common order.
 
     Keys of fewer than three characters match no other key and are left out. Arrays that lambdas refer
     to are columns of their own, or they would be built anew for every element.
     """
-    bigram = lambda i: F.substr(F.col("_t"), i, F.lit(2))
+    ranked = F.split(F.lit("\u0002".join(order)), "\u0002")  # folds into one constant
+    rank = lambda g: F.array_position(ranked, F.substr(g, F.lit(1), F.lit(2)))
+    hashed = lambda c: F.transform(c, lambda x: F.pmod(F.xxhash64(x), F.lit(1 << 40)))
     return (
         keys.withColumn("n", F.char_length("name_key"))
         .filter("n >= 3")
-        .withColumn("_t", F.translate("name_key", _FROM, _TO))
         .withColumns({
-            "_pairs": F.sort_array(F.transform(F.sequence(F.lit(1), F.col("n") - 1), bigram)),
-            "_chars": F.sort_array(F.split("_t", "")),
+            "_pairs": F.sort_array(_bigrams(F.col("name_key"))),
+            "_chars": F.sort_array(F.split("name_key", "")),
         })
         .withColumns({"_grams": _numbered("_pairs"), "_letters": _numbered("_chars")})
-        .withColumns({"letters": _fingerprint(F.col("_letters")), "bigrams": _fingerprint(F.col("_grams"))})
-        .select("ord", "name_key", "n", "letters", "bigrams", F.col("_grams").alias("grams"))
+        .withColumns({
+            "_ranked": F.sort_array(F.transform("_grams", lambda g: F.struct(rank(g).alias("r"), g.alias("g")))),
+            "_lh": hashed("_letters"),
+            "_bh": hashed("_grams"),
+        })
+        .withColumns(_fingerprint("_lh", LETTER_WORDS, "l") | _fingerprint("_bh", BIGRAM_WORDS, "b"))
+        .select("ord", "name_key", "n", *FINGERPRINTS, F.transform("_ranked", lambda x: x["g"]).alias("grams"))
     )
 
 
-def signatures(described: DataFrame) -> DataFrame:
-    """One row per key and signature: (sig, ord, name_key, n, letters, bigrams)."""
+def signature_width(size: int) -> int:
+    return 1 if size <= SMALL_SET else 2
+
+
+def signatures(described: DataFrame, width: int = 1) -> DataFrame:
+    """One row per key and signature: (sig, ord, name_key, n, fingerprints)."""
     n, size = F.col("n"), F.size("grams")
     # Shared bigrams with any partner: more than 0.4632 n - 1.
     spare = size - F.floor(n * 0.4632).cast("int")
+    kept = ["ord", "name_key", "n", *FINGERPRINTS]
+    single = lambda c: F.transform("_single", lambda g: F.xxhash64(F.lit(c), g))
+    heads = described.withColumn("_single", F.slice("grams", 1, F.least(size, spare + 1)))
+    if width == 1:
+        return heads.select(F.explode(single(0)).alias("sig"), *kept)
     reach = (1000 + SLACK) / (1000 - SLACK)  # a partner is at most this much longer
-    middle = (n * reach > SHORT) & (n < LONG)
-    heads = described.withColumns({
+    heads = heads.withColumns({
         "_head": F.slice("grams", 1, F.least(size, spare + 2)),
-        "_single": F.slice("grams", 1, F.least(size, spare + 1)),
-        "_middle": middle,
+        "_middle": (n * reach > SHORT) & (n < LONG),
     })
-    single = lambda c: F.transform("_single", lambda g: F.xxhash64(F.lit(c), g))
     hashed = lambda i: F.transform(
         F.slice("_head", i + 1, F.size("_head")), lambda g: F.xxhash64(F.lit(2), F.element_at("_head", i), g)
     )
     pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.size("_head") - 1), hashed))
     none = F.array().cast("array<bigint>")
-    return heads.select(
-        F.explode(
-            F.concat(
-                F.when(n <= SHORT, single(1)).otherwise(none),
-                F.when(F.col("_middle"), pairs).otherwise(none),
-                F.when(n * reach >= LONG, single(3)).otherwise(none),
-            )
-        ).alias("sig"),
-        "ord", "name_key", "n", "letters", "bigrams",
+    every = F.concat(
+        F.when(n <= SHORT, single(1)).otherwise(none),
+        F.when(F.col("_middle"), pairs).otherwise(none),
+        F.when(n * reach >= LONG, single(3)).otherwise(none),
     )
+    return heads.select(F.explode(every).alias("sig"), *kept)
 
 
 def _plausible(a: str, b: str) -> Column:
     limit = f"{SLACK} * ({a}.n + {b}.n)"
+    bits = lambda name, words: " + ".join(f"bit_count({a}.{name}{w} ^ {b}.{name}{w})" for w in range(words))
     return F.expr(
         f"1000 * abs({a}.n - {b}.n) < {limit}"
-        f" AND 1000 * bit_count({a}.letters ^ {b}.letters) < {limit}"
-        f" AND 1000 * bit_count({a}.bigrams ^ {b}.bigrams) < 3 * {limit}"
+        f" AND 1000 * ({bits('l', LETTER_WORDS)}) < {limit}"
+        f" AND 1000 * ({bits('b', BIGRAM_WORDS)}) < 3 * {limit}"
+        f" AND levenshtein({a}.name_key, {b}.name_key, cast({limit} div 1000 as int)) >= 0"
     )
 
 
-def _verified(candidates: DataFrame) -> DataFrame:
-    """Pairs (a, b, ka, kb) whose keys really match."""
+def _verified(joined: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the join of index side `x` and probe side `y` whose keys really match."""
+    near = joined.select(
+        F.col("x.ord").alias("a"), F.col("y.ord").alias("b"),
+        F.col("x.name_key").alias("ka"), F.col("y.name_key").alias("kb"),
+    ).dropDuplicates(["a", "b"])
     total = F.char_length("ka") + F.char_length("kb")
-    near = candidates.dropDuplicates(["a", "b"]).filter(
-        F.expr(f"levenshtein(ka, kb, cast({SLACK} * (char_length(ka) + char_length(kb)) div 1000 as int)) >= 0")
-    )
     return near.withColumn("lcs", lcs_length("ka", "kb")).filter(is_match(F.col("lcs"), total)).select("a", "b")
 
 
-def self_pairs(described: DataFrame) -> DataFrame:
-    """Matching pairs within one set of keys: later `b`, earlier `a`."""
-    sig = signatures(described)
-    a, b = sig.alias("x"), sig.alias("y")
-    candidates = (
-        a.join(b, F.expr("x.sig = y.sig AND x.ord < y.ord") & _plausible("x", "y"))
-        .select(F.col("x.ord").alias("a"), F.col("y.ord").alias("b"),
-                F.col("x.name_key").alias("ka"), F.col("y.name_key").alias("kb"))
+def _spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Hash partitions that stay as they are: these joins compute far more than they read, so small
+    partitions must not be merged by size."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
+def _split_groups(ps: DataFrame, xs: DataFrame) -> DataFrame:
+    """(sig, parts) of the signature groups too large for one task."""
+    p = ps.groupBy("sig").agg(F.count(F.lit(1)).alias("p"))
+    x = xs.groupBy("sig").agg(F.count(F.lit(1)).alias("x"))
+    work = F.greatest(
+        F.ceil(F.col("p").cast("double") * F.col("x") / TASK_PAIRS), F.ceil(F.col("p").cast("double") / TASK_ROWS)
     )
-    return _verified(candidates)
+    parts = F.least(work, F.col("p").cast("bigint")).cast("int")
+    return p.join(x, "sig").select("sig", parts.alias("parts")).filter("parts > 1")
+
+
+def _shuffled(ps: DataFrame, xs: DataFrame, condition: Column) -> DataFrame:
+    """Join of probe signatures `y` and index signatures `x` by shuffle.
 
+    Large groups are split: their probe rows go to several tasks, their index rows to each of these.
+    """
+    split = cut(_split_groups(ps, xs), "split")
+    size = split.count()
+    if size == 0:
+        return _spread(ps, "sig").alias("y").join(_spread(xs, "sig").alias("x"), F.expr("x.sig = y.sig") & condition)
+    if size <= BROADCAST_SPLITS:
+        split = F.broadcast(split)
+    parts = F.coalesce("parts", F.lit(1))
+    ps = ps.join(split, "sig", "left").withColumn("salt", F.pmod(F.xxhash64("ord"), parts).cast("int")).drop("parts")
+    xs = xs.join(split, "sig", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    ps, xs = _spread(ps, "sig", "salt"), _spread(xs, "sig", "salt")
+    return ps.alias("y").join(xs.alias("x"), F.expr("x.sig = y.sig AND x.salt = y.salt") & condition)
+
+
+def self_pairs(described: DataFrame, width: int = 1, small: bool = True) -> DataFrame:
+    """Matching pairs within one set of keys: later `b`, earlier `a`."""
+    sig = signatures(described, width)
+    condition = F.expr("x.ord < y.ord") & _plausible("x", "y")
+    if small:  # no group can be too large
+        sig = _spread(sig, "sig")
+        return _verified(sig.alias("x").join(sig.alias("y"), F.expr("x.sig = y.sig") & condition))
+    return _verified(_shuffled(sig, sig, condition))
 
-def self_cost(described: DataFrame) -> int:
+
+def self_cost(described: DataFrame, width: int = 1) -> int:
     """Comparisons `self_pairs` would make inside its signature groups."""
     c = F.col("count").cast("double")
-    row = signatures(described).groupBy("sig").count().agg(F.sum(c * (c - 1) / 2).alias("pairs")).first()
+    row = signatures(described, width).groupBy("sig").count().agg(F.sum(c * (c - 1) / 2).alias("pairs")).first()
     return int(row["pairs"] or 0)
 
 
-def _group_sizes(probe: DataFrame, index: DataFrame) -> DataFrame:
-    p = signatures(probe).groupBy("sig").agg(F.count(F.lit(1)).alias("p"))
-    i = signatures(index).groupBy("sig").agg(F.count(F.lit(1)).alias("i"))
-    return p.join(i, "sig")
-
-
-def probe_cost(probe: DataFrame, index: DataFrame) -> int:
-    row = _group_sizes(probe, index).agg(F.sum(F.col("p").cast("double") * F.col("i")).alias("pairs")).first()
+def probe_cost(probe: DataFrame, index: DataFrame, width: int = 1) -> int:
+    """Comparisons `probe_pairs` would make inside its signature groups."""
+    p = signatures(probe, width).groupBy("sig").agg(F.count(F.lit(1)).alias("p"))
+    i = signatures(index, width).groupBy("sig").agg(F.count(F.lit(1)).alias("i"))
+    row = p.join(i, "sig").agg(F.sum(F.col("p").cast("double") * F.col("i")).alias("pairs")).first()
     return int(row["pairs"] or 0)
 
 
-def probe_pairs(probe: DataFrame, index: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def probe_pairs(probe: DataFrame, index: DataFrame, width: int = 1, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Matching pairs between two sets of keys: index side `a`, probe side `b`.
 
-    A counted, small index side is broadcast, so the probe side is not shuffled and hot signatures stay
-    spread over its partitions. A larger one is joined by shuffle; signatures with more than 1/HOT_PARTS
-    of all probe rows (at most HOT_PARTS of them) are salted: their probe rows are split over several
-    tasks and their index rows copied to each.
+    A counted, small index side is broadcast, so the probe side keeps its partitions and hot signatures stay
+    spread over them. A larger one is joined by shuffle with large groups split.
     """
-    ps, xs = signatures(probe), signatures(index)
-    index_rows = xs.count()
-    if index_rows <= broadcast_rows:
-        joined = ps.alias("y").join(F.broadcast(xs).alias("x"), F.expr("x.sig = y.sig") & _plausible("x", "y"))
-    else:
-        counts = ps.groupBy("sig").agg(F.count(F.lit(1)).alias("c"))
-        probe_rows = counts.agg(F.sum("c")).first()[0] or 0
-        unit = max(1, probe_rows // HOT_PARTS)
-        hot = F.broadcast(
-            counts.filter(F.col("c") > unit).select("sig", F.ceil(F.col("c") / unit).cast("int").alias("parts"))
-        )
-        salt = F.pmod(F.xxhash64("ord"), F.coalesce("parts", F.lit(1))).cast("int")
-        ps = ps.join(hot, "sig", "left").withColumn("salt", salt).drop("parts")
-        xs = (
-            xs.join(hot, "sig", "left")
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
-            .drop("parts")
-        )
-        joined = ps.alias("y").join(
-            xs.alias("x"), F.expr("x.sig = y.sig AND x.salt = y.salt") & _plausible("x", "y")
-        )
-    candidates = joined.select(
-        F.col("x.ord").alias("a"), F.col("y.ord").alias("b"),
-        F.col("x.name_key").alias("ka"), F.col("y.name_key").alias("kb"),
-    )
-    return _verified(candidates)
+    xs = signatures(index, width)
+    if xs.count() <= broadcast_rows:
+        ps = signatures(_spread(probe, "ord"), width)
+        return _verified(ps.alias("y").join(F.broadcast(xs).alias("x"), F.expr("x.sig = y.sig") & _plausible("x", "y")))
+    return _verified(_shuffled(signatures(probe, width), xs, _plausible("x", "y")))
 
 
 def nth_order(df: DataFrame, share: float) -> int:
@@ -203,13 +249,15 @@ def first_match(
     """
     # Equal keys need no similarity join.
     same = probe.alias("p").join(index.alias("i"), "name_key").select(F.col("p.ord").alias("ord"), F.col("i.ord").alias("equal"))
-    rest = cut(describe(probe), "probe")
-    todo = cut(describe(index), "index")
+    order = bigram_order(index)
+    rest = cut(describe(_spread(probe, "ord"), order), "probe")
+    todo = cut(describe(_spread(index, "ord"), order), "index")
     left = todo.count()
+    width = signature_width(max(left, rest.count()))
     found, chunk = [], first_chunk
     while left:
-        part, later, size = _next_chunk(todo, left, chunk, lambda d: probe_cost(rest, d), budget)
-        pairs = cut(probe_pairs(rest, part).groupBy("b").agg(F.min("a").alias("match")), "match")
+        part, later, size = _next_chunk(todo, left, chunk, lambda d: probe_cost(rest, d, width), budget)
+        pairs = cut(probe_pairs(rest, part, width).groupBy("b").agg(F.min("a").alias("match")), "match")
         found.append(pairs)
         left -= size
         if left:
@@ -238,6 +286,6 @@ def _next_chunk(todo: DataFrame, left: int, chunk: int, cost, budget: int, free:
             size = part.count()
         else:
             part, later, size = todo, todo.filter(F.lit(False)), left
-        if size <= free or want <= 1 or cost(part) <= budget:
+        if size <= free or want <= 1 or cost(part) <= max(budget, PAIRS_PER_KEY * size):
             return part, later, size
         want = max(1, min(want, size) // 2)

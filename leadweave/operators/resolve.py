@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from ..functions.hosts import host
 from ..functions.names import company_key, sorted_tokens
 from ..session import cut, lookup
-from .fuzzy import PAIR_BUDGET, _next_chunk, describe, probe_pairs, self_cost, self_pairs
+from .fuzzy import (
+    PAIR_BUDGET, SMALL_SET, _next_chunk, _spread, bigram_order, describe, probe_pairs, self_cost, self_pairs, signature_width,
+)
 
 FIRST_BATCH = 100_000
 
@@ -63,18 +65,19 @@ def greedy_leaders(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def key_leaders(keys: DataFrame, first_batch: int = FIRST_BATCH, budget: int = PAIR_BUDGET) -> DataFrame:
     """(ord, leader) for distinct non-blank name keys (ord, name_key)."""
     short = keys.filter(F.char_length("name_key") < 3).select("ord", F.col("ord").alias("leader"))
-    todo = cut(describe(keys), "keys")
+    todo = cut(describe(_spread(keys, "ord"), bigram_order(keys)), "keys")
     left = todo.count()
+    width = signature_width(min(left, first_batch))
     parts, batch = [short], first_batch
     while left:
-        part, later, size = _next_chunk(todo, left, batch, self_cost, budget)
-        pairs = cut(self_pairs(part), "pairs")
+        part, later, size = _next_chunk(todo, left, batch, lambda d: self_cost(d, width), budget)
+        pairs = cut(self_pairs(part, width, small=size <= SMALL_SET), "pairs")
         state = greedy_leaders(part, pairs)
         parts.append(state)
         left -= size
         if left:
             leaders = part.join(state.filter("ord = leader").select("ord"), "ord", "left_semi")
-            claimed = _claim(later, leaders)
+            claimed = _claim(later, leaders, width)
             parts.append(claimed.select(F.col("b").alias("ord"), "leader"))
             todo = cut(later.join(claimed, F.col("ord") == F.col("b"), "left_anti"), "keys")
             left = todo.count()
@@ -82,9 +85,9 @@ def key_leaders(keys: DataFrame, first_batch: int = FIRST_BATCH, budget: int = P
     return reduce(DataFrame.unionByName, parts)
 
 
-def _claim(later: DataFrame, leaders: DataFrame) -> DataFrame:
+def _claim(later: DataFrame, leaders: DataFrame, width: int) -> DataFrame:
     """(b, leader): later keys matched by one of the new leaders, with the earliest of them."""
-    return cut(probe_pairs(later, leaders).groupBy("b").agg(F.min("a").alias("leader")), "claimed")
+    return cut(probe_pairs(later, leaders, width).groupBy("b").agg(F.min("a").alias("leader")), "claimed")
 
 
 def with_keys(sightings: DataFrame) -> DataFrame:

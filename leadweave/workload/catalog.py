@@ -427,7 +427,9 @@ def name_keys(spark, sf) -> DataFrame:
     ON x.ord < y.ord AND x.key <> '' AND y.key <> '' AND {Q.NEAR.format(a='x.key', b='y.key')})
   SELECT a, b FROM near WHERE {Q.match('ka', 'kb')}""")
 def join_fuzzy_names(spark, sf):
-    return fuzzy.self_pairs(cut(fuzzy.describe(name_keys(spark, sf)), "keys"))
+    keys = cut(name_keys(spark, sf), "keys")
+    described = cut(fuzzy.describe(keys, fuzzy.bigram_order(keys)), "keys")
+    return fuzzy.self_pairs(described, fuzzy.signature_width(described.count()))
 
 
 def keyed_batch(spark, sf) -> DataFrame:
