@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # A key holding more than 1/HOT_PARTS of all rows is hot; there are at most HOT_PARTS such keys.
 HOT_PARTS = 1000
+# Inputs of at most this many rows take the plain way.
+PLAIN_ROWS = 100_000
 # Ranges for numbering rows.
 RANGES = 200
 
@@ -71,7 +73,7 @@ def row_order(df: DataFrame, order_col: str, out: str, start: int = 0) -> DataFr
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx(order_col, [i / RANGES for i in range(1, RANGES)], 10000).alias("q"),
     ).first()
-    cuts = sorted(set(stats["q"] or [])) if stats["n"] > 100_000 else []
+    cuts = sorted(set(stats["q"] or [])) if stats["n"] > PLAIN_ROWS else []
     if cuts:
         points = F.array(*[F.lit(c) for c in cuts])
         part = F.size(F.filter(points, lambda c: c < F.col(order_col)))
@@ -94,7 +96,7 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, counts: DataFrame, total
     `counts` has columns (key, n): rows per key. Keys with more than total/HOT_PARTS rows number at
     most HOT_PARTS, so their entries are broadcast; all other keys take the ordinary shuffle join.
     """
-    if total <= 100_000:
+    if total <= PLAIN_ROWS:
         return rows.join(table, key, "left")
     hot_keys = counts.filter(F.col("n") > F.lit(total // HOT_PARTS)).select(key)
     hot = F.broadcast(table.join(F.broadcast(hot_keys), key, "left_semi").withColumn("_hot", F.lit(True)))
