@@ -82,6 +82,12 @@ _NAMED = [(name, code) for name, code in US_STATES if name != "west virginia"]
 _NAME_PATTERN = r"(?U)\b(" + any_of([n for n, _ in _NAMED]) + r")\b"
 
 
+def _least_named_state(low: Column) -> Column:
+    # The plain search for the last words of the names spares most texts the regular expression.
+    named = contains_any(low, sorted({name.split()[-1] for name, _ in _NAMED}))
+    return F.when(named, F.array_min(F.regexp_extract_all(low, F.lit(_NAME_PATTERN), F.lit(1))))
+
+
 def extract_state(text: Column | str) -> Column:
     """State code found in free text, '' if none.
 
@@ -89,11 +95,10 @@ def extract_state(text: Column | str) -> Column:
     table whose name occurs as a whole word. One pass collects all names, the least one wins.
     """
     text = text_or_blank(text)
-    code = F.regexp_extract(text, r"(?U),\s*([A-Z]{2})\b", 1)
-    names = F.regexp_extract_all(F.lower(text), F.lit(_NAME_PATTERN), F.lit(1))
+    code = F.nullif(F.regexp_extract(text, r"(?U),\s*([A-Z]{2})\b", 1), F.lit(""))
     table = F.create_map(*[F.lit(x) for pair in _NAMED for x in pair])
-    named = F.element_at(table, F.array_min(names))
-    return F.when(code.isin(_CODES), code).otherwise(text_or_blank(named))
+    by_name = bind(F.lower(text), lambda low: F.element_at(table, _least_named_state(low)))
+    return F.coalesce(bind(code, lambda c: F.when(c.isin(_CODES), c)), by_name, F.lit(""))
 
 
 def parse_amount(text: Column | str) -> Column:

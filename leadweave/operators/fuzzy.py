@@ -271,7 +271,7 @@ def first_match(
     return both.groupBy("ord").agg(F.min("match").alias("match"))
 
 
-def _next_chunk(todo: DataFrame, left: int, chunk: int, cost, budget: int, free: int = 2_000):
+def _next_chunk(todo: DataFrame, left: int, chunk: int, cost, budget: int, free: int = 10_000):
     """Leading part of `todo` by order, the rest, and the size of the part.
 
     The part holds about `chunk` rows, halved until its cost fits `budget`; parts of up to `free` rows

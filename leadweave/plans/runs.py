@@ -18,7 +18,7 @@ from ..operators.scoring import score_companies
 from ..operators.upsert import set_verified, upsert
 from ..session import cut
 from ..settings import Settings
-from ..sources.tables import append_run, read_runs, read_state, write_report, write_stage, write_state
+from ..sources.tables import append_run, read_runs, read_stage, read_state, write_report, write_stage, write_state
 from .channels import all_channels
 
 
@@ -71,18 +71,18 @@ def full_run(
     """
     started = time.time()
     folder = f"{home}/runs/{run_id}"
-    if stages:
-        for name, rows in channels.items():
-            write_stage(rows, folder, name)
-    sightings = cut(all_channels(channels), "sightings")
-    companies = cut(resolve(sightings), "companies")
-    if stages:
-        write_stage(companies, folder, "dedup")
+    def kept(rows: DataFrame, stage: str) -> DataFrame:
+        """The rows as a table, read back: a stage of the run, or an intermediate table."""
+        if not stages:
+            return cut(rows, stage)
+        write_stage(rows, folder, stage)
+        return read_stage(spark, folder, stage)
+
+    sightings = all_channels({name: kept(rows, name) for name, rows in channels.items()})
+    companies = kept(resolve(sightings), "dedup")
     rows = with_states(companies)
     if mailboxes is not None:
-        rows = cut(enrich(rows, mailboxes, settings.max_contact_searches, settings.user_blocked), "enriched")
-        if stages:
-            write_stage(rows, folder, "hunter")
+        rows = kept(enrich(rows, mailboxes, settings.max_contact_searches, settings.user_blocked), "hunter")
     if scoring:
         rows = score_companies(rows, settings, states)
     rows = cut(rows, "scored")
