@@ -40,6 +40,9 @@ BROADCAST_ROWS = 200_000
 # Comparisons inside signature groups that one join may cost: in all, or per key if that is more.
 PAIR_BUDGET = 500_000_000
 PAIRS_PER_KEY = 20_000
+# Pairs that may survive lengths and fingerprints: in all, or per key. Crowds of alike keys exceed this.
+SURVIVOR_BUDGET = 5_000_000
+SURVIVORS_PER_KEY = 200
 # Comparisons and rows of one signature group that one task may get; larger groups are split.
 TASK_PAIRS = 1_000_000_000
 TASK_ROWS = 2_000_000
@@ -139,17 +142,22 @@ def signatures(described: DataFrame, width: int = 1) -> DataFrame:
     return heads.select(F.explode(every).alias("sig"), *kept)
 
 
-def _plausible(a: str, b: str) -> Column:
+def _agree(a: str, b: str) -> Column:
+    """Lengths and fingerprints allow a match."""
     limit = f"{SLACK} * ({a}.n + {b}.n)"
     bits = lambda name, words: " + ".join(f"bit_count({a}.{name}{w} ^ {b}.{name}{w})" for w in range(words))
     return F.expr(
         f"1000 * abs({a}.n - {b}.n) < {limit}"
         f" AND 1000 * ({bits('l', LETTER_WORDS)}) < {limit}"
         f" AND 1000 * ({bits('b', BIGRAM_WORDS)}) < 3 * {limit}"
-        f" AND levenshtein({a}.name_key, {b}.name_key, cast({limit} div 1000 as int)) >= 0"
     )
 
 
+def _plausible(a: str, b: str) -> Column:
+    limit = f"cast({SLACK} * ({a}.n + {b}.n) div 1000 as int)"
+    return _agree(a, b) & F.expr(f"levenshtein({a}.name_key, {b}.name_key, {limit}) >= 0")
+
+
 def _verified(joined: DataFrame) -> DataFrame:
     """Pairs (a, b) of the join of index side `x` and probe side `y` whose keys really match."""
     near = joined.select(
@@ -205,19 +213,24 @@ def self_pairs(described: DataFrame, width: int = 1, small: bool = True) -> Data
     return _verified(_shuffled(sig, sig, condition))
 
 
-def self_cost(described: DataFrame, width: int = 1) -> int:
-    """Comparisons `self_pairs` would make inside its signature groups."""
-    c = F.col("count").cast("double")
-    row = signatures(described, width).groupBy("sig").count().agg(F.sum(c * (c - 1) / 2).alias("pairs")).first()
-    return int(row["pairs"] or 0)
+def _affordable(ps: DataFrame, xs: DataFrame, keys: int, budget: int, extra: Column) -> bool:
+    """Whether joining two signature sets stays within the budgets, counted by a cheap dry run."""
+    p = ps.groupBy("sig").agg(F.count(F.lit(1)).alias("p"))
+    x = xs.groupBy("sig").agg(F.count(F.lit(1)).alias("x"))
+    row = p.join(x, "sig").agg(F.sum(F.col("p").cast("double") * F.col("x")).alias("pairs")).first()
+    if (row["pairs"] or 0) > max(budget, PAIRS_PER_KEY * keys):
+        return False
+    left = _spread(ps, "sig").alias("y").join(_spread(xs, "sig").alias("x"), F.expr("x.sig = y.sig") & extra & _agree("x", "y"))
+    return left.count() <= max(min(budget, SURVIVOR_BUDGET), SURVIVORS_PER_KEY * keys)
+
+
+def self_affordable(described: DataFrame, width: int, keys: int, budget: int) -> bool:
+    sig = signatures(described, width)
+    return _affordable(sig, sig, keys, budget, F.expr("x.ord < y.ord"))
 
 
-def probe_cost(probe: DataFrame, index: DataFrame, width: int = 1) -> int:
-    """Comparisons `probe_pairs` would make inside its signature groups."""
-    p = signatures(probe, width).groupBy("sig").agg(F.count(F.lit(1)).alias("p"))
-    i = signatures(index, width).groupBy("sig").agg(F.count(F.lit(1)).alias("i"))
-    row = p.join(i, "sig").agg(F.sum(F.col("p").cast("double") * F.col("i")).alias("pairs")).first()
-    return int(row["pairs"] or 0)
+def probe_affordable(probe: DataFrame, index: DataFrame, width: int, keys: int, budget: int) -> bool:
+    return _affordable(signatures(probe, width), signatures(index, width), keys, budget, F.lit(True))
 
 
 def probe_pairs(probe: DataFrame, index: DataFrame, width: int = 1, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -256,7 +269,7 @@ def first_match(
     width = signature_width(max(left, rest.count()))
     found, chunk = [], first_chunk
     while left:
-        part, later, size = _next_chunk(todo, left, chunk, lambda d: probe_cost(rest, d, width), budget)
+        part, later, size = _next_chunk(todo, left, chunk, lambda d, n: probe_affordable(rest, d, width, n, budget))
         pairs = cut(probe_pairs(rest, part, width).groupBy("b").agg(F.min("a").alias("match")), "match")
         found.append(pairs)
         left -= size
@@ -271,13 +284,12 @@ def first_match(
     return both.groupBy("ord").agg(F.min("match").alias("match"))
 
 
-def _next_chunk(todo: DataFrame, left: int, chunk: int, cost, budget: int, free: int = 10_000):
+def _next_chunk(todo: DataFrame, left: int, chunk: int, affordable, free: int = 1_000):
     """Leading part of `todo` by order, the rest, and the size of the part.
 
-    The part holds about `chunk` rows, halved until its cost fits `budget`; parts of up to `free` rows
-    are taken as they are.
+    The part holds about `chunk` rows, divided until `affordable(part, size)` agrees; parts of up to `free`
+    rows are taken as they are.
     """
-    size, part, later = left, todo, None
     want = min(chunk, left)
     while True:
         if want < left:
@@ -286,6 +298,6 @@ def _next_chunk(todo: DataFrame, left: int, chunk: int, cost, budget: int, free:
             size = part.count()
         else:
             part, later, size = todo, todo.filter(F.lit(False)), left
-        if size <= free or want <= 1 or cost(part) <= max(budget, PAIRS_PER_KEY * size):
+        if size <= free or want <= 1 or affordable(part, size):
             return part, later, size
-        want = max(1, min(want, size) // 2)
+        want = max(1, min(want, size) // 3)

@@ -25,7 +25,7 @@ from ..functions.hosts import host
 from ..functions.names import company_key, sorted_tokens
 from ..session import cut, lookup
 from .fuzzy import (
-    PAIR_BUDGET, SMALL_SET, _next_chunk, _spread, bigram_order, describe, probe_pairs, self_cost, self_pairs, signature_width,
+    PAIR_BUDGET, SMALL_SET, _next_chunk, _spread, bigram_order, describe, probe_pairs, self_affordable, self_pairs, signature_width,
 )
 
 FIRST_BATCH = 100_000
@@ -70,7 +70,7 @@ def key_leaders(keys: DataFrame, first_batch: int = FIRST_BATCH, budget: int = P
     width = signature_width(min(left, first_batch))
     parts, batch = [short], first_batch
     while left:
-        part, later, size = _next_chunk(todo, left, batch, lambda d: self_cost(d, width), budget)
+        part, later, size = _next_chunk(todo, left, batch, lambda d, n: self_affordable(d, width, n, budget))
         pairs = cut(self_pairs(part, width, small=size <= SMALL_SET), "pairs")
         state = greedy_leaders(part, pairs)
         parts.append(state)

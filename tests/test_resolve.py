@@ -61,6 +61,7 @@ def test_leaders_in_batches(spark, keys, batch, budget, free, monkeypatch):
         if want[i] == i:
             leaders.append(i)
     monkeypatch.setattr(fuzzy, "PAIRS_PER_KEY", 0)
+    monkeypatch.setattr(fuzzy, "SURVIVORS_PER_KEY", 0)
     monkeypatch.setattr(fuzzy._next_chunk, "__defaults__", (free,))
     df = spark.createDataFrame(list(enumerate(keys)), "ord bigint, name_key string")
     assert {r.ord: r.leader for r in R.key_leaders(df, batch, budget).collect()} == want
