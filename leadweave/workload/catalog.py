@@ -784,8 +784,9 @@ def report_enriched_and_skipped(spark, sf):
     rows = sightings(spark, sf)
     done = contacts.enrich(rows, D(spark, sf, I.MAILBOXES), QUOTA, user).filter(
         (F.col("contact_source") == "hunter") & (F.col("seq") < contacts.NOT_SEARCHED_OFFSET))
-    skipped = rows.agg(F.count_if(contacts.is_wanting() & hosts.is_blocked("website", user)).alias("skipped_noise"))
-    return done.agg(F.count(F.lit(1)).alias("enriched")).join(skipped, F.lit(True))
+    skipped = rows.filter(contacts.is_wanting() & hosts.is_blocked("website", user))
+    marked = done.select(F.lit(True).alias("hit")).unionByName(skipped.select(F.lit(False).alias("hit")))
+    return marked.agg(F.count_if(F.col("hit")).alias("enriched"), F.count_if(~F.col("hit")).alias("skipped_noise"))
 
 
 @query(f"SELECT provider, count(*) FILTER (WHERE provider = 'search' OR ok) AS calls FROM {Q.rec(I.CALLS)} c GROUP BY provider")
