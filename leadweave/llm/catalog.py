@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from leadweave.llm.decontaminate import contamination
+from leadweave.llm.quality import quality
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -31,5 +32,10 @@ r AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0
              CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256
       FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id))"""
 
-QUERIES = {"op1_decontaminate": op1_decontaminate}
+
+def op5_quality(spark, folder):
+    return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op5_quality": op5_quality}
 SQL = {"op1_decontaminate": f"WITH {OP1_WITH} SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r"}
