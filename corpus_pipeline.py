@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from leadweave.llm.decontaminate import decontaminate
+from leadweave.llm.quality import keep_good
 from leadweave.session import cut
 
 
@@ -12,12 +13,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the quality classifier, fitted on labelled documents, scores below 0.3."""
+    return keep_good(docs, _table(spark, sf_dir, "labels"))
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth of the words or more repeat benchmark passages."""
     return decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("decontamination", decontamination)]
+STAGES = [("quality", quality), ("decontamination", decontamination)]
 
 # Classifiers and sketches have no SQL form; tests compare the stages with brute-force versions.
 ORACLE_SQL = None
