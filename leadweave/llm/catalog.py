@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from leadweave.llm.decontaminate import contamination
 from leadweave.llm.quality import quality
+from leadweave.llm.toxicity import toxicity
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -37,5 +38,9 @@ def op5_quality(spark, folder):
     return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op5_quality": op5_quality}
+def op7_toxicity(spark, folder):
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity}
 SQL = {"op1_decontaminate": f"WITH {OP1_WITH} SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r"}
