@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from leadweave.llm.decontaminate import decontaminate
 from leadweave.llm.quality import keep_good
+from leadweave.llm.toxicity import drop_toxic
 from leadweave.session import cut
 
 
@@ -18,12 +19,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose toxic passages score 0.3 or more."""
+    return drop_toxic(docs, _table(spark, sf_dir, "labels"))
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth of the words or more repeat benchmark passages."""
     return decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality", quality), ("decontamination", decontamination)]
+STAGES = [("quality", quality), ("toxicity", toxicity), ("decontamination", decontamination)]
 
 # Classifiers and sketches have no SQL form; tests compare the stages with brute-force versions.
 ORACLE_SQL = None
