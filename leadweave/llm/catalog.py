@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from leadweave.llm.decontaminate import contamination
+from leadweave.llm.neardup import classes
 from leadweave.llm.quality import quality
 from leadweave.llm.toxicity import toxicity
 
@@ -42,5 +43,10 @@ def op7_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity}
+def op9_neardup(spark, folder):
+    return classes(table(spark, folder, "documents"))
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity,
+           "op9_neardup": op9_neardup}
 SQL = {"op1_decontaminate": f"WITH {OP1_WITH} SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r"}
