@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from leadweave.llm.decontaminate import decontaminate
+from leadweave.llm.neardup import one_per_class
 from leadweave.llm.quality import keep_good
 from leadweave.llm.toxicity import drop_toxic
 from leadweave.session import cut
@@ -24,12 +25,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the least id of each class of near duplicates."""
+    return one_per_class(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth of the words or more repeat benchmark passages."""
     return decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality", quality), ("toxicity", toxicity), ("decontamination", decontamination)]
+STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination)]
 
 # Classifiers and sketches have no SQL form; tests compare the stages with brute-force versions.
 ORACLE_SQL = None
