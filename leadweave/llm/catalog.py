@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from leadweave.llm.decontaminate import contamination
+from leadweave.llm.mixing import mix
 from leadweave.llm.neardup import classes
 from leadweave.llm.quality import quality
 from leadweave.llm.toxicity import toxicity
@@ -35,6 +36,10 @@ r AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0
       FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id))"""
 
 
+def op4_mixing(spark, folder):
+    return mix(table(spark, folder, "documents"), ["doc_id"])
+
+
 def op5_quality(spark, folder):
     return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -47,6 +52,6 @@ def op9_neardup(spark, folder):
     return classes(table(spark, folder, "documents"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity,
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op4_mixing": op4_mixing, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity,
            "op9_neardup": op9_neardup}
 SQL = {"op1_decontaminate": f"WITH {OP1_WITH} SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r"}
