@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from leadweave.llm.decontaminate import decontaminate
+from leadweave.llm.mixing import mixed
 from leadweave.llm.neardup import one_per_class
 from leadweave.llm.quality import keep_good
 from leadweave.llm.toxicity import drop_toxic
@@ -35,7 +36,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination)]
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents that the mix takes; `copies` says how often, `taken` how many words that makes."""
+    return mixed(docs)
+
+
+STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates),
+          ("decontamination", decontamination), ("mixing", mixing)]
 
 # Classifiers and sketches have no SQL form; tests compare the stages with brute-force versions.
 ORACLE_SQL = None
