@@ -7,6 +7,7 @@ from leadweave.llm.mixing import mix
 from leadweave.llm.neardup import classes
 from leadweave.llm.quality import quality
 from leadweave.llm.toxicity import toxicity
+from leadweave.llm.vectors import near_vectors
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -44,6 +45,10 @@ def op5_quality(spark, folder):
     return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_vectors(spark, folder):
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 def op7_toxicity(spark, folder):
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -52,6 +57,15 @@ def op9_neardup(spark, folder):
     return classes(table(spark, folder, "documents"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op4_mixing": op4_mixing, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity,
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op4_mixing": op4_mixing, "op5_quality": op5_quality,
+           "op6_vectors": op6_vectors, "op7_toxicity": op7_toxicity,
            "op9_neardup": op9_neardup}
-SQL = {"op1_decontaminate": f"WITH {OP1_WITH} SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r"}
+SQL = {"op1_decontaminate": f"WITH {OP1_WITH} SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r",
+       "op6_vectors": """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)"""}

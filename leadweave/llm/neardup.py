@@ -79,6 +79,24 @@ def sketch(column: pa.Array, width: int, bands: int, rows: int):
     return halves, bucket
 
 
+def forest_of(linked: np.ndarray, same: bool = False) -> list[tuple[int, int]]:
+    """Edges (row, column) of a spanning forest of a matrix of links; rows and columns are one set if `same`."""
+    fresh = [np.ones(n, bool) for n in linked.shape]
+    if same:
+        fresh[1] = fresh[0]
+    out = []
+    for row in np.flatnonzero(linked.any(axis=1)).tolist():
+        queue = [(0, row)] if fresh[0][row] else []
+        fresh[0][row] = False
+        while queue:
+            side, x = queue.pop()
+            near = np.flatnonzero((linked[:, x] if side else linked[x]) & fresh[1 - side])
+            fresh[1 - side][near] = False
+            out += [(y, x) if side else (x, y) for y in near.tolist()]
+            queue += [(0 if same else 1 - side, y) for y in near.tolist()]
+    return out
+
+
 def forest(shingles_of: list[np.ndarray], side: np.ndarray, similarity: float, same: bool) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the links between texts of side 0 and side 1 (of all texts if `same`)."""
     left = np.flatnonzero(side == 0)
@@ -97,29 +115,7 @@ def forest(shingles_of: list[np.ndarray], side: np.ndarray, similarity: float, s
         at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
         common = np.bincount(owner[at], minlength=len(right))
         linked[row] = common >= similarity * (size[i] + size[right] - common) - 1e-9
-    fresh_l, fresh_r = np.ones(len(left), bool), np.ones(len(right), bool)
-    out = []
-    for row in range(len(left)):
-        if not fresh_l[row]:
-            continue
-        queue, fresh_l[row] = [(0, row)], False
-        if same:
-            fresh_r[row] = False
-        while queue:
-            which, x = queue.pop()
-            reach = np.flatnonzero(linked[x] & fresh_r) if which == 0 else np.flatnonzero(linked[:, x] & fresh_l)
-            for y in reach.tolist():
-                out.append((left[x], right[y]) if which == 0 else (left[y], right[x]))
-                if same:
-                    fresh_l[y] = fresh_r[y] = False
-                    queue.append((0, y))
-                elif which == 0:
-                    fresh_r[y] = False
-                    queue.append((1, y))
-                else:
-                    fresh_l[y] = False
-                    queue.append((0, y))
-    return out
+    return [(left[i], right[j]) for i, j in forest_of(linked, same)]
 
 
 def _families(sketches: DataFrame) -> DataFrame:
