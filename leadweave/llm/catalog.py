@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from leadweave.llm.decontaminate import contamination
+from leadweave.llm.html import extract
 from leadweave.llm.mixing import mix
 from leadweave.llm.neardup import classes
 from leadweave.llm.quality import quality
@@ -37,6 +38,10 @@ r AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0
       FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id))"""
 
 
+def op2_main_text(spark, folder):
+    return extract(table(spark, folder, "pages"))
+
+
 def op4_mixing(spark, folder):
     return mix(table(spark, folder, "documents"), ["doc_id"])
 
@@ -57,7 +62,7 @@ def op9_neardup(spark, folder):
     return classes(table(spark, folder, "documents"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op4_mixing": op4_mixing, "op5_quality": op5_quality,
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_main_text": op2_main_text, "op4_mixing": op4_mixing, "op5_quality": op5_quality,
            "op6_vectors": op6_vectors, "op7_toxicity": op7_toxicity,
            "op9_neardup": op9_neardup}
 SQL = {"op1_decontaminate": f"WITH {OP1_WITH} SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r",
