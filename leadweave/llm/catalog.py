@@ -8,6 +8,7 @@ from leadweave.llm.mixing import mix
 from leadweave.llm.neardup import classes
 from leadweave.llm.quality import quality
 from leadweave.llm.toxicity import toxicity
+from leadweave.llm.urls import LISTED_WORDS, RULES, filter_urls
 from leadweave.llm.vectors import near_vectors
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -23,6 +24,16 @@ def op1_decontaminate(spark, folder):
     return found.drop("spans")
 
 
+def op8_urls(spark, folder):
+    return filter_urls(table(spark, folder, "pages"))
+
+
+def _rule_case(value):
+    """CASE over the rules, longest first."""
+    rules = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+    return " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{value(v, h, p)}'" for v, h, p in rules)
+
+
 OP1_WITH = f"""d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
 p AS (SELECT DISTINCT item, m, array_to_string(w[i:i + m - 1], ' ') AS t
@@ -63,7 +74,7 @@ def op9_neardup(spark, folder):
 
 
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_main_text": op2_main_text, "op4_mixing": op4_mixing, "op5_quality": op5_quality,
-           "op6_vectors": op6_vectors, "op7_toxicity": op7_toxicity,
+           "op6_vectors": op6_vectors, "op7_toxicity": op7_toxicity, "op8_urls": op8_urls,
            "op9_neardup": op9_neardup}
 SQL = {"op1_decontaminate": f"WITH {OP1_WITH} SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r",
        "op6_vectors": """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
@@ -73,4 +84,9 @@ reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, links.b F
 c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
 n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
 SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
-FROM c LEFT JOIN n USING (vec_id)"""}
+FROM c LEFT JOIN n USING (vec_id)""",
+       "op8_urls": rf"""WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)
+SELECT page_id, host, path, CASE {_rule_case(lambda v, h, p: h + p)} END AS rule,
+  CASE {_rule_case(lambda v, h, p: v)} WHEN regexp_matches(host, '(^|[.-])({"|".join(LISTED_WORDS)})([.-]|$)') THEN 'block' ELSE 'allow' END AS verdict
+FROM u"""}
