@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from leadweave.llm.decontaminate import contamination
 from leadweave.llm.html import extract
+from leadweave.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, needed, scan, template_words
 from leadweave.llm.mixing import mix
 from leadweave.llm.neardup import classes
 from leadweave.llm.quality import quality
@@ -28,6 +29,14 @@ def op8_urls(spark, folder):
     return filter_urls(table(spark, folder, "pages"))
 
 
+def op10_licenses(spark, folder):
+    return scan(table(spark, folder, "documents"))
+
+
+def _list(words):
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
 def _rule_case(value):
     """CASE over the rules, longest first."""
     rules = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
@@ -74,7 +83,7 @@ def op9_neardup(spark, folder):
 
 
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_main_text": op2_main_text, "op4_mixing": op4_mixing, "op5_quality": op5_quality,
-           "op6_vectors": op6_vectors, "op7_toxicity": op7_toxicity, "op8_urls": op8_urls,
+           "op6_vectors": op6_vectors, "op7_toxicity": op7_toxicity, "op8_urls": op8_urls, "op10_licenses": op10_licenses,
            "op9_neardup": op9_neardup}
 SQL = {"op1_decontaminate": f"WITH {OP1_WITH} SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r",
        "op6_vectors": """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
@@ -89,4 +98,16 @@ FROM c LEFT JOIN n USING (vec_id)""",
   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)
 SELECT page_id, host, path, CASE {_rule_case(lambda v, h, p: h + p)} END AS rule,
   CASE {_rule_case(lambda v, h, p: v)} WHEN regexp_matches(host, '(^|[.-])({"|".join(LISTED_WORDS)})([.-]|$)') THEN 'block' ELSE 'allow' END AS verdict
-FROM u"""}
+FROM u""",
+       "op10_licenses": rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w, {LOWERED} AS low FROM documents),
+p AS (SELECT unnest([{", ".join(f"{{'phrase': {_list(k.split())}, 'label': '{v}'}}" for k, v in PHRASES.items())}]) AS p),
+o AS (SELECT r, i - 1 AS at, p.label AS label FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d), p WHERE w[i:i + len(p.phrase) - 1] = p.phrase),
+b AS (SELECT r, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, list(DISTINCT label) AS labels FROM o GROUP BY r),
+t AS (SELECT unnest([{", ".join(f"{{'label': '{k}', 'words': {_list(template_words(v))}, 'needed': {needed(len(template_words(v)), THRESHOLD)}}}" for k, v in TEMPLATES)}]) AS t),
+l AS (SELECT r, regexp_extract_all(unnest(string_split(low, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM d),
+m AS (SELECT r, t.label AS label, len(list_intersect(t.words, w)) / len(t.words) AS share FROM l, t WHERE len(list_intersect(t.words, w)) >= t.needed),
+g AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS score FROM m GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, g.labels))), ','), '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN g USING (r)"""}
