@@ -24,12 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadweave.llm.components import components
+from leadweave.llm.urls import encode, hashed, passing
 from leadweave.llm.words import U64, batch_slices, column_of, mix, shingles, words_of
 from leadweave.session import cut
 
 WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 6
 BLOCK = 256
+# The filter that keeps texts outside families from being shuffled is sized for so many ids at most (10 MB).
+FILTER_IDS = 8_000_000
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
@@ -131,7 +134,10 @@ def _links(texts: DataFrame, families: DataFrame, width: int, similarity: float,
     sizes = families.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     placed = (families.join(sizes, "component")
               .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
-    text = texts.join(placed, "id").groupBy("id", "component", "blocks", "block").agg(F.min("text").alias("text"))
+    ids = families.select(*hashed(F.col("id")))
+    inside = encode(ids, max(1, min(families.count(), FILTER_IDS)), 0.01, 1)
+    near = passing(texts.select("*", *hashed(F.col("id"))), inside).drop("a", "b")
+    text = near.join(placed, "id").groupBy("id", "component", "blocks", "block").agg(F.min("text").alias("text"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     tasks = (text.withColumn("other", other)
              .select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),

@@ -100,7 +100,12 @@ def _hashes(batch):
     return np.asarray(column_of(batch, "a")).view(np.uint64), np.asarray(column_of(batch, "b")).view(np.uint64)
 
 
-def _encode(keys: DataFrame, number: int, rate: float, level: int) -> Filter:
+def hashed(key: Column) -> list[Column]:
+    """The two hashes a, b that stand for a key in filters."""
+    return [F.xxhash64(key).alias("a"), F.xxhash64(F.lit(1), key).alias("b")]
+
+
+def encode(keys: DataFrame, number: int, rate: float, level: int) -> Filter:
     """The filter of a table of keys; tasks set bits, equal words are joined before they reach the driver."""
     out = empty_filter(number, rate, level)
 
@@ -119,7 +124,8 @@ def _encode(keys: DataFrame, number: int, rate: float, level: int) -> Filter:
     return out
 
 
-def _passing(keys: DataFrame, level: Filter) -> DataFrame:
+def passing(keys: DataFrame, level: Filter) -> DataFrame:
+    """The rows (with hashes a, b) that a filter lets through."""
     shared = keys.sparkSession.sparkContext.broadcast(level)
 
     def test(batches):
@@ -151,8 +157,8 @@ def cascade(listed: DataFrame, unlisted: DataFrame) -> list[Filter]:
             both = [np.stack([np.asarray(t[c]).view(np.uint64) for c in ("a", "b")], axis=1) for t in (inside.toArrow(), outside.toArrow())]
             return out + _finish(*both, len(out) + 1)
         rate = min(0.5, max(1e-3, 0.7 * n / max(m, 1))) if not out else LATER_RATE
-        out.append(_encode(inside, n, rate, len(out) + 1))
-        inside, outside = cut(_passing(outside, out[-1]), "cascade"), inside
+        out.append(encode(inside, n, rate, len(out) + 1))
+        inside, outside = cut(passing(outside, out[-1]), "cascade"), inside
         n, m = inside.count(), n
     return out
 
@@ -186,7 +192,7 @@ def filter_urls(pages: DataFrame, rules=None, words=LISTED_WORDS, shard_keys: in
     url = F.col("url").cast("string")
     rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
     key = F.concat("host", "path")
-    rows = rows.withColumn("rule", longest_rule(F.col("host"), F.col("path"), rules)).withColumn("a", F.xxhash64(key)).withColumn("b", F.xxhash64(F.lit(1), key))
+    rows = rows.withColumn("rule", longest_rule(F.col("host"), F.col("path"), rules)).select("*", *hashed(key))
     blocked = F.coalesce(F.col("rule.verdict") == "block", listed_host(F.col("host"), words))
     universe = rows.select("a", "b", blocked.alias("listed")).groupBy("a", "b").agg(F.bool_or("listed").alias("listed"))
     judged = with_membership(rows.select("page_id", "host", "path", F.col("rule.rule").alias("rule"), "a", "b"), universe, shard_keys=shard_keys)
