@@ -101,8 +101,8 @@ SELECT page_id, host, path, CASE {_rule_case(lambda v, h, p: h + p)} END AS rule
 FROM u""",
        "op10_licenses": rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w, {LOWERED} AS low FROM documents),
 p AS (SELECT unnest([{", ".join(f"{{'phrase': {_list(k.split())}, 'label': '{v}'}}" for k, v in PHRASES.items())}]) AS p),
-o AS (SELECT r, i - 1 AS at, p.label AS label FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d), p WHERE w[i:i + len(p.phrase) - 1] = p.phrase),
-b AS (SELECT r, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, list(DISTINCT label) AS labels FROM o GROUP BY r),
+o AS (SELECT r, i - 1 AS pos, p.label AS label FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d), p WHERE w[i:i + len(p.phrase) - 1] = p.phrase),
+b AS (SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels FROM o GROUP BY r),
 t AS (SELECT unnest([{", ".join(f"{{'label': '{k}', 'words': {_list(template_words(v))}, 'needed': {needed(len(template_words(v)), THRESHOLD)}}}" for k, v in TEMPLATES)}]) AS t),
 l AS (SELECT r, regexp_extract_all(unnest(string_split(low, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM d),
 m AS (SELECT r, t.label AS label, len(list_intersect(t.words, w)) / len(t.words) AS share FROM l, t WHERE len(list_intersect(t.words, w)) >= t.needed),
