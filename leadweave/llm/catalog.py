@@ -8,6 +8,7 @@ from leadweave.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, needed, scan,
 from leadweave.llm.mixing import mix
 from leadweave.llm.neardup import classes
 from leadweave.llm.quality import quality
+from leadweave.llm.toolcalls import format_chats
 from leadweave.llm.toxicity import toxicity
 from leadweave.llm.urls import LISTED_WORDS, RULES, filter_urls
 from leadweave.llm.vectors import near_vectors
@@ -62,6 +63,10 @@ def op2_main_text(spark, folder):
     return extract(table(spark, folder, "pages"))
 
 
+def op3_tool_calls(spark, folder):
+    return format_chats(table(spark, folder, "conversations"))
+
+
 def op4_mixing(spark, folder):
     return mix(table(spark, folder, "documents"), ["doc_id"])
 
@@ -82,7 +87,7 @@ def op9_neardup(spark, folder):
     return classes(table(spark, folder, "documents"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_main_text": op2_main_text, "op4_mixing": op4_mixing, "op5_quality": op5_quality,
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_main_text": op2_main_text, "op3_tool_calls": op3_tool_calls, "op4_mixing": op4_mixing, "op5_quality": op5_quality,
            "op6_vectors": op6_vectors, "op7_toxicity": op7_toxicity, "op8_urls": op8_urls, "op10_licenses": op10_licenses,
            "op9_neardup": op9_neardup}
 SQL = {"op1_decontaminate": f"WITH {OP1_WITH} SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r",
@@ -110,4 +115,17 @@ g AS (SELECT r, list(DISTINCT label) AS labels, max(share) AS score FROM m GROUP
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, first_word, last_word,
   coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(b.labels, g.labels))), ','), '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
-FROM d LEFT JOIN b USING (r) LEFT JOIN g USING (r)"""}
+FROM d LEFT JOIN b USING (r) LEFT JOIN g USING (r)""",
+       "op3_tool_calls": r"""WITH c AS (SELECT conv_id || ':' || turn AS call_id, conv_id, turn, text,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n FROM conversations WHERE role = 'user'),
+r AS (SELECT conv_id || ':' || (turn - 1) AS call_id, conv_id, turn, text FROM conversations WHERE role = 'assistant')
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.turn) AS turn, 'call' AS kind, coalesce(c.call_id, r.call_id) AS call_id,
+  CASE WHEN c.call_id IS NOT NULL THEN 'reply' END AS name, r.turn AS result_turn, 0 AS level,
+  CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status, '' AS errors,
+  CAST(c.call_id IS NOT NULL AS BIGINT) AS n_calls, CAST(r.call_id IS NOT NULL AS BIGINT) AS n_results,
+  CASE WHEN c.call_id IS NULL THEN CAST(json_object('id', r.call_id, 'result', r.text) AS VARCHAR)
+       WHEN r.call_id IS NULL THEN CAST(json_object('arguments', json_object('prompt', c.text, 'words', n), 'id', c.call_id, 'name', 'reply') AS VARCHAR)
+       ELSE CAST(json_object('arguments', json_object('prompt', c.text, 'words', n), 'id', c.call_id, 'name', 'reply', 'result', r.text) AS VARCHAR) END AS json
+FROM c FULL JOIN r USING (call_id)
+UNION ALL SELECT conv_id, turn, 'message', NULL, NULL, NULL, 0, 'plain', '', 0, 0, CAST(json_object('content', text, 'role', role) AS VARCHAR)
+FROM conversations WHERE role NOT IN ('user', 'assistant')"""}
