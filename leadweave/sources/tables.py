@@ -102,3 +102,8 @@ def write_report(rows: DataFrame, path: str) -> None:
     data = by_score(rows)
     header = not rows.isEmpty()
     data.write.mode("overwrite").option("header", header).option("escape", '"').csv(path)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """A written report, all columns as text; values may hold line breaks."""
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)

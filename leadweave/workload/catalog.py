@@ -67,9 +67,9 @@ ALL_STATE = ", ".join(STATE_COLUMNS)
 ALL_SIGHTING = ", ".join(SIGHTING_COLUMNS)
 
 # ---------------------------------------------------------------- sources ----
-RESPONSES = """
+RESPONSES = f"""
 SELECT page_id AS query_seq, 'web_search' AS channel, 'food' AS vertical, 'k' AS keyword,
-       regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, url AS link, regexp_extract(html, '<p>([^<]*)', 1) AS snippet
+       regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, url AS link, {I.PAGE_TEXT} AS snippet
 FROM pages
 """
 
@@ -189,11 +189,12 @@ def source_stage_snapshot(spark, sf):
 
 
 # ------------------------------------------------------------------ sinks ----
-@query(f"SELECT CAST(id AS VARCHAR) AS id, company_name, CAST(score AS VARCHAR) AS score, tier FROM {T} t")
+@query(f"SELECT {', '.join(f'coalesce(CAST({c} AS VARCHAR), {chr(39)*2}) AS {c}' for c in STATE_COLUMNS)} FROM {T} t")
 def sink_csv_export(spark, sf):
+    """Every column of the report as read back, notes with line breaks included."""
     path = f"{work_folder(spark)}/report-{uuid.uuid4().hex}"
     tables.write_report(state(spark, sf), path)
-    return spark.read.option("header", True).option("escape", '"').csv(path).select("id", "company_name", "score", "tier")
+    return tables.read_report(spark, path).select(*[F.coalesce(c, F.lit("")).alias(c) for c in STATE_COLUMNS])
 
 
 SHEET = ", ".join(V.SHEET_COLUMNS)

@@ -8,17 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# First five words of every document (letters and digits, lower case) and a site name of the first three.
+# Five words of every document, drawn by hash from all words of its whole text (letters and digits, lower case), and a
+# site name of the first three. Copies draw the same words, near copies nearly the same: names that are alike.
 WORDS = r"""
-SELECT doc_id, n_chars, words,
+SELECT doc_id, n_chars, text, words,
        regexp_replace(regexp_extract(words, '^[^ ]+(?: [^ ]+)?(?: [^ ]+)?', 0), ' ', ''{all}) AS site
-FROM (SELECT doc_id, n_chars,
-             lower(regexp_replace(
-               regexp_extract(text, '^[^\p{L}\p{N}]*((?:[\p{L}\p{N}]+[^\p{L}\p{N}]+){0,4}[\p{L}\p{N}]+)', 1),
-               '[^\p{L}\p{N}]+', ' '{all})) AS words
+FROM (SELECT doc_id, n_chars, text,
+             {join}({map}({slice}({sort}({map}({distinct}(regexp_extract_all(lower(text), '[\p{L}\p{N}]+', 0)),
+               {w} concat(md5(w), w))), 1, 5), {w} substr(w, 33)), ' ') AS words
       FROM documents) w
 """
 
+# Text of a page: everything outside scripts, styles and tags.
+PAGE_TEXT = r"""regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', ' '{all}), '<[^>]*>', ' '{all})"""
+
 SIGHTINGS = rf"""
 SELECT doc_id AS seq,
        CASE WHEN doc_id % 7 = 0 THEN substr(words, 1, 1) || substr(words, 3) ELSE words END
@@ -52,9 +55,9 @@ SELECT doc_id AS seq,
        CAST(CASE WHEN doc_id % 4 = 0 THEN NULL ELSE doc_id % 101 END AS INT) AS email_confidence,
        CASE WHEN doc_id % 11 = 0 THEN 'R' || CAST(doc_id AS STRING) ELSE '' END AS registration_id,
        CASE WHEN doc_id % 6 = 5 THEN 'flavor extract' ELSE '' END AS import_products,
-       CASE doc_id % 8 WHEN 0 THEN '' WHEN 1 THEN 'Based in Austin, TX' WHEN 2 THEN 'Offices in West Virginia'
-                       WHEN 3 THEN 'Hunter email pattern: f.last@' || site || '.com' WHEN 4 THEN 'Made in Ohio and Texas'
-                       WHEN 5 THEN 'Somewhere, XX near new york' ELSE words END AS notes,
+       CASE doc_id % 8 WHEN 1 THEN 'Based in Austin, TX. ' || text WHEN 2 THEN text || ' Offices in West Virginia'
+                       WHEN 3 THEN text || chr(10) || 'Hunter email pattern: f.last@' || site || '.com' WHEN 4 THEN text || ' Made in Ohio and Texas'
+                       WHEN 5 THEN 'Somewhere, XX near new york ' || text ELSE text END AS notes,
        CAST(0 AS INT) AS score, '' AS score_breakdown, '' AS tier,
        '2024-01-' || CAST(10 + doc_id % 20 AS STRING) AS scraped_date
 FROM ({WORDS}) d
@@ -74,7 +77,7 @@ SELECT 2 * page_id AS seq,
        regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
        CASE page_id % 8 WHEN 0 THEN 'https://marketplace.walmart.com/i/' || CAST(page_id AS STRING)
                         WHEN 1 THEN 'http://www.shop' || CAST(page_id % 40 AS STRING) || '.co.uk/x' ELSE url END AS link,
-       regexp_extract(html, '<p>([^<]*)', 1) || {PHRASE.replace('{k}', 'page_id')} AS snippet,
+       {PAGE_TEXT} || {PHRASE.replace('{k}', 'page_id')} AS snippet,
        page_id % 2 = 0 AS from_index
 FROM pages
 UNION ALL
@@ -200,12 +203,23 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "conversations").split()
 
 
+# Names that differ between the engines.
+DUCKDB = {"{w}": "lambda w:", "{all}": ", 'g'", "{join}": "array_to_string", "{map}": "list_transform", "{slice}": "list_slice", "{sort}": "list_sort", "{distinct}": "list_distinct"}
+SPARK = {"{w}": "w ->", "{all}": "", "{join}": "array_join", "{map}": "transform", "{slice}": "slice", "{sort}": "array_sort", "{distinct}": "array_distinct"}
+
+
+def _named(sql: str, names: dict[str, str]) -> str:
+    for mark, name in names.items():
+        sql = sql.replace(mark, name)
+    return sql
+
+
 def for_duckdb(sql: str) -> str:
-    return sql.replace("{all}", ", 'g'")
+    return _named(sql, DUCKDB)
 
 
 def for_spark(sql: str) -> str:
-    return sql.replace("{all}", "").replace("\\", "\\\\")
+    return _named(sql, SPARK).replace("\\", "\\\\")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
