@@ -26,6 +26,21 @@ def host(url: Column | str) -> Column:
     return F.regexp_replace(F.lower(raw), r"^www\.", "")
 
 
+def website_host(url: Column | str) -> Column:
+    """Host of a website for contact lookups: the scheme test minds case, and a text without any host stays as it is."""
+    text = strip(text_or_blank(url))
+
+    def whole(w: Column) -> Column:
+        return F.when(w.startswith("http://") | w.startswith("https://"), w).otherwise(F.concat(F.lit("http://"), w))
+
+    def bare(full: Column) -> Column:
+        place = F.regexp_replace(F.regexp_extract(full, r"^https?://([^/?#]*)", 1), r"^.*@", "")
+        name = F.lower(F.regexp_replace(F.regexp_extract(place, r"^(\[[^\]]*|[^:]*)", 1), r"^\[", ""))
+        return F.lower(F.regexp_replace(F.when(name != "", name).otherwise(full), r"^www\.", ""))
+
+    return bind(bind(text, whole), bare)
+
+
 def clean_block_list(entries: Iterable[str | None]) -> list[str]:
     """User block list: lower case, trimmed, blanks dropped."""
     return sorted({e.lower().strip() for e in entries if e})

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import IntegerType
 
-from ..fixed_values import DESCRIPTOR_WORDS, LEGAL_WORDS
+from ..fixed_values import DESCRIPTOR_WORDS, LEGAL_WORDS, NAME_MATCH_PERCENT
 from .text import any_of, strip, text_or_blank
 
 # Ship the function below inside the job: executors need not have this package installed.
@@ -56,6 +56,11 @@ def lcs_length(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Se
         yield pd.Series([common_length(a, b) for a, b in zip(left, right)], dtype="int32")
 
 
+def ratio(lcs: Column, total_chars: Column) -> Column:
+    """Similarity 100*2*lcs/total as a whole number, rounded half to even; two empty texts are alike."""
+    return F.when(total_chars == 0, 100).otherwise(F.rint(lcs * 200.0 / total_chars)).cast("int")
+
+
 def is_match(lcs: Column, total_chars: Column) -> Column:
-    """Similarity 100*2*lcs/total rounds (half to even) to at least 85, that is, exceeds 84.5."""
-    return lcs * 400 > total_chars * 169
+    """The ratio reaches the match percentage. In whole numbers: half below it would round down to the even one."""
+    return lcs * 400 > total_chars * (2 * NAME_MATCH_PERCENT - 1)

@@ -120,15 +120,21 @@ def full_name(first: Column | str, last: Column | str) -> Column:
 
 
 def matches_terms(query: str, columns: list[str]) -> Column:
-    """Every white-space separated term occurs (any case) in at least one of the columns.
+    """Every white-space separated term occurs in at least one of the columns; only A-Z and a-z are the same.
 
     `%` and `_` in a term keep their LIKE meaning.
     """
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     test = F.lit(True)
     for term in query.split():
-        pattern = "%" + term.replace("\\", "\\\\") + "%"
+        pattern = "%" + term.translate(str.maketrans(upper, lower)).replace("\\", "\\\\") + "%"
         found = F.lit(False)
         for name in columns:
-            found = found | F.coalesce(F.col(name).ilike(pattern), F.lit(False))
+            found = found | F.coalesce(F.translate(F.col(name), upper, lower).like(pattern), F.lit(False))
         test = test & found
     return test
+
+
+def keyword_text(keywords: Column) -> Column:
+    """A list of keywords as one text, blank for none."""
+    return F.coalesce(F.array_join(keywords, ", "), F.lit(""))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import FIRST_CHOICE_TITLES, PATTERN_NOTE, SECOND_CHOICE_TITLES
-from ..functions.hosts import host, is_blocked
+from ..functions.hosts import is_blocked, website_host
 from ..functions.text import any_of, full_name, strip, text_or_blank
 
 # Rows that were not searched follow the searched ones in output order.
@@ -24,16 +24,14 @@ def best_people(people: DataFrame) -> DataFrame:
 
     `people`: (org_id, pos, first_name, last_name, title, email).
     """
-    choice = title_choice("title")
-    person = F.struct(
-        full_name("first_name", "last_name").alias("contact_name"),
-        text_or_blank("title").alias("contact_title"),
-        text_or_blank("email").alias("contact_email"),
-    )
-    best = F.min_by(person, F.when(choice.isNotNull(), F.struct(choice, "pos")))
-    return people.groupBy("org_id").agg(best.alias("p")).filter("p IS NOT NULL").select(
-        "org_id", "p.*", F.lit("apollo").alias("contact_source")
-    )
+    # Class and place in one number: the smallest one per organisation is a hash aggregate over two columns.
+    ranked = people.withColumn("_choice", title_choice("title")).filter("_choice IS NOT NULL").withColumn(
+        "_rank", F.col("_choice") * F.lit(1 << 60) + F.col("pos"))
+    first = ranked.groupBy("org_id").agg(F.min("_rank").alias("_rank"))
+    return ranked.join(first, ["org_id", "_rank"], "left_semi").select(
+        "org_id", full_name("first_name", "last_name").alias("contact_name"), text_or_blank("title").alias("contact_title"),
+        text_or_blank("email").alias("contact_email"), F.lit("apollo").alias("contact_source"),
+    ).dropDuplicates(["org_id"])
 
 
 def best_mailboxes(mailboxes: DataFrame) -> DataFrame:
@@ -85,7 +83,7 @@ def enrich(rows: DataFrame, mailboxes: DataFrame, quota: int, user_blocked=()) -
     """Fills contacts of searchable rows within the quota; searched rows come first in `seq`."""
     columns = rows.columns
     flagged = within_quota(rows, is_searchable(user_blocked), quota).withColumn(
-        "_host", F.when(F.col("searched"), host("website"))
+        "_host", F.when(F.col("searched"), website_host("website"))
     )
     found = best_mailboxes(mailboxes).withColumnRenamed("domain", "_host")
     joined = flagged.join(found, "_host", "left")

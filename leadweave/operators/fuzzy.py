@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import is_match, lcs_length
-from ..session import cut
+from ..session import cut, discard
 
 SLACK = 155  # thousandths
 # Signature classes by the longer key of a pair: up to SHORT, then pairs of bigrams, then from LONG on.
@@ -274,7 +274,11 @@ def first_match(
         found.append(pairs)
         left -= size
         if left:
+            before = rest
             rest = cut(rest.join(pairs, F.col("ord") == F.col("b"), "left_anti"), "probe")
+            discard(before)
+            if rest.isEmpty():
+                break
             todo = later
             chunk *= 4
     # An equal key competes with the similar keys; the lowest order wins.

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import US_STATES
 from ..settings import Settings
 
 
+KEYWORD_ROW = "vertical string, vpos int, kpos int, keyword string"
+
+
 def vertical_keywords(spark: SparkSession, settings: Settings) -> DataFrame:
-    """(vertical, vpos, keywords) of the settings."""
-    rows = [(v, i, list(k)) for i, (v, k) in enumerate(settings.vertical_keywords.items())]
-    return spark.createDataFrame(rows, "vertical string, vpos int, keywords array<string>")
+    """(vertical, vpos, kpos, keyword), one row per keyword."""
+    rows = [(v, i, j, k) for i, (v, words) in enumerate(settings.vertical_keywords.items()) for j, k in enumerate(words)]
+    return spark.createDataFrame(rows, KEYWORD_ROW)
 
 
 def import_keywords(spark: SparkSession, settings: Settings) -> DataFrame:
-    rows = [(v, i, list(settings.import_keywords.get(v, []))) for i, v in enumerate(settings.vertical_keywords)]
-    return spark.createDataFrame(rows, "vertical string, vpos int, keywords array<string>")
+    rows = [(v, i, j, k) for i, v in enumerate(settings.vertical_keywords) for j, k in enumerate(settings.import_keywords.get(v, []))]
+    return spark.createDataFrame(rows, KEYWORD_ROW)
 
 
 def only_verticals(rows: DataFrame, wanted: list[str] | None) -> DataFrame:
@@ -47,12 +50,11 @@ def resolve_states(settings: Settings, names: str | None = None, nationwide: boo
 def web_requests(keywords: DataFrame, states: list[str]) -> DataFrame:
     """Every keyword with every target state, in vertical, keyword, state order.
 
-    `keywords`: (vertical, vpos, keywords). The at most 50 states are an array literal, so the
+    `keywords`: (vertical, vpos, kpos, keyword). The at most 50 states are an array literal, so the
     product is an explode and needs no join.
     """
     return (
-        keywords.select("vertical", "vpos", F.posexplode("keywords").alias("kpos", "keyword"))
-        .select("*", F.posexplode(F.array(*[F.lit(s) for s in states])).alias("spos", "state"))
+        keywords.select("vertical", "vpos", "kpos", "keyword", F.posexplode(F.array(*[F.lit(s) for s in states])).alias("spos", "state"))
         .select("vertical", "vpos", "kpos", "spos", "keyword", "state", F.concat_ws(" ", "keyword", "state").alias("query"))
     )
 
@@ -64,26 +66,29 @@ def signal_requests(terms: DataFrame) -> DataFrame:
 
 def import_requests(keywords: DataFrame) -> DataFrame:
     """Two queries per import keyword: the import index first, then the open web."""
-    each = keywords.select("vertical", "vpos", F.posexplode("keywords").alias("kpos", "keyword"))
     both = F.array(
         F.format_string('site:importyeti.com "%s"', "keyword"),
         F.format_string('"%s" manufacturer importer USA', "keyword"),
     )
-    return each.select("vertical", "vpos", "kpos", "keyword", F.posexplode(both).alias("qpos", "query"))
+    return keywords.select("vertical", "vpos", "kpos", "keyword", F.posexplode(both).alias("qpos", "query"))
+
+
+def first_of(keywords: DataFrame, number: int) -> DataFrame:
+    """The first keywords of every vertical. A rank below a bound: each task passes on at most `number` rows per vertical."""
+    place = F.row_number().over(Window.partitionBy("vertical").orderBy("kpos"))
+    return keywords.select("vertical", "vpos", "kpos", "keyword").withColumn("_place", place).filter(F.col("_place") <= number).drop("_place")
 
 
 def organisation_requests(keywords: DataFrame, max_pages: int, first_keywords: int = 3) -> DataFrame:
     """First keywords of every vertical, each with its result pages."""
-    return keywords.select(
-        "vertical", "vpos", F.posexplode(F.slice("keywords", 1, first_keywords)).alias("kpos", "keyword")
-    ).select("*", F.explode(F.sequence(F.lit(1), F.lit(max_pages))).alias("page"))
+    return first_of(keywords, first_keywords).select("*", F.explode(F.sequence(F.lit(1), F.lit(max_pages))).alias("page"))
 
 
 def request_counts(keywords: DataFrame, terms: DataFrame, imports: DataFrame, states: list[str]) -> DataFrame:
     """(channel, calls): search calls per channel."""
-    web = keywords.agg((F.coalesce(F.sum(F.size("keywords")), F.lit(0)) * len(states)).alias("calls"))
+    web = keywords.agg((F.count(F.lit(1)) * len(states)).alias("calls"))
     signal = terms.agg(F.count(F.lit(1)).alias("calls"))
-    imported = imports.agg((F.coalesce(F.sum(F.size("keywords")), F.lit(0)) * 2).alias("calls"))
+    imported = imports.agg((F.count(F.lit(1)) * 2).alias("calls"))
     named = [(web, "web_search"), (signal, "sqep"), (imported, "import_search")]
     out = [df.select(F.lit(name).alias("channel"), F.col("calls").cast("bigint").alias("calls")) for df, name in named]
     return out[0].unionByName(out[1]).unionByName(out[2])

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hosts import host
 from ..functions.names import company_key, sorted_tokens
-from ..session import cut, lookup
+from ..session import cut, discard, lookup
 from .fuzzy import (
     PAIR_BUDGET, SMALL_SET, _next_chunk, _spread, bigram_order, describe, probe_pairs, self_affordable, self_pairs, signature_width,
 )
@@ -56,9 +56,11 @@ def greedy_leaders(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             .when(F.col("lead").isNull() & F.col("open").isNull(), F.col("ord"))
             .when(F.col("open").isNull() | (F.col("lead") < F.col("open")), F.col("lead"))
         )
+        before = state
         state = cut(
             state.join(seen, F.col("ord") == F.col("b"), "left").select("ord", decided.alias("leader")), "leaders"
         )
+        discard(before)
     return state
 
 
@@ -99,7 +101,7 @@ def with_keys(sightings: DataFrame) -> DataFrame:
 
 def assign_leaders(sightings: DataFrame, first_batch: int = FIRST_BATCH, budget: int = PAIR_BUDGET) -> DataFrame:
     """Adds `leader`, the `seq` of the sighting that leads the company of each sighting."""
-    keyed = with_keys(sightings)
+    keyed = cut(with_keys(sightings), "keyed")  # read many times below: the channels run once
     narrow = keyed.select("seq", "domain", "name_key")
     heads = cut(
         narrow.filter("domain <> ''").groupBy("domain").agg(

@@ -133,15 +133,16 @@ def name_contains(key: str):
     return F.lower("normalized_name").like("%" + key.replace("\\", "\\\\") + "%")
 
 
-def set_status(state: DataFrame, name: str, status: str, at: dt.datetime, note: str = "") -> DataFrame:
-    """State with a new status, note and time on every row whose name contains the given one."""
+def set_status(state: DataFrame, name: str, status: str, at: dt.datetime, note: str = "") -> tuple[DataFrame, int]:
+    """State with a new status, note and time on every row whose name contains the given one, and the number of these rows."""
     key = state.sparkSession.range(1).select(company_key(F.lit(name))).first()[0]
     hit = name_contains(key)
-    return state.withColumns({
+    changed = state.withColumns({
         "status": F.when(hit, F.lit(status)).otherwise(F.col("status")),
         "status_updated": F.when(hit, F.lit(at)).otherwise(F.col("status_updated")),
         "status_notes": F.when(hit, F.lit(note)).otherwise(F.col("status_notes")),
     })
+    return changed, state.filter(hit).count()
 
 
 def set_verified(state: DataFrame, results: DataFrame) -> DataFrame:

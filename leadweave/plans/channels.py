@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from ..fixed_values import CHANNEL_ORDER
 from ..functions.hosts import host, is_blocked, name_from_import_title, name_from_title
 from ..functions.text import blank_to_null, detect_signals, revenue
-from ..operators.contacts import best_people
+from ..operators.contacts import NOT_SEARCHED_OFFSET, best_people
 from ..operators.firsthit import first_per
 from ..schemas import SIGHTING_FIELDS
 from ..settings import Settings
 
-# Sightings of channel i are numbered from i * CHANNEL_SPAN.
-CHANNEL_SPAN = 1 << 58
+# Sightings of channel i are numbered from i * CHANNEL_SPAN; all stay below the offset of rows that are not searched.
+CHANNEL_SPAN = 1 << 54
+MOST_CHANNELS = NOT_SEARCHED_OFFSET // CHANNEL_SPAN
 
 Channel = Callable[..., DataFrame]
 CHANNELS: dict[str, Channel] = {}
@@ -133,6 +134,8 @@ def organisation_channel(
 def all_channels(parts: dict[str, DataFrame]) -> DataFrame:
     """Sightings of all channels, numbered in channel order."""
     known = [n for n in CHANNEL_ORDER if n in parts] + [n for n in parts if n not in CHANNEL_ORDER]
+    if len(known) > MOST_CHANNELS:
+        raise ValueError(f"at most {MOST_CHANNELS} channels, not {len(known)}")
     numbered = [
         parts[name].withColumn("seq", F.col("seq") + F.lit(i * CHANNEL_SPAN)) for i, name in enumerate(known)
     ]

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 HOT_PARTS = 1000
 # Inputs of at most this many rows take the plain way.
 PLAIN_ROWS = 100_000
-# Ranges for numbering rows.
-RANGES = 200
+# Ranges for numbering rows: one for so many rows, within these limits.
+RANGE_ROWS, LEAST_RANGES, MOST_RANGES = 5_000_000, 16, 2_000
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **extra) -> SparkSession:
@@ -63,22 +63,26 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables written by `cut` that nothing reads any more."""
+    for table in tables:
+        for file in table.inputFiles()[:1]:  # all files of such a table lie in its folder
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def row_order(df: DataFrame, order_col: str, out: str, start: int = 0) -> DataFrame:
     """Consecutive numbers start+1, start+2, ... by a unique `order_col`, without one global window.
 
     Rows are cut into ranges of `order_col` at sampled quantiles; each range is numbered on its own
     and shifted by the number of rows in the ranges before it.
     """
-    stats = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(order_col, [i / RANGES for i in range(1, RANGES)], 10000).alias("q"),
-    ).first()
-    cuts = sorted(set(stats["q"] or [])) if stats["n"] > PLAIN_ROWS else []
-    if cuts:
-        points = F.array(*[F.lit(c) for c in cuts])
-        part = F.size(F.filter(points, lambda c: c < F.col(order_col)))
-    else:
-        part = F.lit(0)
+    ranges = min(MOST_RANGES, max(LEAST_RANGES, df.count() // RANGE_ROWS))
+    quantiles = F.percentile_approx(order_col, [i / ranges for i in range(1, ranges)], 10 * ranges)
+    cuts = sorted(set(df.agg(quantiles.alias("q")).first()["q"] or []))
+    points = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
+    part = F.size(F.filter(points, lambda c: c < F.col(order_col)))
     marked = df.withColumn("_part", part.cast("int"))
     counts = {r["_part"]: r["count"] for r in marked.groupBy("_part").count().collect()}  # at most RANGES rows
     shift, total = [], start

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import text_or_blank
+from ..functions.text import keyword_text, text_or_blank
 
 # Search position inside one response: seq = query_seq * POSITIONS + position.
 POSITIONS = 1 << 16
@@ -48,7 +48,7 @@ def organisations(responses: DataFrame) -> DataFrame:
         *[text_or_blank(f"org.{c}").alias(c) for c in ("name", "phone", "sanitized_phone", "primary_domain")],
         F.col("org.organization_revenue").alias("organization_revenue"),
         F.col("org.organization_revenue_printed").alias("organization_revenue_printed"),
-        F.array_join(F.coalesce("org.keywords", F.array().cast("array<string>")), ", ").alias("product_keywords"),
+        keyword_text(F.col("org.keywords")).alias("product_keywords"),
     )
 
 

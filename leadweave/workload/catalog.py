@@ -255,8 +255,8 @@ def sink_run_append(spark, sf):
 
 
 # --------------------------------------------------------------- requests ----
-def keyword_lists(spark, sf) -> DataFrame:
-    return D(spark, sf, I.KEYWORDS).groupBy("vertical", "vpos").agg(F.sort_array(F.collect_list("keyword")).alias("keywords"))
+def keyword_rows(spark, sf) -> DataFrame:
+    return D(spark, sf, I.KEYWORDS)
 
 
 K = Q.rec(I.KEYWORDS)
@@ -268,7 +268,7 @@ def state_values(states) -> str:
 
 @query(f"SELECT vertical, vpos, kpos, CAST(spos AS INT) AS spos, keyword, state, keyword || ' ' || state AS query FROM {K} k, {state_values(STATES)}")
 def requests_web(spark, sf):
-    return requests.web_requests(keyword_lists(spark, sf), STATES)
+    return requests.web_requests(keyword_rows(spark, sf), STATES)
 
 
 TERMS = "SELECT item_id AS pos, text AS term FROM benchmark"
@@ -282,18 +282,18 @@ def requests_signal(spark, sf):
 @query(f"""SELECT vertical, vpos, kpos, keyword, CAST(0 AS INT) AS qpos, 'site:importyeti.com "' || keyword || '"' AS query FROM {K} k
   UNION ALL SELECT vertical, vpos, kpos, keyword, CAST(1 AS INT), '"' || keyword || '" manufacturer importer USA' FROM {K} k""")
 def requests_import(spark, sf):
-    return requests.import_requests(keyword_lists(spark, sf))
+    return requests.import_requests(keyword_rows(spark, sf))
 
 
-@query(f"SELECT vertical, vpos, kpos, keyword, CAST(page AS INT) AS page FROM {K} k, (SELECT unnest(range(1, 5)) AS page) WHERE kpos < 3")
+@query(f"SELECT vertical, vpos, kpos, keyword, CAST(page AS INT) AS page FROM {K} k, (SELECT unnest(range(1, 5)) AS page) QUALIFY row_number() OVER (PARTITION BY vertical, page ORDER BY kpos) <= 3")
 def requests_organisation(spark, sf):
-    return requests.organisation_requests(keyword_lists(spark, sf), 4)
+    return requests.organisation_requests(keyword_rows(spark, sf), 4)
 
 
 @query(f"""SELECT 'web_search' AS channel, CAST(count(*) * {len(STATES)} AS BIGINT) AS calls FROM {K} k
   UNION ALL SELECT 'sqep', count(*) FROM benchmark UNION ALL SELECT 'import_search', CAST(2 * count(*) AS BIGINT) FROM {K} k""")
 def requests_counts(spark, sf):
-    kw = keyword_lists(spark, sf)
+    kw = keyword_rows(spark, sf)
     return requests.request_counts(kw, D(spark, sf, TERMS), kw, STATES)
 
 
@@ -393,7 +393,8 @@ def filter_needs_verification(spark, sf):
 
 
 def term_sql(term: str) -> str:
-    return "(" + " OR ".join(f"{c} ILIKE '%{term}%'" for c in V.SEARCH_COLUMNS) + ")"
+    folded = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return "(" + " OR ".join(f"{folded.format(c)} LIKE '%{term.lower()}%'" for c in V.SEARCH_COLUMNS) + ")"
 
 
 @query(f"SELECT {ALL_STATE} FROM {T} t WHERE {term_sql('FOOD')} AND {term_sql('tx')} {ORDER}")
@@ -430,7 +431,8 @@ def name_keys(spark, sf) -> DataFrame:
 def join_fuzzy_names(spark, sf):
     keys = cut(name_keys(spark, sf), "keys")
     described = cut(fuzzy.describe(keys, fuzzy.bigram_order(keys)), "keys")
-    return fuzzy.self_pairs(described, fuzzy.signature_width(described.count()))
+    number = described.count()
+    return fuzzy.self_pairs(described, fuzzy.signature_width(number), small=number <= fuzzy.SMALL_SET)
 
 
 def keyed_batch(spark, sf) -> DataFrame:
@@ -713,10 +715,10 @@ def state_protected_columns(spark, sf):
 
 
 @query(f"""SELECT id, CASE WHEN hit THEN 'CONTACTED' ELSE status END AS status, CASE WHEN hit THEN TIMESTAMP '2024-04-01 12:00:00' END AS status_updated,
-  CASE WHEN hit THEN 'called' ELSE status_notes END AS status_notes FROM (SELECT *, lower(normalized_name) LIKE '%the%' AS hit FROM {T} t)""")
+  CASE WHEN hit THEN 'called' ELSE status_notes END AS status_notes, count(*) FILTER (WHERE hit) OVER () AS changed FROM (SELECT *, lower(normalized_name) LIKE '%the%' AS hit FROM {T} t)""")
 def state_set_status(spark, sf):
-    changed = upsert.set_status(state(spark, sf), "The, Inc.", "CONTACTED", NOW, "called")
-    return changed.select("id", "status", "status_updated", "status_notes")
+    changed, number = upsert.set_status(state(spark, sf), "The, Inc.", "CONTACTED", NOW, "called")
+    return changed.select("id", "status", "status_updated", "status_notes", F.lit(number).cast("bigint").alias("changed"))
 
 
 @query(f"SELECT t.id, coalesce(v.verified, t.email_verified) AS email_verified FROM {T} t LEFT JOIN ({VERIFY_RESULTS}) v ON t.id = v.id")
@@ -822,20 +824,21 @@ def top_within_quota(spark, sf):
     return contacts.within_quota(sightings(spark, sf), contacts.is_searchable(USER_BLOCKED), QUOTA).select("seq", "searched")
 
 
-@query(f"""SELECT vertical, list_slice(list(keyword ORDER BY keyword), 1, 3) AS first_keywords FROM {K} k GROUP BY vertical""")
+@query(f"SELECT vertical, vpos, kpos, keyword FROM {K} k QUALIFY row_number() OVER (PARTITION BY vertical ORDER BY kpos) <= 3")
 def top_first_keywords(spark, sf):
-    return keyword_lists(spark, sf).select("vertical", F.slice("keywords", 1, 3).alias("first_keywords"))
+    return requests.first_of(keyword_rows(spark, sf), 3)
 
 
 SPAN = channels.CHANNEL_SPAN
 
 
-@query(" UNION ALL ".join(f"SELECT seq + {i * SPAN} AS seq, company_name, source_channel FROM {S} s WHERE source_channel = '{c}'"
+@query(" UNION ALL ".join(f"SELECT seq + {i * SPAN} AS seq, company_name, source_channel FROM {S} s WHERE trim(split_part(source_channel, ',', 1)) = '{c}'"
                          for i, c in enumerate(("web_search", "sqep", "import", "apollo"))))
 def union_channels(spark, sf):
+    """Every sighting, in the part of the first channel it names."""
     rows = sightings(spark, sf)
     names_of = {"web_search": "web_search", "sqep": "sqep", "import_search": "import", "apollo": "apollo"}
-    parts = {n: rows.filter(F.col("source_channel") == c) for n, c in reversed(names_of.items())}
+    parts = {n: rows.filter(F.trim(F.substring_index("source_channel", ",", 1)) == c) for n, c in reversed(names_of.items())}
     return channels.all_channels(parts).select("seq", "company_name", "source_channel")
 
 
@@ -867,9 +870,11 @@ def text_normalize_domain(spark, sf):
     return hits(spark, sf).select("seq", hosts.host("link").alias("domain"))
 
 
-@query(f"SELECT seq, {Q.host('website')} AS domain FROM {S} s WHERE website <> ''")
+@query(f"""SELECT seq, lower(regexp_replace(CASE WHEN name <> '' THEN name ELSE w END, '^www[.]', '')) AS domain FROM (
+  SELECT seq, w, lower(regexp_extract(regexp_replace(regexp_extract(w, '^https?://([^/?#]*)', 1), '^.*@', ''), '^([^:]*)', 1)) AS name FROM (
+    SELECT seq, CASE WHEN starts_with(link, 'http://') OR starts_with(link, 'https://') THEN link ELSE 'http://' || link END AS w FROM {H} h))""")
 def text_website_domain(spark, sf):
-    return sightings(spark, sf).filter("website <> ''").select("seq", hosts.host("website").alias("domain"))
+    return hits(spark, sf).select("seq", hosts.website_host("link").alias("domain"))
 
 
 @query(f"SELECT seq, {Q.company_key('company_name')} AS normalized_name FROM {S} s")
@@ -879,11 +884,12 @@ def text_normalize_company(spark, sf):
 
 @query(f"""WITH s AS MATERIALIZED (SELECT seq, {Q.tokens('company_name')} AS a FROM {S} q),
   p AS MATERIALIZED (SELECT x.seq, x.a, y.a AS b FROM s x JOIN s y ON y.seq = x.seq + 1 WHERE x.a <> '' AND y.a <> '')
-  SELECT seq, CAST({Q.lcs('a', 'b')} AS INT) AS lcs FROM p""")
+  SELECT seq, lcs, CAST(round_even(200.0 * lcs / (len(a) + len(b)), 0) AS INT) AS ratio FROM (SELECT seq, a, b, CAST({Q.lcs('a', 'b')} AS INT) AS lcs FROM p)""")
 def text_name_similarity(spark, sf):
     rows = sightings(spark, sf).select("seq", names.sorted_tokens("company_name").alias("a")).filter("a <> ''")
     nxt = rows.select((F.col("seq") - 1).alias("seq"), F.col("a").alias("b"))
-    return rows.join(nxt, "seq").select("seq", names.lcs_length("a", "b").alias("lcs"))
+    found = rows.join(nxt, "seq").select("seq", "a", "b", names.lcs_length("a", "b").alias("lcs"))
+    return found.select("seq", "lcs", names.ratio(F.col("lcs"), F.length("a") + F.length("b")).alias("ratio"))
 
 
 @query(f"SELECT seq, {Q.name_from_host(Q.host('link'))} AS name FROM {H} h")
@@ -928,9 +934,10 @@ def text_phone_and_name(spark, sf):
         F.coalesce(text.blank_to_null("name"), hosts.host("primary_domain")).alias("company_name"))
 
 
-@query(f"SELECT vertical, array_to_string(list(keyword ORDER BY keyword), ', ') AS product_keywords FROM {K} k GROUP BY vertical")
+@query(f"SELECT seq, CASE WHEN seq % 5 = 0 THEN '' ELSE product_keywords END AS product_keywords FROM {O} o")
 def text_keyword_list(spark, sf):
-    return keyword_lists(spark, sf).select("vertical", F.array_join("keywords", ", ").alias("product_keywords"))
+    listed = F.when(F.col("seq") % 5 != 0, F.split("product_keywords", ", "))
+    return D(spark, sf, I.ORGANISATIONS).select("seq", text.keyword_text(listed).alias("product_keywords"))
 
 
 # ------------------------------------------------------- channels and runs ---

@@ -192,11 +192,10 @@ SELECT event_id, CASE user_id % 4 WHEN 0 THEN 'search' WHEN 1 THEN 'organisation
 FROM events
 """
 
-# Keywords per vertical: the distinct part names of every brand.
+# Keywords per vertical: the distinct part names of every brand, in the order of their first part.
 KEYWORDS = """
-SELECT p_brand AS vertical, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INT) AS vpos, p_name AS keyword,
-       CAST(ROW_NUMBER() OVER (PARTITION BY p_brand ORDER BY p_name) - 1 AS INT) AS kpos
-FROM (SELECT DISTINCT p_brand, p_name FROM part) p
+SELECT p_brand AS vertical, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INT) AS vpos, p_name AS keyword, CAST(MIN(p_partkey) AS INT) AS kpos
+FROM part GROUP BY p_brand, p_name
 """
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "

@@ -41,7 +41,7 @@ def test_first_and_second_upsert(spark):
     assert counts == {"new_count": 1, "updated_count": 0}
     row = state.first()
     assert (row.status, row.run_count, row.tier, row.normalized_name, row.domain) == ("NEW", 1, "PARK", "acme", "acme.com")
-    state = upsert.set_status(state, "Acme", "CONTACTED", dt.datetime(2024, 1, 1), "called")
+    state, changed = upsert.set_status(state, "Acme", "CONTACTED", dt.datetime(2024, 1, 1), "called")
     again = make(spark, [{"company_name": "Acme", "website": "acme.com", "source_channel": "apollo", "contact_email": "a@b.c"}])
     state, counts = upsert.upsert(state, again, NEXT)
     row = state.first()
