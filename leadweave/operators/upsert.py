@@ -1,7 +1,7 @@
 """State table: matching a batch against it, and the next snapshot.
 
-The batch is expected to be resolved (its companies neither share a domain nor match by name), so
-only batch-to-state matches exist and the order inside the batch does not matter.
+Rows of a batch see the rows before them: a company inserted or given a domain by one row is found by later rows. A
+batch that is resolved (its companies neither share a domain nor match by name) can skip that part.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from ..schemas import LIST_COLUMNS, SIGHTING_COLUMNS, STATE_COLUMNS, STATE_SCHEM
 from ..session import cut, lookup, row_order
 from .fuzzy import PAIR_BUDGET, first_match
 from .merge import first_filled, filled, united_lists
+from .resolve import key_leaders
 
 # Columns an update may fill when they are blank in the state.
 UPDATABLE = [c for c in SIGHTING_COLUMNS if c not in LIST_COLUMNS and c not in ("company_name", "scraped_date")]
@@ -59,6 +60,46 @@ def match_state(batch: DataFrame, state: DataFrame, **limits) -> DataFrame:
     return by_domain.unionByName(name_matches(rest, state, **limits))
 
 
+def place(batch: DataFrame, state: DataFrame, **limits) -> DataFrame:
+    """(seq, is_new, company) for every batch row: the state id, or the `seq` of the row that founds its company.
+
+    Rule of each row, given the rows before it: the company that owns its domain, else the earliest company with a
+    matching name (state rows by id, then founders), else it founds one. A company owns one domain: its first one.
+    The rule of a row only looks back, so an assignment that satisfies the rule of every row is the sequential one. It
+    is found by repetition: guess when each domain is owned, let all rows before that take the name test, derive the
+    owners from the outcome, and stop when the rows that take the test stay the same.
+    """
+    keyed = cut(batch.select("seq", host("website").alias("domain"), sorted_tokens(company_key("company_name")).alias("name_key")), "keyed")
+    at_once = domain_matches(keyed, state).select("seq", F.lit(False).alias("is_new"), F.col("target").alias("company"))
+    rest = keyed.join(at_once.select("seq"), "seq", "left_anti")
+    rest = cut(rest.join(name_matches(rest, state, **limits), "seq", "left"), "rest")
+    with_domain = F.col("domain") != ""
+    bare = state.filter("domain = ''").select(F.col("id").alias("company"), F.lit(False).alias("is_new"), F.lit(True).alias("bare"))
+    owners = rest.filter(with_domain).groupBy("domain").agg(F.min("seq").alias("since")).select(
+        "domain", "since", F.lit(True).alias("owner_new"), F.col("since").alias("owner"))
+    before = None
+    while True:
+        seen = rest.join(owners, "domain", "left")
+        tested = cut(seen.filter(~with_domain | F.col("since").isNull() | (F.col("seq") <= F.col("since"))).select(*rest.columns), "tested")
+        now = tuple(tested.agg(F.count(F.lit(1)), F.sum(F.xxhash64("seq").cast("decimal(38,0)"))).first())
+        if now == before:
+            break
+        before = now
+        keys = cut(tested.filter("target IS NULL AND name_key <> ''").groupBy("name_key").agg(F.min("seq").alias("ord")), "names")
+        leaders = keys.join(key_leaders(keys), "ord").select("name_key", "leader")
+        named = cut(tested.join(leaders, "name_key", "left").select(
+            "seq", "domain", F.col("target").isNull().alias("is_new"), F.coalesce("target", "leader", "seq").alias("company")), "named")
+        founded = named.filter(F.col("is_new") & (F.col("seq") == F.col("company")))
+        blank = bare.unionByName(founded.filter(~with_domain).select("company", "is_new", F.lit(True).alias("bare")))
+        given = named.filter(with_domain).join(blank, ["company", "is_new"], "left_semi").groupBy("company", "is_new").agg(
+            F.min(F.struct("seq", "domain")).alias("first")).select("first.domain", "first.seq", "is_new", "company")
+        own = founded.filter(with_domain).select("domain", "seq", "is_new", "company").unionByName(given)
+        first = own.groupBy("domain").agg(F.min(F.struct("seq", "is_new", "company")).alias("o"))
+        owners = cut(first.select("domain", F.col("o.seq").alias("since"), F.col("o.is_new").alias("owner_new"), F.col("o.company").alias("owner")), "owners")
+    later = seen.filter(with_domain & (F.col("seq") > F.col("since"))).select("seq", F.col("owner_new").alias("is_new"), F.col("owner").alias("company"))
+    return at_once.unionByName(named.select("seq", "is_new", "company")).unionByName(later)
+
+
 def fold_batch(rows: DataFrame, target: str = "target") -> DataFrame:
     """Batch rows per state row: first filled value per column, first domain, number of rows."""
     return rows.groupBy(target).agg(
@@ -88,9 +129,8 @@ def updated_rows(state: DataFrame, matched: DataFrame, today: dt.date) -> DataFr
     return joined.withColumns(changes).select(*STATE_COLUMNS)
 
 
-def new_rows(batch: DataFrame, max_id: int, today: dt.date) -> DataFrame:
-    """Unmatched batch rows as state rows, numbered after `max_id` in `seq` order."""
-    numbered = row_order(batch, "seq", "id", max_id)
+def new_rows(numbered: DataFrame, today: dt.date) -> DataFrame:
+    """Founding batch rows, with their `id`, as state rows."""
     values = {
         "normalized_name": company_key("company_name"),
         "domain": host("website"),
@@ -106,22 +146,30 @@ def new_rows(batch: DataFrame, max_id: int, today: dt.date) -> DataFrame:
     return full.select(*[F.col(c).cast(STATE_TYPES[c]).alias(c) for c in STATE_COLUMNS])
 
 
-def upsert(state: DataFrame, batch: DataFrame, today: dt.date, **limits) -> tuple[DataFrame, dict]:
+def upsert_counts(placed: DataFrame) -> dict:
+    """Rows that found a company and rows that update one, of rows with `target`: null for a founder."""
+    return placed.agg(F.count_if(F.col("target").isNull()).alias("new_count"), F.count_if(F.col("target").isNotNull()).alias("updated_count")).first().asDict()
+
+
+def upsert(state: DataFrame, batch: DataFrame, today: dt.date, resolved: bool = False, **limits) -> tuple[DataFrame, dict]:
     """Next state snapshot and the counts of new and updated rows.
 
-    The given state is never overwritten; write the result as a new snapshot.
+    The given state is never overwritten; write the result as a new snapshot. `resolved`: the rows of the batch are
+    different companies, so only the state is searched.
     """
-    hits = cut(match_state(batch, state, **limits), "hits")
-    placed = batch.withColumn("domain", host("website")).join(hits, "seq", "left")
-    matched = placed.filter("target IS NOT NULL")
-    fresh = placed.filter("target IS NULL").drop("target", "domain")
+    if resolved:
+        hits = match_state(batch, state, **limits).select("seq", F.lit(False).alias("is_new"), F.col("target").alias("company"))
+    else:
+        hits = place(batch, state, **limits)
+    rows = batch.withColumn("domain", host("website")).join(cut(hits, "hits"), "seq", "left")
+    founds = F.col("company").isNull() | (F.col("is_new") & (F.col("company") == F.col("seq")))
     max_id = state.agg(F.max("id")).first()[0] or 0
-    result = updated_rows(state, matched, today).unionByName(new_rows(fresh, max_id, today))
-    counts = placed.agg(
-        F.count_if(F.col("target").isNull()).alias("new_count"),
-        F.count_if(F.col("target").isNotNull()).alias("updated_count"),
-    ).first()
-    return result, counts.asDict()
+    fresh = cut(row_order(rows.filter(founds).drop("domain", "is_new", "company"), "seq", "id", max_id), "fresh")
+    known = state.unionByName(new_rows(fresh, today))
+    ids = fresh.select(F.lit(True).alias("is_new"), F.col("seq").alias("company"), F.col("id").alias("new_id"))
+    matched = rows.filter(~founds).join(ids, ["is_new", "company"], "left").withColumn("target", F.coalesce("new_id", "company")).drop("is_new", "company", "new_id")
+    counts = upsert_counts(rows.select(F.when(~founds, F.col("company")).alias("target")))
+    return updated_rows(known, matched, today), counts
 
 
 def empty_state(spark) -> DataFrame:

@@ -86,7 +86,7 @@ def full_run(
     if scoring:
         rows = score_companies(rows, settings, states)
     rows = cut(rows, "scored")
-    state, counts = upsert(read_state(spark, f"{home}/state"), rows, today)
+    state, counts = upsert(read_state(spark, f"{home}/state"), rows, today, resolved=True)
     version = write_state(state, f"{home}/state")
     raw, dedup = sightings.count(), rows.count()
     tiers = run_tiers(rows).first().asDict()

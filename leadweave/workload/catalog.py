@@ -17,7 +17,7 @@ from ..schemas import (
     CONTACT_COLUMNS, DOMAIN_RESPONSE, FILL_COLUMNS, LIST_COLUMNS, ORGANISATION_RESPONSE, PEOPLE_RESPONSE,
     RUN_SCHEMA, SEARCH_RESPONSE, SIGHTING_COLUMNS, STATE_COLUMNS, STATE_SCHEMA, VERIFICATION_RESPONSE,
 )
-from ..session import cut, work_folder
+from ..session import cut, row_order, work_folder
 from ..settings import Settings
 from ..sources import responses, tables
 from . import inputs as I
@@ -679,7 +679,14 @@ def state_match(spark, sf):
 
 @query(f"WITH RECURSIVE {RESOLVED_BATCH}, {Q.upsert_ctes()} SELECT {ALL_STATE} FROM next_state")
 def state_upsert(spark, sf):
-    return upsert.upsert(D(spark, sf, I.OLD_STATE), resolved_batch(spark, sf), TODAY)[0]
+    return upsert.upsert(D(spark, sf, I.OLD_STATE), resolved_batch(spark, sf), TODAY, resolved=True)[0]
+
+
+@query()
+def state_upsert_unresolved(spark, sf):
+    """The batch as it comes, with repeated domains and names; the order of rows decides, which tests compare with a model."""
+    result, counts = upsert.upsert(D(spark, sf, I.OLD_STATE), D(spark, sf, I.BATCH), TODAY)
+    return result.select("*", *[F.lit(n).cast("bigint").alias(c) for c, n in counts.items()])
 
 
 # A batch with one row per odd or even document: target is the state row of the odd document before it.
@@ -702,7 +709,7 @@ def state_update_branch(spark, sf):
 def state_insert_branch(spark, sf):
     old = D(spark, sf, I.OLD_STATE)
     fresh = placed_rows(spark, sf).filter("target IS NULL").drop("target", "domain")
-    return upsert.new_rows(fresh, old.agg(F.max("id")).first()[0], TODAY)
+    return upsert.new_rows(row_order(fresh, "seq", "id", old.agg(F.max("id")).first()[0]), TODAY)
 
 
 PROTECTED = "id, company_name, normalized_name, status, first_seen, status_notes, status_updated"
@@ -732,9 +739,8 @@ def state_set_verified(spark, sf):
   (SELECT count(*) FROM hits) AS updated_count""")
 def state_upsert_counts(spark, sf):
     batch = resolved_batch(spark, sf)
-    found = upsert.match_state(batch, D(spark, sf, I.OLD_STATE))
-    return batch.join(found, "seq", "left").agg(
-        F.count_if(F.col("target").isNull()).alias("new_count"), F.count_if(F.col("target").isNotNull()).alias("updated_count"))
+    counts = upsert.upsert(D(spark, sf, I.OLD_STATE), batch, TODAY, resolved=True)[1]
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in counts.items()])
 
 
 # ----------------------------------------------------------- aggregations ----
@@ -844,7 +850,6 @@ def union_channels(spark, sf):
 
 @query(f"WITH s AS (SELECT * FROM {S} q), {Q.enriched_cte('s', QUOTA, CLEAN_USER)} SELECT seq, row_number() OVER (ORDER BY seq) AS place FROM enriched")
 def union_searched_and_rest(spark, sf):
-    from ..session import row_order
     rows = contacts.enrich(sightings(spark, sf), D(spark, sf, I.MAILBOXES), QUOTA, USER_BLOCKED).select("seq")
     return row_order(rows, "seq", "place")
 

@@ -36,6 +36,51 @@ def test_upsert_against_model(spark, seed):
     assert {i: {c: r[c] for c in STATE_COLUMNS} for i, r in got.items()} == {w["id"]: {c: w[c] for c in STATE_COLUMNS} for w in want}
 
 
+@pytest.mark.parametrize("seed", [5])
+def test_unresolved_upsert_against_model(spark, seed):
+    """Repeated domains, alike names and blanks inside one batch: rows see the rows before them."""
+    rng = random.Random(seed)
+    state = upsert.empty_state(spark)
+    for day, size in ((DAY, 30), (NEXT, 50)):
+        batch_rows = make(spark, random_rows(rng, size))
+        old = [r.asDict() for r in state.withColumn("name_key", sorted_tokens("normalized_name")).orderBy("id").collect()]
+        batch = [r.asDict() for r in with_keys(batch_rows).withColumn("normalized_name", company_key("company_name")).orderBy("seq").collect()]
+        want, new, updated = model_upsert(old, batch, day)
+        state, counts = upsert.upsert(state, batch_rows, day)
+        assert counts == {"new_count": new, "updated_count": updated}
+        got = {r.id: r.asDict() for r in state.collect()}
+        assert {i: {c: r[c] for c in STATE_COLUMNS} for i, r in got.items()} == {w["id"]: {c: w[c] for c in STATE_COLUMNS} for w in want}
+
+
+def test_rows_of_one_batch_see_each_other(spark):
+    state, counts = store(spark, [
+        {"company_name": "Acme Foods", "website": "acme.com"}, {"company_name": "Acme Foods Inc", "website": "acme.com"},
+        {"company_name": "Blank Lab"}, {"company_name": "Blank Lab", "website": "lab.com"}, {"company_name": "Other", "website": "lab.com"},
+        {"company_name": "Blank Lab", "website": "second.com"}, {"company_name": "New One", "website": "second.com"}])
+    assert counts == {"new_count": 3, "updated_count": 4}
+    assert [(r.normalized_name, r.domain, r.run_count) for r in state.orderBy("id").collect()] == [
+        ("acme foods", "acme.com", 2), ("blank lab", "lab.com", 4), ("new one", "second.com", 1)]
+
+
+def test_report_keeps_its_order_and_line_breaks(spark, tmp_path):
+    state, _ = store(spark, [{"company_name": n, "score": s, "notes": 'a, "b"\nc'} for n, s in (("A", 5), ("B", 50), ("C", 20))])
+    tables.write_report(state, str(tmp_path / "report"))
+    back = tables.read_report(spark, str(tmp_path / "report")).collect()
+    assert [(r.company_name, r.notes) for r in back] == [(n, 'a, "b"\nc') for n in "BCA"]
+
+
+def test_many_channels_keep_numbers_apart(spark):
+    from leadweave.operators.contacts import enrich
+    from leadweave.plans.channels import all_channels
+
+    parts = {f"own{i}": make(spark, [{"company_name": f"c{i}", "website": "x.com" if i % 2 else ""}]) for i in range(20)}
+    boxes = spark.createDataFrame([], "domain string, pattern string, pos long, value string, first_name string, last_name string, position string, confidence int")
+    rows = enrich(all_channels(parts), boxes, 5)
+    assert rows.count() == rows.select("seq").distinct().count() == 20
+    with pytest.raises(ValueError):
+        all_channels({f"own{i}": parts["own0"] for i in range(200)})
+
+
 def test_first_and_second_upsert(spark):
     state, counts = store(spark, [{"company_name": "Acme Inc", "website": "acme.com", "source_channel": "web_search"}])
     assert counts == {"new_count": 1, "updated_count": 0}
