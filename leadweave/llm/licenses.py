@@ -3,7 +3,7 @@
 A block is a line of a text; blocks and templates are sets of words. A template is found where a block holds at least
 the threshold share of its words. Words of the templates are ordered by how many documents hold them, rarest first;
 a template of n words that needs o of them is met by a block only if one of its n - o + 1 rarest words (its prefix) is in
-the prefix of the block. Texts without any prefix word are passed over by plain substring tests; the blocks of the
+the prefix of the block. Texts without any prefix word are passed over by plain substring tests on their spaced words; the blocks of the
 others are matched by prefix word, with the length filter (the block has o template words at all) and the positional
 filter (enough words stand behind the matching ones), and verified by intersection. All filters are lossless.
 
@@ -89,10 +89,11 @@ def phrase_places(text: Column, n_words: Column) -> list[Column]:
     return [sum(numbers[1:], numbers[0]), F.array_min(F.array(*firsts)), F.array_max(F.array(*lasts)), F.array_sort(F.array_compact(F.array(*labels)))]
 
 
-def _any_in(text: Column, parts: list[str]) -> Column:
+def _any_in(spaced: Column, words: list[str]) -> Column:
+    """One of the words stands in a text whose words have single blanks around them."""
     out = F.lit(False)
-    for p in parts:
-        out = out | F.contains(text, F.lit(p))
+    for w in words:
+        out = out | F.contains(spaced, F.lit(f" {w} "))
     return out
 
 
@@ -110,13 +111,16 @@ def scan(docs: DataFrame, templates=None, threshold: float = THRESHOLD, text: st
 
     value = F.coalesce(docs[text].cast("string"), F.lit(""))
     rows = docs.select(docs[id_column].alias("doc_id"), value.alias("text"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.withColumn("n_words", F.regexp_count("text", F.lit(WORDS)).cast("bigint")).withColumn("lower", F.lower("text"))
+    # " w1 w2 ... ": whole words are found as substrings; `lower` also folds letters beyond ASCII, which only adds candidates.
+    rows = rows.withColumn("spaced", F.regexp_replace(F.concat(F.lit(" "), F.lower("text"), F.lit(" ")), GAPS, " "))
+    blanks = F.length("spaced") - F.length(F.replace(F.col("spaced"), F.lit(" "), F.lit("")))
+    rows = rows.select("row", "doc_id", "text", "spaced", (blanks - 1).cast("bigint").alias("n_words"))
     places = phrase_places(F.col("text"), F.col("n_words"))
     marks = sorted({max(p.split(), key=lambda w: (w in ("cc",), len(w))) for p in PHRASES})
     none = [F.lit(0).cast("bigint"), F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), F.array().cast("array<string>")]
     named = lambda values: F.named_struct(*[x for n, v in zip("nflb", values) for x in (F.lit(n), v)])
-    base = F.when(_any_in(F.col("lower"), marks), named(places)).otherwise(named(none))
-    lines = F.when(_any_in(F.col("lower"), prefixes), F.filter(F.split(_lowered(F.col("text")), "\n"), lambda x: _any_in(x, prefixes)))
+    base = F.when(_any_in(F.col("spaced"), marks), named(places)).otherwise(named(none))
+    lines = F.when(_any_in(F.col("spaced"), prefixes), F.filter(F.split(_lowered(F.col("text")), "\n"), lambda x: F.arrays_overlap(F.split(x, GAPS), _words(prefixes))))
     keys = ["row", "doc_id", "n_words", "base"]
     rows = rows.select("row", "doc_id", "n_words", base.alias("base"), F.explode_outer(lines).alias("line"))
     block = F.array_intersect(_words(order), F.split("line", GAPS))  # template words of the block, rarest first
