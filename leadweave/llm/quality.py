@@ -28,7 +28,7 @@ PER_CLASS = 2000
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
 # Added to the squared length of a text: the few n-grams of a very short text then decide little.
-SHORT = 100.0
+SHORT = 400.0
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
