@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -231,6 +232,27 @@ def sink_run_log(spark, sf):
     return tables.latest_first(D(spark, sf, I.RUNS))
 
 
+@query(f"""WITH t AS MATERIALIZED (SELECT * FROM {T} q), fresh AS (SELECT * FROM t WHERE first_seen = DATE '2024-03-01')
+SELECT 'all' AS report, count(*) AS n, CAST(sum(score) AS BIGINT) AS total FROM t
+UNION ALL SELECT 'full', count(*), CAST(sum(score) AS BIGINT) FROM t
+UNION ALL SELECT 'new_this_run', count(*), CAST(sum(score) AS BIGINT) FROM fresh
+UNION ALL SELECT 'dashboard', least(8, (SELECT count(DISTINCT status) FROM t)) + least(5, (SELECT count(DISTINCT tier) FROM t)) + 3 + least(10, (SELECT count(*) FROM fresh)), NULL
+UNION ALL SELECT 'run_log', 1, (SELECT count(*) FROM t)""")
+def sink_published_reports(spark, sf):
+    """The report files of a state and its run history as read back."""
+    home = f"{work_folder(spark)}/home-{uuid.uuid4().hex}"
+    tables.write_state(state(spark, sf), f"{home}/state")
+    tables.append_run(spark, f"{home}/history", raw_count=tables.read_state(spark, f"{home}/state").count())
+    runs.publish(spark, home, RUN_DAY)
+    folder = f"{home}/reports/{RUN_DAY}"
+    read = lambda name: spark.read.parquet(f"{folder}/{name}")
+    parts = [("all", tables.read_report(spark, f"{folder}/all"), "score"), ("full", read("full"), "score"), ("new_this_run", read("new_this_run"), "score"),
+             ("dashboard", read("dashboard").withColumn("none", F.lit(None)), "none"), ("run_log", read("run_log"), "raw_count")]
+    counted = [rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(of).cast("bigint")).alias("total")).select(F.lit(name).alias("report"), "n", "total")
+               for name, rows, of in parts]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query(f"""SELECT module, stage_no, CAST(credits AS INT) AS credits_used, count(*) AS companies FROM {S} s,
   (SELECT 'apollo' AS module, '04' AS stage_no, 7 AS credits UNION ALL SELECT 'other', '99', 0) m GROUP BY ALL""")
 def sink_stage_write(spark, sf):
@@ -1006,9 +1028,13 @@ def channel_import(spark, sf):
     return import_part(spark, sf)
 
 
+def organisation_part(spark, sf):
+    return channels.organisation_channel(D(spark, sf, I.ORGANISATIONS), D(spark, sf, I.PEOPLE), SETTINGS, day())
+
+
 @query(ORG_SQL)
 def channel_organisation(spark, sf):
-    return channels.organisation_channel(D(spark, sf, I.ORGANISATIONS), D(spark, sf, I.PEOPLE), SETTINGS, day())
+    return organisation_part(spark, sf)
 
 
 @query(sighting_sql(f"{USABLE} u WHERE vertical = 'food'", company_name="host", website="host", source_channel="'own'"))
@@ -1033,7 +1059,8 @@ def scored_web_leads(spark, sf):
 
 
 RUN_CTES = f"""WITH RECURSIVE all_hits AS MATERIALIZED ({WEB_SQL} UNION ALL SELECT seq + {SPAN}, * EXCLUDE (seq) FROM ({SIGNAL_SQL})
-    UNION ALL SELECT seq + {2 * SPAN}, * EXCLUDE (seq) FROM ({IMPORT_SQL})),
+    UNION ALL SELECT seq + {2 * SPAN}, * EXCLUDE (seq) FROM ({IMPORT_SQL})
+    UNION ALL SELECT seq + {3 * SPAN}, * EXCLUDE (seq) FROM ({ORG_SQL})),
   """
 
 
@@ -1048,10 +1075,10 @@ def run_sql() -> str:
 
 @query(run_sql())
 def full_run(spark, sf):
-    """Three channels, resolution, states, contacts, scores and the next state table."""
+    """Four channels, resolution, states, contacts, scores and the next state table."""
     home = f"{work_folder(spark)}/home-{uuid.uuid4().hex}"
     tables.write_state(D(spark, sf, I.OLD_STATE), f"{home}/state")
-    parts = {"web_search": web_part(spark, sf), "sqep": signal_part(spark, sf), "import_search": import_part(spark, sf)}
+    parts = {"web_search": web_part(spark, sf), "sqep": signal_part(spark, sf), "import_search": import_part(spark, sf), "apollo": organisation_part(spark, sf)}
     result = runs.full_run(spark, home, parts, D(spark, sf, I.MAILBOXES), SETTINGS, STATES, TODAY)
     return tables.read_state(spark, f"{home}/state", result.version).select(*STATE_COLUMNS)
 
