@@ -192,6 +192,26 @@ def test_chats_become_rows_of_json(spark):
     assert toolcalls.format_chats(chats.limit(0)).count() == 0
 
 
+def test_identifiers_belong_to_their_conversation_and_no_call_is_lost(spark):
+    def call(*made):
+        return json.dumps({"tool_calls": [{"id": i, "function": {"name": "sum", "arguments": a}} for i, a in made]})
+
+    def result(i, content):
+        return json.dumps({"tool_call_id": i, "content": content})
+
+    rows = [(1, 0, "assistant", call(("k", '{"a": 1}'), ("m", '{"a": {"$ref": "k"}}'))), (1, 1, "tool", result("k", "one")), (2, 0, "assistant", call(("k", '{"a": 2}'))),
+            (2, 1, "tool", result("k", "two")), (3, 0, "tool", result("k", "three")), (4, 0, "assistant", call(("m", '{"a": {"$ref": "k"}}'))),
+            (5, 0, "assistant", call((None, '{"a": {"$ref": "k"}}'), ("k", '{"a": 5}'), ("k", '{"a": 5}'), ("k", '{"a": 6}'))), (5, 1, "tool", result("k", "y")),
+            (5, 2, "tool", result("k", "z")), (6, 0, "user", "x"), (6, 1, "assistant", '{"tool_calls": []}'), (None, 0, "assistant", call(("k", '{"a": 7}')))]
+    got = toolcalls.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), SCHEMAS).collect()
+    short = lambda r: (r["conv_id"] or 0, r["turn"], r["call_id"] or "", r["status"], r["level"], r["n_calls"], r["n_results"], json.loads(r["json"]).get("result"))
+    assert sorted(map(short, got), key=str) == sorted([
+        (0, 0, "k", "unlinked", 0, 1, 0, None), (1, 0, "k", "linked", 0, 1, 1, "one"), (1, 0, "m", "invalid", 1, 1, 0, None), (2, 0, "k", "linked", 0, 1, 1, "two"),
+        (3, 0, "k", "orphan", 0, 0, 1, "three"), (4, 0, "m", "missing_ref", 0, 1, 0, None), (5, 0, "", "unlinked", 1, 1, 0, None), (5, 0, "k", "linked", 0, 3, 2, "y"),
+        (5, 0, "k", "duplicate", 0, 1, 0, None), (5, 0, "k", "duplicate", 0, 1, 0, None), (5, 2, "k", "duplicate", 0, 0, 1, "z"),
+        (6, 0, "6:0", "linked", 0, 1, 1, '{"tool_calls": []}')], key=str)
+
+
 def test_pipeline_stages_keep_the_columns(spark, tmp_path):
     import corpus_pipeline as pipeline
 
