@@ -3,8 +3,12 @@
 A shingle is a run of five words; its weight is 1 + ln of its count in the text. Every shingle is a Poisson process
 whose rate is its weight: its points arrive in time order, each falls into one of 240 registers, and a register keeps
 the shingle that came first. Two texts agree in a register with the probability Jaccard similarity of their weights.
-A text is done when its next points come later than every register's first arrival. Forty bands of six registers
-miss a pair of similarity 0.8 with probability 5e-6.
+A text is done when its next points come later than every register's first arrival.
+
+Links are by set similarity, so a text that repeats shingles gets a second sketch, in which every shingle has weight 1
+(without repeats both sketches are the same); the buckets of both count. Two texts agree in a register of the second
+sketch with the probability set similarity: its forty bands of six registers miss a pair of similarity 0.8 with
+probability 5e-6, however often shingles are repeated. The weighted bands only add candidates.
 
 Copies (equal words) collapse before banding. The texts of a band bucket link to its smallest member; what hangs
 together this way is a family, the only place where links can be. A family is cut into blocks of about 256 texts and
@@ -57,8 +61,18 @@ def signatures(keys: np.ndarray, weights: np.ndarray, text: np.ndarray, n_texts:
     return held.reshape(n_texts, registers)
 
 
+def band_buckets(held: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """Bucket of every text in every band of its registers."""
+    held = held.reshape(len(held), bands, rows)
+    with np.errstate(over="ignore"):
+        bucket = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), (len(held), bands))
+        for i in range(rows):
+            bucket = mix(bucket * _GOLDEN + held[:, :, i])
+    return bucket
+
+
 def sketch(column: pa.Array, width: int, bands: int, rows: int):
-    """Per text: the key of its whole word sequence in two halves (0, 0: no words) and its band buckets."""
+    """Per text: the key of its whole word sequence in two halves (0, 0: no words) and the list of its band buckets."""
     words = words_of(column)
     key, text = shingles(words, width)
     order = np.lexsort((key, text))
@@ -66,12 +80,16 @@ def sketch(column: pa.Array, width: int, bands: int, rows: int):
     new = np.ones(len(skey), bool)
     new[1:] = (skey[1:] != skey[:-1]) | (stext[1:] != stext[:-1])
     at = np.flatnonzero(new)
-    weight = 1 + np.log(np.diff(np.append(at, len(skey))))
-    held = signatures(skey[at], weight, stext[at], words.n_texts, bands * rows).reshape(words.n_texts, bands, rows)
+    count = np.diff(np.append(at, len(skey)))
+    skey, stext = skey[at], stext[at]
+    weighted = band_buckets(signatures(skey, 1 + np.log(count), stext, words.n_texts, bands * rows), bands, rows)
+    repeats = np.unique(stext[count > 1])
+    own = np.isin(stext, repeats)
+    plain = band_buckets(signatures(skey[own], np.ones(int(own.sum())), np.searchsorted(repeats, stext[own]), len(repeats), bands * rows), bands, rows)
+    buckets = list(weighted)
+    for i, more in zip(repeats.tolist(), plain):
+        buckets[i] = np.unique(np.concatenate([weighted[i], more]))
     with np.errstate(over="ignore"):
-        bucket = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), (words.n_texts, bands))
-        for i in range(rows):
-            bucket = mix(bucket * _GOLDEN + held[:, :, i])
         # whole sequence: words weighted by odd powers of their place
         place = np.arange(len(words.starts)) - np.repeat(words.first[:-1], words.counts)
         keys = words.keys()
@@ -79,7 +97,7 @@ def sketch(column: pa.Array, width: int, bands: int, rows: int):
         for salt in (3, 5):
             scattered = np.concatenate([[U64(0)], np.cumsum(mix(keys ^ mix(place.astype(np.uint64) * U64(2) + U64(salt))), dtype=np.uint64)])
             halves.append(np.where(words.counts > 0, (scattered[words.first[1:]] - scattered[words.first[:-1]]) | U64(1), U64(0)))
-    return halves, bucket
+    return halves, buckets
 
 
 def forest_of(linked: np.ndarray, same: bool = False) -> list[tuple[int, int]]:
@@ -165,8 +183,9 @@ def classes(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY,
 
     def read(batches):
         for part in batch_slices(batches, "text"):
-            (k1, k2), bucket = sketch(column_of(part, "text"), width, bands, rows)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bucket.size + 1, bands, dtype=np.int32)), pa.array(bucket.reshape(-1).view(np.int64)))
+            (k1, k2), buckets = sketch(column_of(part, "text"), width, bands, rows)
+            ends = np.cumsum([0, *map(len, buckets)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *buckets]).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [column_of(part, "id"), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists], ["id", "k1", "k2", "buckets"])
 

@@ -178,6 +178,23 @@ def test_near_duplicates_equal_brute_force(spark, block):
         assert neardup.classes(docs.limit(0)).count() == 0
 
 
+def test_repeated_passages_do_not_hide_near_duplicates(spark):
+    rng = random.Random(8)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    texts = []
+    for _ in range(30):
+        base, menu = fresh(80), fresh(24)
+        texts += [" ".join([base, *[menu] * 2]), " ".join([base, *[menu] * 1000])]  # equal sets of shingles
+    for _ in range(30):
+        shared, menu = fresh(104), fresh(24)
+        texts += [shared, " ".join([shared, *[menu] * 10])]  # similarity 100/128: no link
+    for _ in range(30):
+        shared, menu = fresh(114), fresh(20)
+        texts += [shared, " ".join([shared, *[menu] * 10])]  # similarity 110/134, above 0.8
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs_of(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [i if 60 <= i < 120 else i - i % 2 for i in range(len(texts))]
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(4)
     keys = rng.integers(1, 2**63, 60, dtype=np.int64).astype(np.uint64)
