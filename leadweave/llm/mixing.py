@@ -4,8 +4,10 @@ Sources get targets by weight (no source more than `most` times its size, the ex
 its documents as often as its target holds them whole; the rest of the target is fitted from single documents: the
 documents are counted by exact length, every length gives its share rounded down, single lengths follow in a seeded
 order while far from the budget, and a bounded-knapsack table over what remains picks how many more of each length to
-take, so that the sum meets the budget exactly wherever lengths allow. Which documents of a length are taken follows
-a seeded hash of the row.
+take. If the sum misses the budget, documents taken so far are given back, as many as a larger table allows (64 MB over
+all its steps), and chosen anew. The choice is the best there is when the whole budget fits that table; beyond that, what is
+missing is less than the length of any document that is not taken. Which documents of a length are taken follows a
+seeded hash of the row.
 
 Only lengths with their counts meet in one task per source. The n-th hash of a length is found by counting ranges of
 hashes first, so no length, however common, is sorted whole.
@@ -26,6 +28,9 @@ from leadweave.session import cut
 
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2, 7
 TABLE_WORDS = 1 << 16
+# A choice that misses its budget is made anew with documents given back, in tables of so many bits in all (64 MB).
+WIDE_BITS = 1 << 29
+FEW_LENGTHS = 24
 BROADCAST_ROWS = 100_000
 
 
@@ -59,8 +64,15 @@ def pick_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int
             rest -= more * int(lengths[i])
             moved |= more > 0
         if not moved:
-            return taken
-    # bounded knapsack: bit b of `reach` says that b words can be made; counts are split into powers of two
+            return _refill(lengths, counts, taken, rest, order)
+    taken, rest = _fill(lengths, counts, taken, rest, order)
+    return taken if not rest else _refill(lengths, counts, taken, rest, order)
+
+
+def _fill(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, rest: int, order: np.ndarray) -> tuple[np.ndarray, int]:
+    """Bounded knapsack over what is not taken: the words nearest to `rest` from below, and what is missing then."""
+    taken = taken.copy()
+    # bit b of `reach` says that b words can be made; counts are split into powers of two
     reach, steps, limit = 1, [], (1 << (rest + 1)) - 1
     for i in order:
         left, size, part = int(counts[i] - taken[i]), int(lengths[i]), 1
@@ -72,10 +84,31 @@ def pick_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int
         if reach >> rest & 1:
             break
     at = reach.bit_length() - 1
+    missing = rest - at
     for i, part, before in reversed(steps):
         if not before >> at & 1:
             taken[i] += part
             at -= part * int(lengths[i])
+    return taken, missing
+
+
+def _refill(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, rest: int, order: np.ndarray) -> np.ndarray:
+    """A better choice than `taken`, of which `rest` words are missing: documents go back as far as a table of WIDE_BITS allows."""
+    for pool in (order, order[:FEW_LENGTHS]):  # few lengths leave a larger table
+        steps = sum(int(counts[i]).bit_length() for i in pool)
+        room, back = WIDE_BITS // max(steps, 1) - rest, taken.copy()
+        for most in (1, None):  # one of each length, then all that fits
+            for i in pool:
+                n = min(int(back[i]), room // int(lengths[i])) if lengths[i] and room > 0 else 0
+                n = n if most is None else min(n, most)
+                back[i] -= n
+                room -= n * int(lengths[i])
+        wide = rest + int((lengths * (taken - back)).sum())
+        better, missing = _fill(lengths, counts, back, wide, pool)
+        if missing < rest:
+            taken, rest = better, missing
+        if not rest:
+            break
     return taken
 
 

@@ -121,6 +121,20 @@ def test_lengths_meet_the_budget():
     assert int((np.arange(1, 3000) * many).sum()) == 7_654_321
 
 
+def test_taken_lengths_are_given_back_for_a_better_sum():
+    for seed in range(20):
+        taken = mixing.pick_lengths(np.array([80_000, 90_000, 120_000]), np.array([1, 1, 1]), 170_000, seed)
+        assert taken.tolist() == [1, 1, 0]
+        assert mixing.pick_lengths(np.array([3, 10]), np.array([4, 1]), 10, seed).tolist() == [0, 1]
+    rng = random.Random(9)
+    for _ in range(200):
+        lengths = np.array(sorted(rng.sample(range(1, 40), 4))) * 10_000
+        counts = np.array([rng.randrange(1, 4) for _ in lengths])
+        budget = rng.randrange(1, int((lengths * counts).sum()))
+        sums = (sum(n * int(s) for n, s in zip(pick, lengths)) for pick in itertools.product(*[range(c + 1) for c in counts]))
+        assert int((lengths * mixing.pick_lengths(lengths, counts, budget)).sum()) == max(s for s in sums if s <= budget)
+
+
 def test_mix_meets_its_targets(spark):
     rng = random.Random(4)
     sources = ["b", "a", None, "", "ä", "z"]
