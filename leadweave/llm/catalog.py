@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from leadweave.llm.bpe import encode
+from leadweave.llm.covertree import hard_negatives, quantised
 from leadweave.llm.decontaminate import contamination
 from leadweave.llm.html import extract
 from leadweave.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, needed, scan, template_words
 from leadweave.llm.mixing import mix
 from leadweave.llm.neardup import classes
+from leadweave.llm.prefixtrie import conversation_trie
 from leadweave.llm.quality import quality
 from leadweave.llm.toolcalls import format_chats
 from leadweave.llm.toxicity import toxicity
@@ -87,9 +92,53 @@ def op9_neardup(spark, folder):
     return classes(table(spark, folder, "documents"))
 
 
+def op11_bpe(spark, folder):
+    import public_tokenizers  # only this query needs the vocabulary files
+
+    tokens = encode(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return tokens.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_prefix_trie(spark, folder):
+    return conversation_trie(table(spark, folder, "conversations"))
+
+
+def op13_hard_negatives(spark, folder):
+    return hard_negatives(quantised(table(spark, folder, "embeddings")))
+
+
+# crc32 of the decimal conversation id, bit by bit (lowest bit of each byte first)
+CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+    lambda s: list_transform(range(8), lambda k: (ord(s) >> CAST(k AS INT)) & 1)))), lambda a, b: xor(a >> 1, CASE WHEN xor(a, b) & 1 = 1 THEN 3988292384 ELSE 0 END)))"""
+OP12_SQL = f"""WITH t AS (SELECT conv_id AS c, list(sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) || '-' || octet_length(encode(coalesce(text, '')))
+                                   ORDER BY turn NULLS FIRST) AS l FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT c, l, CAST({CRC32} AS BIGINT) % 9 AS h FROM t),
+p AS (SELECT h.c, list_concat(coalesce(t.l[1:h.h], []), h.l[h.h + 1:]) AS path FROM h LEFT JOIN t ON t.c = h.c - h.c % 5),
+x AS (SELECT c, path, unnest(range(0, len(path) + 1)) AS d FROM p),
+n AS (SELECT path[1:d] AS node, d AS depth, min(c) AS conv_id, count(*) AS n_convs FROM x GROUP BY ALL),
+e AS (SELECT path AS node, string_agg(c, ',' ORDER BY c) AS ids FROM p GROUP BY path),
+k AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT n.node, n.depth, n_children IS NULL AS leaf, CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * CAST(string_split(n.node[n.depth], '-')[2] AS BIGINT) END AS own FROM n LEFT JOIN k USING (node)),
+s AS (SELECT node[1:d] AS node, count(*) FILTER (leaf) AS n_leaves, sum(own) AS saved_tokens FROM (SELECT node, leaf, own, unnest(range(0, depth + 1)) AS d FROM v) GROUP BY ALL)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM n LEFT JOIN n a ON a.depth = n.depth - 1 AND a.node = n.node[1:n.depth - 1] LEFT JOIN k ON k.node = n.node LEFT JOIN e ON e.node = n.node JOIN s ON s.node = n.node"""
+OP13_SQL = """WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id AND len(a.e) = len(b.e)),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5"""
+
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_main_text": op2_main_text, "op3_tool_calls": op3_tool_calls, "op4_mixing": op4_mixing, "op5_quality": op5_quality,
            "op6_vectors": op6_vectors, "op7_toxicity": op7_toxicity, "op8_urls": op8_urls, "op10_licenses": op10_licenses,
-           "op9_neardup": op9_neardup}
+           "op9_neardup": op9_neardup, "op11_bpe": op11_bpe, "op12_prefix_trie": op12_prefix_trie, "op13_hard_negatives": op13_hard_negatives}
 SQL = {"op1_decontaminate": f"WITH {OP1_WITH} SELECT *, n_hit > 0 AND 20 * n_hit >= n_words AS contaminated FROM r",
        "op6_vectors": """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
@@ -128,4 +177,5 @@ SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.turn) AS tu
        ELSE CAST(json_object('arguments', json_object('prompt', c.text, 'words', n), 'id', c.call_id, 'name', 'reply', 'result', r.text) AS VARCHAR) END AS json
 FROM c FULL JOIN r USING (call_id)
 UNION ALL SELECT conv_id, turn, 'message', NULL, NULL, NULL, 0, 'plain', '', 0, 0, CAST(json_object('content', text, 'role', role) AS VARCHAR)
-FROM conversations WHERE role NOT IN ('user', 'assistant')"""}
+FROM conversations WHERE role NOT IN ('user', 'assistant')""",
+       "op12_prefix_trie": OP12_SQL, "op13_hard_negatives": OP13_SQL}
