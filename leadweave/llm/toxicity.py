@@ -1,18 +1,23 @@
 """Toxic passages as maximum-scoring segments.
 
 Tokens are words and their beginnings of 4 to 8 bytes, so that unseen forms of a known word are met. A token counts
-once a text, since words come in bursts. It has its log-odds between toxic and other labelled texts under a Dirichlet
-prior whose pseudo-counts follow its share of the whole corpus, drawn towards zero by its standard error. A word scores as its token with the largest log-odds
-either way, less a drift that makes the expected score negative. One linear scan finds all maximal scoring segments of a text.
-A segment of score S in a text of n words has the extreme-value expectation K * n * exp(-lambda * S), with lambda
-from the score distribution of the corpus and K from labelled texts that are not toxic; a text's evidence is the
-sum over its segments of what their expectation lies below 1, and a logistic curve turns it into a score.
-
-The token table comes from at most `per_class` labelled texts of each class and holds the tokens whose log-odds
-exceed their error; prior counts and score distribution cover all documents. Scoring is one pass without a shuffle; the broadcast table is bounded by the sample.
-
-Defined cases: null and empty texts have no words, no segments and the score of no evidence; without labels of both
-classes every score is 0.5; repeated rows are scored alike; null ids are scored and count as not held out.
+once a text, since words come in bursts, and once for all texts in which it stands between the same four words: copies, near
+copies and shared passages are no further evidence. Tokens whose share differs between the classes by more than the chance
+maximum over all words of the sample (likelihood ratio) have their log-odds under a Dirichlet prior whose pseudo-counts
+follow their share of the whole corpus, drawn towards zero by the standard error. A word scores as its token with the largest
+log-odds either way, less a drift solved so that the mean score of the corpus's words is `MEAN` or less. One linear scan finds
+all maximal scoring segments of a text. A segment of score S in a text of n words has the extreme-value expectation
+K * n * exp(-lambda * S), with lambda from the score distribution of the corpus and K from clean texts that the token table has
+not seen; a text's evidence is the sum over its segments of what their expectation lies below 1, and a logistic curve, fitted
+on unseen texts too, turns it into a score.
+
+The token table comes from at most `per_class` labelled texts of each class, three quarters of them; the other quarter
+calibrates. Prior counts and score distribution cover all documents. Scoring is one pass without a shuffle; the broadcast
+table is bounded by the sample.
+
+Defined cases: null and empty texts have no words, no segments and the score of no evidence; very long texts are read whole,
+their expectation grows with their length; without labels of both classes every score is 0.5; repeated rows are scored alike;
+null ids are scored and count as not held out; columns beyond id, text and label, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -26,16 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadweave.llm.labelled import fold, labelled_sample, logistic, platt
-from leadweave.llm.words import U64, batch_slices, column_of, run_keys, words_of
+from leadweave.llm.words import U64, batch_slices, column_of, mix, run_keys, words_of
 from leadweave.session import cut
 
 PER_CLASS = 4000
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 BEGINNINGS = (4, 5, 6, 7, 8)
-PRIOR = 500.0  # pseudo-counts of the whole prior
-SURE = 3.0  # standard errors by which log-odds are drawn towards zero
-DRIFT = 0.05
+PRIOR = 0.1  # pseudo-counts of the whole prior, as a share of the sample's texts
+MEAN = -0.05  # largest mean score of a word of the corpus
+APART, CALIBRATES = 4, 0  # hash parts of the sample; the part that calibrates
 EULER = 0.5772156649015329
 
 
@@ -86,6 +91,7 @@ class Lookup:
 class Model:
     known: Lookup
     scores: np.ndarray  # log-odds of the known tokens, drawn towards zero
+    drift: float = 0.0
     scale: float = 1.0  # lambda
     log_k: float = 0.0
     slope: float = 0.0
@@ -97,7 +103,7 @@ class Model:
             place, number = self.known.find(keys)
             np.maximum.at(high, at[place], self.scores[number])
             np.minimum.at(low, at[place], self.scores[number])
-        return np.where(high >= -low, high, low) - DRIFT
+        return np.where(high >= -low, high, low) - self.drift
 
     def segments(self, column: pa.Array):
         """Per text of a slice: its number of words and its maximal segments."""
@@ -123,17 +129,39 @@ class Model:
                 for a, b, s in segments if self.scale * s > base]
 
 
-def _once(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each (key, text) once."""
-    order = np.lexsort((keys, owner))
+def _once(keys: np.ndarray, owner: np.ndarray, rest: np.ndarray | None = None):
+    """Each (key, text) once, with the least `rest` of its rows if given."""
+    order = np.lexsort((keys, owner) if rest is None else (rest, keys, owner))
     keys, owner = keys[order], owner[order]
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
-    return keys[new], owner[new]
+    return (keys[new], owner[new]) if rest is None else (keys[new], owner[new], rest[order][new])
+
+
+def contexts(words) -> np.ndarray:
+    """A key of the two words before and the two after each word, within its text."""
+    keys, text = words.keys(), words.text_of
+    out = np.zeros(len(keys), np.uint64)
+    for step in (-2, -1, 1, 2):
+        at = np.arange(len(keys)) + step
+        inside = (at >= 0) & (at < len(keys))
+        at = np.clip(at, 0, max(len(keys) - 1, 0))
+        beside = np.where(inside & (text[at] == text), keys[at], U64(0))
+        out = mix(out * U64(0x9E3779B97F4A7C15) + beside)
+    return out
+
+
+def significance(n0, n1, all0: int, all1: int) -> np.ndarray:
+    """Signed root of the likelihood ratio of a token's shares of the two classes; positive: more of class 1."""
+    n0, n1 = np.asarray(n0, float), np.asarray(n1, float)
+    e1 = np.maximum((n0 + n1) * all1 / (all0 + all1), 1e-12)
+    e0 = np.maximum((n0 + n1) - e1, 1e-12)
+    ratio = sum(np.where(n > 0, n * np.log(np.maximum(n, 1e-12) / e), 0) for n, e in ((n0, e0), (n1, e1)))
+    return np.sign(n1 - e1) * np.sqrt(2 * np.maximum(ratio, 0))
 
 
 def _sample_counts(sample: DataFrame):
-    """Counts by class of the sample's tokens that tell the classes apart, and the number of texts of each class."""
+    """(keys, texts of class 0, of class 1, size of the classes) of the sample's tokens that tell the classes apart."""
 
     def count(batches):
         for part in batch_slices(batches, "text"):
@@ -145,19 +173,45 @@ def _sample_counts(sample: DataFrame):
                 unique, n = np.append(unique, U64(0)), np.append(n, (label == y).sum())  # key 0: all texts
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(unique.view(np.int64)), pa.array(np.full(len(n), y, np.int32)), pa.array(n.astype(np.int64))], ["key", "label", "n"])
+            yield pa.RecordBatch.from_arrays(  # label 2: all words
+                [pa.array([0], pa.int64()), pa.array([2], pa.int32()), pa.array([len(words.starts)], pa.int64())], ["key", "label", "n"])
 
-    rows = (sample.mapInArrow(count, "key long, label int, n long").groupBy("key")
-            .agg(F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("n0"),
-                 F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("n1")))
+    of = lambda y: F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0)).alias(f"n{y}")
+    rows = sample.mapInArrow(count, "key long, label int, n long").groupBy("key").agg(of(0), of(1), of(2))
     total = rows.filter("key = 0").first()
     all0, all1 = (int(total["n0"]), int(total["n1"])) if total else (0, 0)
     if not all0 or not all1:
         return np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), all0, all1
-    odds = F.log((F.col("n1") + 0.5) / (all1 - F.col("n1") + 0.5)) - F.log((F.col("n0") + 0.5) / (all0 - F.col("n0") + 0.5))
-    kept = rows.filter((F.col("key") != 0) & (F.abs(odds) > SURE * F.sqrt(1 / (F.col("n0") + 0.5) + 1 / (F.col("n1") + 0.5)))).toArrow()
-    keys = np.asarray(kept["key"]).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.asarray(kept["n0"])[order], np.asarray(kept["n1"])[order], all0, all1
+    least = float(np.sqrt(2 * np.log(max(total["n2"], 2))))
+    # as in `significance`, to leave out most tokens before they reach the driver
+    e1 = (F.col("n0") + F.col("n1")) * all1 / (all0 + all1)
+    part = lambda n, e: F.when(n > 0, n * F.log(n / e)).otherwise(0)
+    ratio = 2 * (part(F.col("n0"), F.col("n0") + F.col("n1") - e1) + part(F.col("n1"), e1))
+    kept = rows.filter((F.col("key") != 0) & (ratio > 0.99 * least**2)).select("key").toArrow()
+    keys = np.sort(np.asarray(kept["key"]).view(np.uint64))
+    n0, n1 = _apart_counts(sample, Lookup(keys))
+    sure = np.abs(significance(n0, n1, all0, all1)) > least
+    return keys[sure], n0[sure], n1[sure], all0, all1
+
+
+def _apart_counts(sample: DataFrame, known: Lookup) -> tuple[np.ndarray, np.ndarray]:
+    """In how many texts of each class each known token stands, texts with the same words around it counted once."""
+    shared = sample.sparkSession.sparkContext.broadcast(known)
+
+    def find(batches):
+        for part in batch_slices(batches, "text"):
+            words = words_of(column_of(part, "text"))
+            label, owner, around = np.asarray(column_of(part, "label")), words.text_of, contexts(words)
+            for at, keys in token_keys(words):
+                place, number = shared.value.find(keys)
+                number, text, context = _once(number, owner[at[place]], around[at[place]])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number.astype(np.int64)), pa.array(label[text].astype(np.int32)), pa.array(context.view(np.int64))], ["at", "label", "context"])
+
+    rows = sample.mapInArrow(find, "at long, label int, context long").distinct().groupBy("at", "label").agg(F.count(F.lit(1)).alias("n")).toArrow()  # bounded by the table
+    out = np.zeros((2, len(known.keys)), np.int64)
+    out[np.asarray(rows["label"]), np.asarray(rows["at"])] = np.asarray(rows["n"])
+    return out[0], out[1]
 
 
 def _corpus_counts(docs: DataFrame, known: Lookup) -> tuple[np.ndarray, int]:
@@ -206,17 +260,18 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def token_table(n0, n1, all0: int, all1: int, corpus: np.ndarray, corpus_texts: int) -> np.ndarray:
     """Log-odds of each token from its counts in the two classes and in the corpus, drawn towards zero."""
-    alpha = PRIOR * np.maximum(corpus, n0 + n1) / max(corpus_texts, all0 + all1, 1)
-    odds = [np.log((n + alpha) / np.maximum(total + PRIOR - n - alpha, 1e-9)) for n, total in ((n0, all0), (n1, all1))]
+    prior = PRIOR * (all0 + all1)
+    alpha = prior * np.maximum(corpus, n0 + n1) / max(corpus_texts, all0 + all1, 1)
+    odds = [np.log((n + alpha) / np.maximum(total + prior - n - alpha, 1e-9)) for n, total in ((n0, all0), (n1, all1))]
     error = np.sqrt(1 / (n0 + alpha) + 1 / (n1 + alpha))
     delta = odds[1] - odds[0]
-    return np.sign(delta) * np.maximum(np.abs(delta) - SURE * error, 0)
+    return np.sign(delta) * np.maximum(np.abs(delta) - error, 0)
 
 
 def extreme_scale(scores: np.ndarray, share: np.ndarray) -> float:
-    """The positive lambda at which the mean of exp(lambda * score) is 1."""
+    """The positive lambda at which the mean of exp(lambda * score) is 1; 1 if no score is positive (then there is no segment)."""
     mean = lambda x: float(share @ np.exp(np.minimum(x * scores, 300)))
-    if not len(scores) or not (scores * (share > 0) > 0).any() or share @ scores >= 0:
+    if not len(scores) or not (scores * (share > 0) > 0).any():
         return 1.0
     lo, hi = 0.0, 1.0
     while mean(hi) < 1:
@@ -230,25 +285,32 @@ def extreme_scale(scores: np.ndarray, share: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> Model:
     sample, sizes = labelled_sample(docs, labels, label, FOLDS, HELD_OUT, per_class)
     sample = cut(sample, "toxicity-sample")
-    keys, n0, n1, all0, all1 = _sample_counts(sample)
+    part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(APART))
+    keys, n0, n1, all0, all1 = _sample_counts(sample.filter(part != CALIBRATES))
     known = Lookup(keys)
     if not all0 or not all1:
         return Model(known, np.zeros(0))
     corpus, corpus_texts = _corpus_counts(docs, known)
     model = Model(known, token_table(n0, n1, all0, all1, corpus, corpus_texts))
-    model.scale = extreme_scale(*_score_shares(docs, model))
+    scores, share = _score_shares(docs, model)
+    model.drift = float(max(0.0, share @ scores) - MEAN)
+    model.scale = extreme_scale(scores - model.drift, share)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def best(batches):
-        for part in batch_slices(batches, "text"):
-            counts, found = shared.value.segments(column_of(part, "text"))
+        for batch in batch_slices(batches, "text"):
+            counts, found = shared.value.segments(column_of(batch, "text"))
             yield pa.RecordBatch.from_arrays(
-                [column_of(part, "label"), pa.array(counts.astype(np.int64)), pa.array([[s for _, _, s in f] for f in found], pa.list_(pa.float64()))],
-                ["label", "n", "scores"])
-
-    rows = sample.mapInArrow(best, "label int, n long, scores array<double>").collect()  # at most 2 * per_class
-    clean = [model.scale * max(r["scores"]) - np.log(r["n"]) for r in rows if r["label"] == 0 and r["scores"]]
-    model.log_k = float(np.mean(clean) - EULER) if clean else 0.0
+                [column_of(batch, "label"), column_of(batch, "unseen"), pa.array(counts.astype(np.int64)),
+                 pa.array([[s for _, _, s in f] for f in found], pa.list_(pa.float64()))], ["label", "unseen", "n", "scores"])
+
+    tested = sample.select("label", (part == CALIBRATES).alias("unseen"), "text")
+    rows = tested.mapInArrow(best, "label int, unseen boolean, n long, scores array<double>").collect()  # at most 2 * per_class
+    unseen = [r for r in rows if r["unseen"]]
+    if len({r["label"] for r in unseen}) == 2:  # else the sample is tiny
+        rows = unseen
+    clean = [model.scale * max(r["scores"], default=0.0) - np.log(max(r["n"], 1)) for r in rows if r["label"] == 0]
+    model.log_k = float(np.mean(clean) - EULER)
     y = np.array([r["label"] for r in rows])
     x = np.log1p([model.evidence(r["n"], [(0, 0, s) for s in r["scores"]]) for r in rows])
     number = np.array([(y == 0).sum(), (y == 1).sum()])
