@@ -20,8 +20,10 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -51,14 +53,16 @@ YOUNGER = "".join(f"{chr(int(a, 16))}-{chr(int(b, 16))}" for a, b in (r.split("-
 YOUNGER_CAPITALS = [(0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1),
                     (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B)]
 
-SPACES = re.compile(f"[{SPACE}]+")
-ASCII_SPACES = re.compile(r"[\t-\r ]+")
-# The library's word pattern, for lowered text whose white space is plain spaces.
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^ \p{L}\p{N}]+")
+# The library's word pattern for lowered text: for the first 256 characters, for all, and for text with younger characters.
+CONTRACTED = "'(?:s|t|re|ve|m|ll|d)"
+LATIN, LATIN_DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
+LATIN_WORDS = re.compile(rf"[{LATIN}]+|[{LATIN_DIGITS}]|{CONTRACTED}|[^{SPACE}{LATIN}{LATIN_DIGITS}]+")
+WORDS = regex.compile(rf"\p{{L}}+|\p{{N}}|{CONTRACTED}|[^{SPACE}\p{{L}}\p{{N}}]+")
 HAS_YOUNGER = re.compile(f"[{YOUNGER}]")
-YOUNGER_WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|(?:(?![{YOUNGER}])\p{{L}})+|(?![{YOUNGER}])\p{{N}}|(?:[{YOUNGER}]|[^ \p{{L}}\p{{N}}])+")
+YOUNGER_WORDS = regex.compile(rf"(?:(?![{YOUNGER}])\p{{L}})+|(?![{YOUNGER}])\p{{N}}|{CONTRACTED}|(?:[{YOUNGER}]|[^{SPACE}\p{{L}}\p{{N}}])+")
 CASES = {ord("Σ"): "σ"} | {c: chr(c + step) for first, last, step in YOUNGER_CAPITALS for c in range(first, last + 1)}
+HAS_CASES = re.compile("[" + "".join(map(chr, CASES)) + "]")
+A_SPACE = re.compile(f"[{SPACE}]")
 
 
 def byte_symbols() -> list[str]:
@@ -70,24 +74,40 @@ def byte_symbols() -> list[str]:
     return [names[b] for b in range(256)]
 
 
-def normal(text: str) -> str:
-    """Composed, lowered letter by letter, white space as single spaces."""
-    if text.isascii():
-        return ASCII_SPACES.sub(" ", text).lower()
-    return SPACES.sub(" ", unicodedata.normalize("NFC", text)).translate(CASES).lower()
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
-def words(text: str) -> Iterator[list[str]]:
-    """The words of a normal text, in lists; a long text is cut at spaces, which no word contains."""
-    find = (ASCII_WORDS if text.isascii() else YOUNGER_WORDS if HAS_YOUNGER.search(text) else WORDS).findall
+def normal(text: str) -> tuple[str, bool]:
+    """The text composed and lowered letter by letter, and whether it has Latin-1 characters only."""
+    if is_latin(text):
+        return text.lower(), True
+    if not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    if HAS_CASES.search(text):
+        text = text.translate(CASES)
+    return text.lower(), False
+
+
+def words(text: str, latin: bool) -> Iterator[list[str]]:
+    """The words of a normal text, in lists; a long text is cut at white space, which no word contains."""
+    find = (LATIN_WORDS if latin else YOUNGER_WORDS if HAS_YOUNGER.search(text) else WORDS).findall
     at = 0
     while at < len(text):
-        to = len(text) if len(text) - at <= PIECE else text.find(" ", at + PIECE)
-        to = len(text) if to < 0 else to
+        space = A_SPACE.search(text, at + PIECE) if len(text) - at > PIECE else None
+        to = space.start() if space else len(text)
         yield find(text, at, to)
         at = to
 
 
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Merges:
     """Merges of adjacent symbols: rank and result of a pair."""
 
@@ -101,47 +121,52 @@ class Merges:
         n = len(symbols)
         if n < 2:
             return symbols
-        rank, result, symbols = self.rank, self.result, list(symbols)
-        size = 1 << max(n - 2, 0).bit_length()
-        tree = [NO_PAIR] * (2 * size)
-        for i in range(n - 1):
-            r = rank.get(symbols[i] << 32 | symbols[i + 1])
+        rank, result, symbols = self.rank.get, self.result, list(symbols)
+        size = 1 << (n - 2).bit_length()
+        leaves = [NO_PAIR] * size
+        for i, (a, b) in enumerate(pairwise(symbols)):
+            r = rank(a << 32 | b)
             if r is not None:
-                tree[size + i] = r << 32 | i
-        for i in range(size - 1, 0, -1):
-            left, right = tree[2 * i], tree[2 * i + 1]
-            tree[i] = left if left < right else right
+                leaves[i] = r << 32 | i
+        tree = leaves
+        while len(leaves) > 1:  # level by level up to the root
+            leaves = list(map(min, leaves[::2], leaves[1::2]))
+            tree = leaves + tree
+        tree.insert(0, NO_PAIR)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-        def put(i: int, value: int):
-            i += size
-            tree[i] = value
-            while i > 1:
-                least = tree[i] if tree[i] < tree[i ^ 1] else tree[i ^ 1]
-                i >>= 1
-                if tree[i] == least:
-                    return
-                tree[i] = least
-
-        def pair(i: int, j: int) -> int:
-            r = rank.get(symbols[i] << 32 | symbols[j])
-            return NO_PAIR if r is None else r << 32 | i
-
-        while tree[1] != NO_PAIR:
-            i = tree[1] & PLACES
+        while True:
+            top = tree[1]
+            if top == NO_PAIR:
+                break
+            i = top & PLACES
             j = after[i]
             k = after[j]
-            symbols[i] = result[tree[1] >> 32]
+            merged = symbols[i] = result[top >> 32]
             symbols[j] = -1
             after[i] = k
+            changes = []
+            h = before[i]
+            if h >= 0:
+                r = rank(symbols[h] << 32 | merged)
+                changes.append((h, NO_PAIR if r is None else r << 32 | h))
             if k < n:
                 before[k] = i
-                put(j, NO_PAIR)
-                put(i, pair(i, k))
+                changes.append((j, NO_PAIR))
+                r = rank(merged << 32 | symbols[k])
+                changes.append((i, NO_PAIR if r is None else r << 32 | i))
             else:
-                put(i, NO_PAIR)
-            if before[i] >= 0:
-                put(before[i], pair(before[i], i))
+                changes.append((i, NO_PAIR))
+            for at, value in changes:
+                at += size
+                tree[at] = value
+                while at > 1:
+                    other = tree[at ^ 1]
+                    if other < value:
+                        value = other
+                    at >>= 1
+                    if tree[at] == value:
+                        break
+                    tree[at] = value
         return [s for s in symbols if s >= 0]
 
 
@@ -163,21 +188,21 @@ class Vocabulary:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self.merges = Merges([(ids[a], ids[b], ids[a + b]) for a, b in pairs])
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.known, self.held = {}, 0
+        self.known, self.old, self.held = {}, {}, 0
 
     def __getstate__(self):
-        return self.__dict__ | {"known": {}, "held": 0}
+        return self.__dict__ | {"known": {}, "old": {}, "held": 0}
 
     def encode_word(self, word: str) -> list[int]:
         raw = word.encode("utf-8", "replace")
         return self.merges.apply([s for s in (*(self.inner[b] for b in raw[:-1]), self.last[raw[-1]]) if s is not None])
 
     def _ids(self, word: str) -> bytes:
-        packed = np.array(self.encode_word(word), "<u4").tobytes()
+        packed = self.known.get(word) or self.old.get(word) or pack(self.encode_word(word))
         cost = 200 + len(word) + len(packed)
-        if cost <= MEMORY >> 8:  # a very long word is not remembered
-            if self.held + cost > MEMORY:
-                self.known, self.held = {}, 0
+        if word not in self.known and cost <= MEMORY >> 8:  # a very long word is not remembered
+            if self.held + cost > MEMORY // 2:  # words not met since the last time are forgotten
+                self.known, self.old, self.held = {}, self.known, 0
             self.known[word], self.held = packed, self.held + cost
         return packed
 
@@ -188,13 +213,13 @@ class Vocabulary:
         out = []
         for n, part in enumerate(self.cut.split(text) if self.cut else [text]):
             if n % 2:
-                out.append(np.array([self.special[part]], "<u4").tobytes())
+                out.append(pack([self.special[part]]))
                 continue
-            for found in words(normal(part)):
-                try:
-                    out.append(b"".join([self.known[w] for w in found]))
-                except KeyError:
-                    out.append(b"".join([self.known.get(w) or self._ids(w) for w in found]))
+            for found in words(*normal(part)):
+                packed = list(map(self.known.get, found))
+                if None in packed:
+                    packed = [p or self._ids(w) for p, w in zip(packed, found)]
+                out.append(b"".join(packed))
         return b"".join(out)
 
     def decode(self, packed: bytes) -> str:
