@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import is_match, lcs_length
+from ..functions.names import alike
 from ..session import cut, discard
 
 SLACK = 155  # thousandths
@@ -164,8 +164,7 @@ def _verified(joined: DataFrame) -> DataFrame:
         F.col("x.ord").alias("a"), F.col("y.ord").alias("b"),
         F.col("x.name_key").alias("ka"), F.col("y.name_key").alias("kb"),
     ).dropDuplicates(["a", "b"])
-    total = F.char_length("ka") + F.char_length("kb")
-    return near.withColumn("lcs", lcs_length("ka", "kb")).filter(is_match(F.col("lcs"), total)).select("a", "b")
+    return near.filter(alike("ka", "kb")).select("a", "b")
 
 
 def _spread(rows: DataFrame, *by: str) -> DataFrame:

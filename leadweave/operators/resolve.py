@@ -25,7 +25,7 @@ from ..functions.hosts import host
 from ..functions.names import company_key, sorted_tokens
 from ..session import cut, discard, lookup
 from .fuzzy import (
-    PAIR_BUDGET, SMALL_SET, _next_chunk, _spread, bigram_order, describe, probe_pairs, self_affordable, self_pairs, signature_width,
+    BROADCAST_ROWS, PAIR_BUDGET, SMALL_SET, _next_chunk, _spread, bigram_order, describe, probe_pairs, self_affordable, self_pairs, signature_width,
 )
 
 FIRST_BATCH = 100_000
@@ -92,6 +92,61 @@ def _claim(later: DataFrame, leaders: DataFrame, width: int) -> DataFrame:
     return cut(probe_pairs(later, leaders, width).groupBy("b").agg(F.min("a").alias("leader")), "claimed")
 
 
+def revise_leaders(decided: DataFrame, keys: DataFrame, first_batch: int = FIRST_BATCH, budget: int = PAIR_BUDGET) -> DataFrame:
+    """(ord, name_key, leader) of `keys` (ord, name_key), from an earlier decision (ord, name_key, leader) about other keys or orders.
+
+    Only what a change reaches is decided again. Open at first are keys that are new or have another order, and the
+    followers of leaders that went or moved. A round gives every open key the earliest standing leader before it; those
+    without one are decided among themselves. Each new leader then takes the later keys it matches from later leaders;
+    a leader it takes stops leading, and its followers are open in the next round.
+
+    The rounds end: standing leaders before the least open key are final, so that key is decided for good, and only
+    followers of a leader taken by an open key, that is, later keys, are opened. The least open order rises every round.
+    """
+    old = decided.select("name_key", F.col("ord").alias("old"), "leader")
+    told = keys.select("ord", "name_key").join(old, "name_key", "left")
+    gone = decided.filter("ord = leader").select("name_key", F.col("ord").alias("old")).join(keys, "name_key", "left").filter("ord IS NULL OR ord <> old")
+    kept = F.when(F.char_length("name_key") < 3, F.col("ord")).when(F.col("old") == F.col("ord"), F.col("leader"))
+    state = _without(cut(told.select("ord", "name_key", kept.alias("leader")), "revised"), cut(gone.select(F.col("old").alias("leader")), "gone"))
+    is_open = F.col("leader").isNull()
+    seen, described = None, None
+    while True:
+        counted = state.agg(F.count_if(is_open).alias("n"), F.min(F.when(is_open, F.col("ord"))).alias("least"), F.count(F.lit(1)).alias("all")).first()
+        if not counted["n"]:
+            return state
+        if seen is not None and counted["least"] <= seen:
+            raise RuntimeError("open keys must move on")  # see above: cannot happen
+        seen = counted["least"]
+        if described is None:
+            described, width = cut(describe(_spread(keys, "ord"), bigram_order(keys)), "keys"), signature_width(counted["all"])
+        part = lambda condition: described.join(state.filter(condition).select("ord"), "ord", "left_semi")  # noqa: E731, B023
+        undecided = cut(part(is_open), "open")
+        met = probe_pairs(part(F.col("leader") == F.col("ord")), undecided, width).filter("b < a")
+        claims = cut(met.groupBy("a").agg(F.min("b").alias("claim")).withColumnRenamed("a", "ord"), "claims")
+        led = cut(key_leaders(undecided.join(claims, "ord", "left_anti").select("ord", "name_key"), first_batch, budget).withColumnRenamed("leader", "led"), "led")
+        fresh = cut(described.join(led.filter("ord = led").select("ord"), "ord", "left_semi"), "new-leaders")
+        taken = probe_pairs(described.join(led, "ord", "left_anti"), fresh, width).filter("a < b").groupBy("b").agg(F.min("a").alias("new"))
+        standing = F.coalesce("leader", "claim", "led")
+        changed = state.join(claims, "ord", "left").join(led, "ord", "left").join(taken.withColumnRenamed("b", "ord"), "ord", "left").select(
+            "ord", "name_key", F.least("new", standing).alias("leader"), (F.col("leader").eqNullSafe(F.col("ord")) & (F.col("new") < F.col("ord"))).alias("_fell"))
+        changed = cut(changed, "revised")
+        state = _without(changed.drop("_fell"), changed.filter("_fell").select(F.col("ord").alias("leader")))
+
+
+def _without(state: DataFrame, leaders: DataFrame) -> DataFrame:
+    """`state` in which the followers of the given leaders are open; one leader may hold many of the keys."""
+    number = leaders.count()
+    if not number:
+        return state
+    lost = leaders.withColumn("_lost", F.lit(True))
+    if number <= BROADCAST_ROWS:
+        marked = state.join(F.broadcast(lost), "leader", "left")
+    else:
+        counts = state.filter("leader IS NOT NULL").groupBy("leader").agg(F.count(F.lit(1)).alias("n"))
+        marked = lookup(state, lost, "leader", counts, state.count())
+    return cut(marked.select("ord", "name_key", F.when(F.col("_lost").isNull(), F.col("leader")).alias("leader")), "revised")
+
+
 def with_keys(sightings: DataFrame) -> DataFrame:
     """Adds `domain` and the sorted-token `name_key` of the normalised company name."""
     return sightings.withColumn("domain", host("website")).withColumn(
@@ -99,25 +154,51 @@ def with_keys(sightings: DataFrame) -> DataFrame:
     )
 
 
-def assign_leaders(sightings: DataFrame, first_batch: int = FIRST_BATCH, budget: int = PAIR_BUDGET) -> DataFrame:
-    """Adds `leader`, the `seq` of the sighting that leads the company of each sighting."""
-    keyed = cut(with_keys(sightings), "keyed")  # read many times below: the channels run once
-    narrow = keyed.select("seq", "domain", "name_key")
-    heads = cut(
+def domain_heads(narrow: DataFrame) -> DataFrame:
+    """(domain, seq, name_key, n): the first sighting of each domain and its number of sightings."""
+    return cut(
         narrow.filter("domain <> ''").groupBy("domain").agg(
             F.min(F.struct("seq", "name_key")).alias("head"), F.count(F.lit(1)).alias("n")
         ).select("domain", "head.seq", "head.name_key", "n"),
         "heads",
     )
-    # First order of every name key that reaches the name test, with its rows among heads and bare sightings.
-    keys = cut(
+
+
+def tested_names(narrow: DataFrame, heads: DataFrame) -> DataFrame:
+    """First order of every name key that reaches the name test, with its rows among heads and bare sightings."""
+    return cut(
         heads.select("name_key", "seq", F.lit(1).alias("h"), F.lit(0).alias("b"))
         .unionByName(narrow.filter("domain = ''").select("name_key", "seq", F.lit(0).alias("h"), F.lit(1).alias("b")))
         .filter("name_key <> ''")
         .groupBy("name_key").agg(F.min("seq").alias("ord"), F.sum("h").alias("h"), F.sum("b").alias("b")),
         "names",
     )
-    by_ord = key_leaders(keys.select("ord", "name_key"), first_batch, budget)
+
+
+def _leaders(keys: DataFrame, first_batch: int, budget: int, decided: DataFrame | None) -> DataFrame:
+    names = keys.select("ord", "name_key")
+    if decided is None:
+        return key_leaders(names, first_batch, budget)
+    return revise_leaders(decided, names, first_batch, budget).select("ord", "leader")
+
+
+def decided_names(sightings: DataFrame, first_batch: int = FIRST_BATCH, budget: int = PAIR_BUDGET, decided: DataFrame | None = None) -> DataFrame:
+    """(ord, name_key, leader) of the names of a set of sightings: what a later run with more, fewer or other sightings starts from."""
+    narrow = cut(with_keys(sightings).select("seq", "domain", "name_key"), "keyed")
+    keys = tested_names(narrow, domain_heads(narrow))
+    return keys.select("ord", "name_key").join(_leaders(keys, first_batch, budget, decided), "ord")
+
+
+def assign_leaders(sightings: DataFrame, first_batch: int = FIRST_BATCH, budget: int = PAIR_BUDGET, decided: DataFrame | None = None) -> DataFrame:
+    """Adds `leader`, the `seq` of the sighting that leads the company of each sighting.
+
+    `decided`: names decided by an earlier run (`decided_names`); then only names that a change reaches are decided again.
+    """
+    keyed = cut(with_keys(sightings), "keyed")  # read many times below: the channels run once
+    narrow = keyed.select("seq", "domain", "name_key")
+    heads = domain_heads(narrow)
+    keys = tested_names(narrow, heads)
+    by_ord = _leaders(keys, first_batch, budget, decided)
     by_name = cut(keys.join(by_ord, "ord").select("name_key", "leader", "h", "b"), "by-name")
     sizes = by_name.agg(F.sum("h"), F.sum("b")).first()
     names = by_name.select("name_key", "leader")

@@ -7,8 +7,9 @@ batch that is resolved (its companies neither share a domain nor match by name)
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import SEARCH_COLUMNS
@@ -17,9 +18,20 @@ from ..functions.names import company_key, sorted_tokens
 from ..functions.text import blank_to_null, matches_terms
 from ..schemas import LIST_COLUMNS, SIGHTING_COLUMNS, STATE_COLUMNS, STATE_SCHEMA, STATE_TYPES
 from ..session import cut, lookup, row_order
+from ..sources.tables import finished_versions, read_state, write_state
 from .fuzzy import PAIR_BUDGET, first_match
+from .name_index import NameIndex
 from .merge import first_filled, filled, united_lists
-from .resolve import key_leaders
+from .resolve import key_leaders, revise_leaders
+
+
+@dataclass
+class StoredNames:
+    """The stored index of the state's names, and the state version it is read at."""
+
+    names: NameIndex
+    version: int
+
 
 # Columns an update may fill when they are blank in the state.
 UPDATABLE = [c for c in SIGHTING_COLUMNS if c not in LIST_COLUMNS and c not in ("company_name", "scraped_date")]
@@ -32,18 +44,18 @@ def domain_matches(batch: DataFrame, state: DataFrame) -> DataFrame:
     return rows.join(known, "domain").select("seq", "target")
 
 
-def name_matches(batch: DataFrame, state: DataFrame, budget: int = PAIR_BUDGET, first_chunk: int = 200_000) -> DataFrame:
-    """(seq, target): lowest state id whose name matches. Works on distinct names on both sides."""
+def name_matches(batch: DataFrame, state: DataFrame, budget: int = PAIR_BUDGET, first_chunk: int = 200_000, index: StoredNames | None = None) -> DataFrame:
+    """(seq, target): lowest state id whose name matches. Works on distinct names on both sides, those of the state from an index if given."""
     named = batch.select("seq", "name_key").filter("name_key <> ''")
     probe = cut(
         named.groupBy("name_key").agg(F.min("seq").alias("ord"), F.count(F.lit(1)).alias("n")), "batch-names"
     )
-    index = cut(
-        state.select("id", sorted_tokens("normalized_name").alias("name_key")).filter("name_key <> ''")
-        .groupBy("name_key").agg(F.min("id").alias("ord")),
-        "state-names",
-    )
-    hits = first_match(probe.select("ord", "name_key"), index, budget, first_chunk)
+    if index is not None:
+        hits = index.names.first_match(probe.select("ord", "name_key"), index.version, budget)
+    else:
+        keyed = state.select("id", sorted_tokens("normalized_name").alias("name_key")).filter("name_key <> ''")
+        known = cut(keyed.groupBy("name_key").agg(F.min("id").alias("ord")), "state-names")
+        hits = first_match(probe.select("ord", "name_key"), known, budget, first_chunk)
     by_name = cut(probe.join(hits, "ord").select("name_key", F.col("match").alias("target"), "n"), "name-hits")
     total = by_name.agg(F.sum("n")).first()[0] or 0
     found = lookup(named, by_name.select("name_key", "target"), "name_key", by_name.select("name_key", "n"), total)
@@ -67,7 +79,12 @@ def place(batch: DataFrame, state: DataFrame, **limits) -> DataFrame:
     matching name (state rows by id, then founders), else it founds one. A company owns one domain: its first one.
     The rule of a row only looks back, so an assignment that satisfies the rule of every row is the sequential one. It
     is found by repetition: guess when each domain is owned, let all rows before that take the name test, derive the
-    owners from the outcome, and stop when the rows that take the test stay the same.
+    owners from the outcome, and stop when the rows that take the test stay the same. From the second round on, only the
+    names that a change reaches are tested again (`revise_leaders`).
+
+    The rounds end: let s be the first row whose test status a round changes. Rows before s stand for good, so the next
+    round finds the status of s for good, and its first change comes later. There are at most as many rounds as rows that
+    are not the first of their domain, and in fact as many as a domain decides a name that decides a domain in turn.
     """
     keyed = cut(batch.select("seq", host("website").alias("domain"), sorted_tokens(company_key("company_name")).alias("name_key")), "keyed")
     at_once = domain_matches(keyed, state).select("seq", F.lit(False).alias("is_new"), F.col("target").alias("company"))
@@ -75,27 +92,36 @@ def place(batch: DataFrame, state: DataFrame, **limits) -> DataFrame:
     rest = cut(rest.join(name_matches(rest, state, **limits), "seq", "left"), "rest")
     with_domain = F.col("domain") != ""
     bare = state.filter("domain = ''").select(F.col("id").alias("company"), F.lit(False).alias("is_new"), F.lit(True).alias("bare"))
-    owners = rest.filter(with_domain).groupBy("domain").agg(F.min("seq").alias("since")).select(
-        "domain", "since", F.lit(True).alias("owner_new"), F.col("since").alias("owner"))
-    before = None
+    domains = cut(rest.filter(with_domain).groupBy("domain").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n")), "domains")
+    owners = domains.select("domain", F.col("first").alias("since"), F.lit(True).alias("owner_new"), F.col("first").alias("owner"))
+    rows = domains.agg(F.sum("n")).first()[0] or 0
+    first, decided, before = None, None, rest.select(*rest.columns, F.lit(False).alias("tested"))
     while True:
-        seen = rest.join(owners, "domain", "left")
-        tested = cut(seen.filter(~with_domain | F.col("since").isNull() | (F.col("seq") <= F.col("since"))).select(*rest.columns), "tested")
-        now = tuple(tested.agg(F.count(F.lit(1)), F.sum(F.xxhash64("seq").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
-        keys = cut(tested.filter("target IS NULL AND name_key <> ''").groupBy("name_key").agg(F.min("seq").alias("ord")), "names")
-        leaders = keys.join(key_leaders(keys), "ord").select("name_key", "leader")
-        named = cut(tested.join(leaders, "name_key", "left").select(
-            "seq", "domain", F.col("target").isNull().alias("is_new"), F.coalesce("target", "leader", "seq").alias("company")), "named")
+        owned = lookup(rest.filter(with_domain), owners, "domain", domains.select("domain", "n"), rows)
+        seen = owned.unionByName(rest.filter(~with_domain), allowMissingColumns=True)
+        test = ~with_domain | F.col("since").isNull() | (F.col("seq") <= F.col("since"))
+        seen = cut(seen.withColumn("tested", test).join(before.select("seq", F.col("tested").alias("_was")), "seq"), "seen")
+        if decided is not None:
+            change = seen.filter("tested <> _was").agg(F.min("seq")).first()[0]
+            if change is None:
+                break
+            if first is not None and change <= first:
+                raise RuntimeError("the first change must move on")  # see above: cannot happen
+            first = change
+        before = seen
+        tested = seen.filter("tested").select(*rest.columns)
+        keys = cut(tested.filter("target IS NULL AND name_key <> ''").groupBy("name_key").agg(F.min("seq").alias("ord"), F.count(F.lit(1)).alias("n")), "names")
+        names = keys.select("ord", "name_key")
+        decided = revise_leaders(decided, names) if decided is not None else cut(names.join(key_leaders(names), "ord"), "decided")
+        named = lookup(tested, decided.select("name_key", "leader"), "name_key", keys.select("name_key", "n"), keys.agg(F.sum("n")).first()[0] or 0)
+        named = cut(named.select("seq", "domain", F.col("target").isNull().alias("is_new"), F.coalesce("target", "leader", "seq").alias("company")), "named")
         founded = named.filter(F.col("is_new") & (F.col("seq") == F.col("company")))
         blank = bare.unionByName(founded.filter(~with_domain).select("company", "is_new", F.lit(True).alias("bare")))
         given = named.filter(with_domain).join(blank, ["company", "is_new"], "left_semi").groupBy("company", "is_new").agg(
             F.min(F.struct("seq", "domain")).alias("first")).select("first.domain", "first.seq", "is_new", "company")
         own = founded.filter(with_domain).select("domain", "seq", "is_new", "company").unionByName(given)
-        first = own.groupBy("domain").agg(F.min(F.struct("seq", "is_new", "company")).alias("o"))
-        owners = cut(first.select("domain", F.col("o.seq").alias("since"), F.col("o.is_new").alias("owner_new"), F.col("o.company").alias("owner")), "owners")
+        least = own.groupBy("domain").agg(F.min(F.struct("seq", "is_new", "company")).alias("o"))
+        owners = cut(least.select("domain", F.col("o.seq").alias("since"), F.col("o.is_new").alias("owner_new"), F.col("o.company").alias("owner")), "owners")
     later = seen.filter(with_domain & (F.col("seq") > F.col("since"))).select("seq", F.col("owner_new").alias("is_new"), F.col("owner").alias("company"))
     return at_once.unionByName(named.select("seq", "is_new", "company")).unionByName(later)
 
@@ -172,6 +198,41 @@ def upsert(state: DataFrame, batch: DataFrame, today: dt.date, resolved: bool =
     return updated_rows(known, matched, today), counts
 
 
+def stored_upsert(spark: SparkSession, home: str, batch: DataFrame, today: dt.date, resolved: bool = False, **limits) -> tuple[int, dict]:
+    """Upserts into the state stored under `home`/state and its name index under `home`/names: (new version, counts).
+
+    The index is made with the first state that has names beside it; later runs read only the buckets their names fall in
+    and add the names of the rows they insert. The index version is written after the state's: a run that fails in between
+    leaves a state whose newest names the index lacks, so an index older than the state is made up for first.
+    """
+    root, names_root = f"{home}/state", f"{home}/names"
+    versions = finished_versions(spark, root)
+    state = read_state(spark, root)
+    names = None
+    if versions:
+        if finished_versions(spark, f"{names_root}/rows"):
+            names = NameIndex.open(spark, names_root)
+            for late in [v for v in versions if v > max(finished_versions(spark, f"{names_root}/rows"))]:
+                names.extend(state_rows_since(spark, root, late), late)
+        else:
+            names = NameIndex.create(state, names_root, versions[-1])
+    stored = StoredNames(names, versions[-1]) if names else None
+    rows, counts = upsert(state, batch, today, resolved, index=stored, **limits)
+    version = write_state(rows, root)
+    if names is None:
+        NameIndex.create(read_state(spark, root), names_root, version)
+    else:
+        names.extend(state_rows_since(spark, root, version), version)
+    return version, counts
+
+
+def state_rows_since(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """Rows of a state version whose id is above those of the version before."""
+    before = [v for v in finished_versions(spark, root) if v < version]
+    top = read_state(spark, root, before[-1]).agg(F.max("id")).first()[0] if before else None
+    return read_state(spark, root, version).filter(F.col("id") > (top or 0))
+
+
 def empty_state(spark) -> DataFrame:
     return spark.createDataFrame([], STATE_SCHEMA)
 

@@ -103,7 +103,7 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, counts: DataFrame, total
     if total <= PLAIN_ROWS:
         return rows.join(table, key, "left")
     hot_keys = counts.filter(F.col("n") > F.lit(total // HOT_PARTS)).select(key)
-    hot = F.broadcast(table.join(F.broadcast(hot_keys), key, "left_semi").withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys.join(table, key, "left").withColumn("_hot", F.lit(True)))  # hot keys without an entry too
     value_columns = [c for c in table.columns if c != key]
     tagged = rows.join(hot.select(key, F.struct(*value_columns).alias("_hit"), "_hot"), key, "left")
     done = tagged.filter("_hot").select(*[c for c in rows.columns], *[F.col(f"_hit.{c}") for c in value_columns])

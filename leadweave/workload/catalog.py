@@ -40,7 +40,7 @@ SQL: dict[str, str] = {}
 def query(sql: str | None = None):
     """Registers a function as the query of its name, with the SQL of its expected result."""
     def add(build):
-        QUERIES[build.__name__] = build
+        QUERIES[build.__name__] = I.deriving_once(build)
         if sql is not None:
             SQL[build.__name__] = sql
         return build
@@ -546,6 +546,15 @@ def dedupe_resolve_leaders(spark, sf):
     return resolve.assign_leaders(sightings(spark, sf)).select("seq", "leader")
 
 
+@query(f"WITH RECURSIVE {Q.leader_ctes(I.SIGHTINGS)} SELECT seq, leader FROM placed")
+def dedupe_revised_leaders(spark, sf):
+    """Leaders revised from a run that lacked a quarter of the sightings and had some that are gone: as if decided at once."""
+    rows = sightings(spark, sf)
+    before = rows.filter("seq % 4 <> 1").unionByName(rows.filter("seq % 16 = 3").withColumns({
+        "seq": F.col("seq") + 2**40, "company_name": F.concat("company_name", F.lit(" of old")), "website": F.lit("")}))
+    return resolve.assign_leaders(rows, decided=cut(resolve.decided_names(before), "decided")).select("seq", "leader")
+
+
 DOMAIN_GROUPS = f"(SELECT *, min(seq) OVER (PARTITION BY {Q.host('website')}) AS leader FROM {S} s WHERE website <> '')"
 
 
@@ -704,9 +713,31 @@ def state_upsert(spark, sf):
     return upsert.upsert(D(spark, sf, I.OLD_STATE), resolved_batch(spark, sf), TODAY, resolved=True)[0]
 
 
-@query()
+FIRST_PART, SECOND_PART = (f"SELECT * FROM ({I.BATCH}) b WHERE seq % 4 = {r}" for r in (0, 2))
+
+
+def _after(part: str, old: str) -> str:
+    """The state after a resolved part of the batch, as a recipe of its own."""
+    return (f"(WITH RECURSIVE {Q.leader_ctes(part)}, {Q.merged_cte()}, {Q.match_ctes('merged', old)}, {Q.upsert_ctes()} "
+            f"SELECT {ALL_STATE} FROM next_state)")
+
+
+@query(f"SELECT {ALL_STATE}, id > (SELECT max(id) FROM {Q.rec(I.OLD_STATE)} o) AS inserted FROM {_after(SECOND_PART, _after(FIRST_PART, I.OLD_STATE))} s")
+def state_upsert_stored(spark, sf):
+    """Two upserts from the stored state and name index: the second reads the names that the first added."""
+    home = f"{work_folder(spark)}/stored-{uuid.uuid4().hex}"
+    tables.write_state(D(spark, sf, I.OLD_STATE), f"{home}/state")
+    for part in (FIRST_PART, SECOND_PART):
+        upsert.stored_upsert(spark, home, cut(runs.resolve(D(spark, sf, part)), "batch"), TODAY, resolved=True)
+    rows = tables.read_state(spark, f"{home}/state")
+    first = tables.read_state(spark, f"{home}/state", 1).agg(F.max("id")).first()[0]
+    return rows.withColumn("inserted", F.col("id") > first)
+
+
+@query(f"""WITH RECURSIVE {Q.placed_ctes(I.BATCH)}, {Q.upsert_ctes()}
+  SELECT {ALL_STATE}, (SELECT count(*) FROM fresh) AS new_count, (SELECT count(*) FROM hits) AS updated_count FROM old_rows""")
 def state_upsert_unresolved(spark, sf):
-    """The batch as it comes, with repeated domains and names; the order of rows decides, which tests compare with a model."""
+    """The batch as it comes, with repeated domains and names; the order of rows decides."""
     result, counts = upsert.upsert(D(spark, sf, I.OLD_STATE), D(spark, sf, I.BATCH), TODAY)
     return result.select("*", *[F.lit(n).cast("bigint").alias(c) for c, n in counts.items()])
 

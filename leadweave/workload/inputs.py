@@ -6,8 +6,14 @@ a state table from whole tables. `{all}` stands for the replace-all flag of `reg
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import cut
+
 # Five words of every document, drawn by hash from all words of its whole text (letters and digits, lower case), and a
 # site name of the first three. Copies draw the same words, near copies nearly the same: names that are alike.
 WORDS = r"""
@@ -225,10 +231,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Tables that the recipes of the running query share, by folder and recipe.
+_shared: ContextVar[dict[tuple[str, str], DataFrame] | None] = ContextVar("shared", default=None)
+# Recipes inside recipes that are worth a table when a query uses them, and the names they go by then.
+COMMON = {"lead_words": WORDS}
+
+
+def deriving_once(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query with the words of the documents derived once, as a table, however often its recipes use them."""
+
+    @wraps(build)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        token = _shared.set({})
+        try:
+            return build(spark, folder)
+        finally:
+            _shared.reset(token)
+
+    return run
+
+
 def derive(spark: SparkSession, folder: str, sql: str) -> DataFrame:
     """Runs a recipe over the tables of a folder; tables are passed by reference, no view is left behind."""
+    named, shared = {}, _shared.get()
+    for name, recipe in COMMON.items():
+        if shared is not None and sql != recipe and f"({recipe})" in sql:
+            if (folder, name) not in shared:
+                shared[folder, name] = cut(derive(spark, folder, recipe), name)
+            named[name] = shared[folder, name]
+            sql = sql.replace(f"({recipe})", "{" + name + "}")
     text = for_spark(sql)
-    named = {}
     for name in TABLES:
         for word in (f"FROM {name}", f"JOIN {name}"):
             for end in ("\n", " ", ")"):

@@ -256,9 +256,9 @@ def enriched_cte(source: str, quota: int, user=(), name: str = "enriched") -> st
 UPDATABLE = [c for c in SIGHTING_COLUMNS if c not in LIST_COLUMNS and c not in ("company_name", "scraped_date")]
 
 
-def match_ctes(batch: str) -> str:
+def match_ctes(batch: str, state: str = I.OLD_STATE) -> str:
     """CTEs ending in `hits` (seq, target) for the rows of `batch` against the old state."""
-    return f"""t AS MATERIALIZED (SELECT * FROM {rec(I.OLD_STATE)} o),
+    return f"""t AS MATERIALIZED (SELECT * FROM {rec(state)} o),
     tk AS MATERIALIZED (SELECT id, {tokens('normalized_name')} AS tkey FROM t),
     b AS MATERIALIZED (SELECT *, {host('website')} AS domain, {company_key('company_name')} AS normalized_name,
       {tokens(company_key('company_name'))} AS name_key FROM {batch}),
@@ -270,6 +270,53 @@ def match_ctes(batch: str) -> str:
     hits AS MATERIALIZED (SELECT * FROM dm UNION ALL SELECT * FROM nm)"""
 
 
+def placed_ctes(batch: str, state: str = I.OLD_STATE, today: str = TODAY) -> str:
+    """CTEs ending in `t` (the old state and the rows that found a company) and `hits` (seq, target) of all other rows.
+
+    `walk` takes the rows of the batch one by one. It carries the founders and the domains given so far, and the company
+    of each row: a state id, or minus the number of the row that founded it.
+    """
+    owner = "list_filter(w.owners, lambda o: o.domain = r.domain)"
+    earlier = "list_filter(r.nb, lambda n: list_contains(w.founders, n))"
+    fresh = {"id": "(SELECT max(id) FROM t0) + row_number() OVER (ORDER BY seq)", "tier": "CASE WHEN tier = '' THEN 'PARK' ELSE tier END",
+             "status": "'NEW'", "first_seen": today, "last_seen": today, "run_count": "CAST(1 AS INT)",
+             "status_updated": "CAST(NULL AS TIMESTAMP)", "status_notes": "''"}
+    from ..schemas import STATE_COLUMNS
+    new = ", ".join(f"{fresh.get(c, c)} AS {c}" for c in STATE_COLUMNS)
+    return f"""t0 AS MATERIALIZED (SELECT * FROM {rec(state)} o),
+    tk AS MATERIALIZED (SELECT id, {tokens('normalized_name')} AS tkey FROM t0),
+    b AS MATERIALIZED (SELECT *, {host('website')} AS domain, {company_key('company_name')} AS normalized_name,
+      {tokens(company_key('company_name'))} AS name_key, row_number() OVER (ORDER BY seq) AS k FROM {rec(batch)} q),
+    dm AS (SELECT b.k, min(t0.id) AS id FROM b JOIN t0 ON b.domain = t0.domain AND b.domain <> '' GROUP BY b.k),
+    nn AS MATERIALIZED (SELECT b.k, tk.id, b.name_key AS ka, tk.tkey AS kb FROM b JOIN tk
+      ON b.name_key <> '' AND tk.tkey <> '' AND {NEAR.format(a='b.name_key', b='tk.tkey')}),
+    nm AS (SELECT k, min(id) AS id FROM nn WHERE ka = kb OR {match('ka', 'kb')} GROUP BY k),
+    bb AS MATERIALIZED (SELECT y.k, x.k AS a, x.name_key AS ka, y.name_key AS kb FROM b x JOIN b y
+      ON x.k < y.k AND x.name_key <> '' AND y.name_key <> '' AND {NEAR.format(a='x.name_key', b='y.name_key')}),
+    nb AS (SELECT k, list(a ORDER BY a) AS nb FROM bb WHERE ka = kb OR {match('ka', 'kb')} GROUP BY k),
+    r AS MATERIALIZED (SELECT b.k, b.domain, dm.id AS by_domain, nm.id AS by_name, coalesce(s.domain = '', false) AS bare, coalesce(nb.nb, CAST([] AS BIGINT[])) AS nb,
+      b.domain = '' AS blank FROM b LEFT JOIN dm USING (k) LEFT JOIN nm USING (k) LEFT JOIN t0 s ON s.id = nm.id LEFT JOIN nb USING (k)),
+    walk(k, company, founders, blanks, owners) AS (
+      SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]), CAST([] AS STRUCT(domain VARCHAR, company BIGINT)[])
+      UNION ALL
+      SELECT k, CASE how WHEN 0 THEN by_domain WHEN 1 THEN owned WHEN 2 THEN by_name WHEN 3 THEN -first ELSE -k END,
+        CASE WHEN how = 4 THEN list_append(founders, k) ELSE founders END,
+        CASE WHEN how = 4 AND blank THEN list_append(blanks, k) ELSE blanks END,
+        CASE WHEN NOT blank AND how = 4 THEN list_append(owners, {{'domain': domain, 'company': -k}})
+             WHEN NOT blank AND how = 2 AND bare AND len(list_filter(owners, lambda o: o.company = by_name)) = 0
+               THEN list_append(owners, {{'domain': domain, 'company': by_name}})
+             WHEN NOT blank AND how = 3 AND list_contains(blanks, first) AND len(list_filter(owners, lambda o: o.company = -first)) = 0
+               THEN list_append(owners, {{'domain': domain, 'company': -first}}) ELSE owners END
+      FROM (SELECT r.*, w.founders, w.blanks, w.owners, {owner}[1].company AS owned, {earlier}[1] AS first,
+              CASE WHEN r.by_domain IS NOT NULL THEN 0 WHEN NOT r.blank AND len({owner}) > 0 THEN 1 WHEN r.by_name IS NOT NULL THEN 2
+                   WHEN len({earlier}) > 0 THEN 3 ELSE 4 END AS how
+            FROM walk w JOIN r ON r.k = w.k + 1)),
+    fresh AS MATERIALIZED (SELECT b.k, {new} FROM b JOIN walk w ON w.k = b.k AND w.company = -b.k),
+    t AS MATERIALIZED (SELECT * FROM t0 UNION ALL SELECT * EXCLUDE (k) FROM fresh),
+    hits AS MATERIALIZED (SELECT b.seq, CASE WHEN w.company > 0 THEN w.company ELSE f.id END AS target
+      FROM walk w JOIN b ON b.k = w.k LEFT JOIN fresh f ON f.k = -w.company WHERE w.company <> -b.k)"""
+
+
 def upsert_ctes(today: str = TODAY) -> str:
     """CTEs ending in `next_state`, from `b`, `t` and `hits`."""
     fold = ", ".join(f"{first_filled(c)} AS n_{c}" for c in UPDATABLE)

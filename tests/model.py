@@ -1,11 +1,20 @@
 """Plain one-row-at-a-time models of the order-dependent rules, for comparison on small inputs."""
 
-from leadweave.functions.names import common_length
 from leadweave.schemas import CONTACT_COLUMNS, FILL_COLUMNS, LIST_COLUMNS
 
 RANK = {"apollo": 2, "hunter": 1}
 
 
+def common_length(a, b):
+    """Length of the longest common subsequence by the table of all prefixes."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before, row = row, [0]
+        for j, y in enumerate(b):
+            row.append(before[j] + 1 if x == y else max(row[-1], before[j + 1]))
+    return row[-1]
+
+
 def alike(a, b):
     return bool(a) and bool(b) and 400 * common_length(a, b) > 169 * (len(a) + len(b))
 

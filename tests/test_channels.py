@@ -150,7 +150,7 @@ def test_plans(spark):
     from leadweave.operators import fuzzy
     keys = spark.createDataFrame([(1, "abc def"), (2, "abc deg")], "ord bigint, name_key string")
     plan = fuzzy.self_pairs(fuzzy.describe(keys, ["ab"]))._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("ArrowEvalPython") == 1
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
     scored = scoring.score_companies(make(spark, [{"company_name": "a"}]), S, ["TX"])
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan.replace("PythonRDD", "")

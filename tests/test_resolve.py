@@ -7,8 +7,10 @@ from model import alike, resolve as model_resolve
 from leadweave.functions.names import company_key, sorted_tokens
 from leadweave.operators import fuzzy, merge
 from leadweave.operators import resolve as R
+from leadweave.operators.resolve import key_leaders, revise_leaders
 from leadweave.plans.runs import resolve
 from leadweave.schemas import SIGHTING_COLUMNS
+from leadweave.session import cut
 
 
 def near_copies(rng, bases, copies, alphabet="abcdefgh 0é"):
@@ -179,3 +181,48 @@ def test_row_order_in_ranges(spark, monkeypatch):
     rows = spark.range(5000).selectExpr("id * id AS seq").repartition(7)
     got = session.row_order(rows, "seq", "id", 100).orderBy("seq").collect()
     assert [r.id for r in got] == list(range(101, 5101))
+
+
+def leaders_of(keys, **limits):
+    return {r["name_key"]: (r["ord"], r["leader"]) for r in keys.join(key_leaders(keys, **limits), "ord").collect()}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_revised_leaders_equal_a_full_decision(spark, seed):
+    """Keys that come, go and move, in crowds of alike names, against deciding all of them anew."""
+    rng = random.Random(seed)
+    stems = ["acme foods north", "delta pharma works", "gamma flavor house", "ab", "x"]
+    def name():
+        base = list(rng.choice(stems))
+        for _ in range(rng.randrange(0, 4)):
+            base[rng.randrange(len(base))] = rng.choice("abcdefgh ")
+        return "".join(base).strip() or "z"
+    pool = sorted({name() for _ in range(260)})
+    kept = {k: o for o, k in enumerate(rng.sample(pool, 2 * len(pool) // 3))}
+    schema = "ord long, name_key string"
+    keys = spark.createDataFrame([(o, k) for k, o in kept.items()], schema)
+    decided = cut(keys.join(key_leaders(keys), "ord"), "decided")
+    for _ in range(2):
+        for k in rng.sample(sorted(kept), 6):
+            del kept[k]
+        free = [o for o in range(400) if o not in kept.values()]
+        for k, o in zip(rng.sample(sorted(set(pool) - set(kept)), 8), rng.sample(free, 8)):
+            kept[k] = o
+        for k, o in zip(rng.sample(sorted(kept), 4), rng.sample(range(400, 900), 4)):
+            kept[k] = o
+        keys = spark.createDataFrame([(o, k) for k, o in kept.items()], schema)
+        decided = revise_leaders(decided, keys)
+        assert {r["name_key"]: (r["ord"], r["leader"]) for r in decided.collect()} == leaders_of(keys)
+    assert sorted(r["ord"] for r in revise_leaders(decided, keys).collect()) == sorted(kept.values())
+    assert revise_leaders(decided, keys.limit(0)).count() == 0
+
+
+def test_followers_of_a_lost_leader_are_spread_again(spark, monkeypatch):
+    from leadweave.operators import resolve
+
+    monkeypatch.setattr(resolve, "BROADCAST_ROWS", 0)
+    names = ["alpha beta gamma"] + [f"alpha beta gamm{c}" for c in "bcdef"] + ["other thing"]
+    keys = spark.createDataFrame(list(enumerate(names)), "ord long, name_key string")
+    decided = cut(keys.join(key_leaders(keys), "ord"), "decided")
+    now = keys.filter("ord > 0")
+    assert {r["name_key"]: (r["ord"], r["leader"]) for r in revise_leaders(decided, now).collect()} == leaders_of(now)

@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from model import common_length
 from pyspark.sql import functions as F
 
 from leadweave import fixed_values as V
@@ -97,9 +100,22 @@ def test_signals(spark):
     })
 
 
-@pytest.mark.parametrize("a,b,want", [("abc", "abc", 3), ("", "abc", 0), ("axbyc", "abc", 3), ("abc", "cba", 1), ("éa" * 50, "é" * 60, 50)])
-def test_common_length(a, b, want):
-    assert names.common_length(a, b) == want
+def test_common_length(spark):
+    """Built-in expressions against the plain table; one word, several words, and their borders."""
+    rng = random.Random(1)
+    rows = [("", ""), ("a", ""), ("", "b"), ("abc", "cba"), ("é😀x", "x😀é"), ("a" * 62, "a" * 62), ("a" * 63, "a" * 70), ("ab" * 100, "ba" * 90)]
+    for _ in range(400):
+        letters = rng.choice(["ab", "abcdefgh ", "abcdefghijklmnopqrstuvwxyzé😀"])
+        a = "".join(rng.choice(letters) for _ in range(rng.randrange(1 + rng.choice([3, 10, 30, 61, 62, 63, 64, 65, 124, 125, 200]))))
+        b = list(a)
+        for _ in range(rng.randrange(0, 8)):
+            if b and rng.random() < 0.5:
+                del b[rng.randrange(len(b))]
+            else:
+                b.insert(rng.randrange(len(b) + 1), rng.choice(letters))
+        rows.append((a, "".join(b)))
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", names.lcs_length("a", "b").alias("n")).collect()
+    assert [r["n"] for r in got] == [common_length(r["a"], r["b"]) for r in got]
 
 
 def test_rounding_at_the_threshold(spark):
