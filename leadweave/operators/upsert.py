@@ -18,11 +18,13 @@ from ..functions.names import company_key, sorted_tokens
 from ..functions.text import blank_to_null, matches_terms
 from ..schemas import LIST_COLUMNS, SIGHTING_COLUMNS, STATE_COLUMNS, STATE_SCHEMA, STATE_TYPES
 from ..session import cut, lookup, row_order
-from ..sources.tables import finished_versions, read_state, write_state
+from ..settings import Settings
+from ..sources.tables import VersionConflict, finished_versions, read_state, write_state
 from .fuzzy import PAIR_BUDGET, first_match
 from .name_index import NameIndex
 from .merge import first_filled, filled, united_lists
 from .resolve import key_leaders, revise_leaders
+from .scoring import score_companies
 
 
 @dataclass
@@ -33,6 +35,15 @@ class StoredNames:
     version: int
 
 
+@dataclass
+class Rescore:
+    """What updated rows are scored by."""
+
+    settings: Settings
+    states: list[str]
+
+
+SCORE_COLUMNS = ["score", "score_breakdown", "tier"]
 # Columns an update may fill when they are blank in the state.
 UPDATABLE = [c for c in SIGHTING_COLUMNS if c not in LIST_COLUMNS and c not in ("company_name", "scraped_date")]
 
@@ -135,8 +146,12 @@ def fold_batch(rows: DataFrame, target: str = "target") -> DataFrame:
     )
 
 
-def updated_rows(state: DataFrame, matched: DataFrame, today: dt.date) -> DataFrame:
-    """State after the update branch: lists united, blanks filled, protected columns untouched."""
+def updated_rows(state: DataFrame, matched: DataFrame, today: dt.date, rescore: Rescore | None = None) -> DataFrame:
+    """State after the update branch: lists united, blanks filled, protected columns untouched.
+
+    A score is filled only where it is 0, and the tier stays. With `rescore`, rows that the batch meets are scored anew from
+    their merged values, tier and breakdown included.
+    """
     folded = fold_batch(matched)
     touched = state.join(matched.select(F.col("target").alias("id")).distinct(), "id", "left_semi")
     items = touched.select("id", *LIST_COLUMNS).unionByName(
@@ -152,7 +167,12 @@ def updated_rows(state: DataFrame, matched: DataFrame, today: dt.date) -> DataFr
     changes["domain"] = F.coalesce(blank_to_null("domain"), F.col("_n_domain"), F.col("domain"))
     changes["last_seen"] = F.when(hit, F.lit(today)).otherwise(F.col("last_seen"))
     changes["run_count"] = (F.col("run_count") + F.coalesce("_rows", F.lit(0))).cast("int")
-    return joined.withColumns(changes).select(*STATE_COLUMNS)
+    rows = joined.withColumns(changes)
+    if rescore is None:
+        return rows.select(*STATE_COLUMNS)
+    kept = {f"_old_{c}": F.col(c) for c in SCORE_COLUMNS}
+    scored = score_companies(rows.withColumns(kept), rescore.settings, rescore.states)
+    return scored.withColumns({c: F.when(hit, F.col(c)).otherwise(F.col(f"_old_{c}")) for c in SCORE_COLUMNS}).select(*STATE_COLUMNS)
 
 
 def new_rows(numbered: DataFrame, today: dt.date) -> DataFrame:
@@ -177,11 +197,11 @@ def upsert_counts(placed: DataFrame) -> dict:
     return placed.agg(F.count_if(F.col("target").isNull()).alias("new_count"), F.count_if(F.col("target").isNotNull()).alias("updated_count")).first().asDict()
 
 
-def upsert(state: DataFrame, batch: DataFrame, today: dt.date, resolved: bool = False, **limits) -> tuple[DataFrame, dict]:
+def upsert(state: DataFrame, batch: DataFrame, today: dt.date, resolved: bool = False, rescore: Rescore | None = None, **limits) -> tuple[DataFrame, dict]:
     """Next state snapshot and the counts of new and updated rows.
 
     The given state is never overwritten; write the result as a new snapshot. `resolved`: the rows of the batch are
-    different companies, so only the state is searched.
+    different companies, so only the state is searched. `rescore`: score the rows that are updated anew.
     """
     if resolved:
         hits = match_state(batch, state, **limits).select("seq", F.lit(False).alias("is_new"), F.col("target").alias("company"))
@@ -195,35 +215,49 @@ def upsert(state: DataFrame, batch: DataFrame, today: dt.date, resolved: bool =
     ids = fresh.select(F.lit(True).alias("is_new"), F.col("seq").alias("company"), F.col("id").alias("new_id"))
     matched = rows.filter(~founds).join(ids, ["is_new", "company"], "left").withColumn("target", F.coalesce("new_id", "company")).drop("is_new", "company", "new_id")
     counts = upsert_counts(rows.select(F.when(~founds, F.col("company")).alias("target")))
-    return updated_rows(known, matched, today), counts
+    return updated_rows(known, matched, today, rescore), counts
 
 
-def stored_upsert(spark: SparkSession, home: str, batch: DataFrame, today: dt.date, resolved: bool = False, **limits) -> tuple[int, dict]:
-    """Upserts into the state stored under `home`/state and its name index under `home`/names: (new version, counts).
+def stored_upsert(
+    spark: SparkSession, home: str, batch: DataFrame, today: dt.date, resolved: bool = False, indexed: bool = True, attempts: int = 10,
+    rescore: Rescore | None = None, **limits,
+) -> tuple[int, dict]:
+    """Upserts into the state stored under `home`/state: (new version, counts).
 
-    The index is made with the first state that has names beside it; later runs read only the buckets their names fall in
-    and add the names of the rows they insert. The index version is written after the state's: a run that fails in between
-    leaves a state whose newest names the index lacks, so an index older than the state is made up for first.
+    If another writer commits a version in between, the batch is upserted anew into that one, so that no update is lost.
+
+    `indexed`: names are looked up in an index under `home`/names. It is made with the first state that has names beside
+    it; later runs read only the buckets their names fall in and add the names of the rows they insert. The index version is
+    written after the state's: a run that fails in between leaves a state whose newest names the index lacks, so an index
+    older than the state is made up for first.
     """
+    root = f"{home}/state"
+    for _ in range(attempts):
+        base = max(finished_versions(spark, root), default=0)
+        state = read_state(spark, root, base or None)
+        names = _names_up_to(spark, home, base) if indexed and base else None
+        stored = StoredNames(names, base) if names else None
+        rows, counts = upsert(state, batch, today, resolved, index=stored, rescore=rescore, **limits)
+        try:
+            version = write_state(rows, root, base)
+        except VersionConflict:
+            continue
+        if indexed:
+            _names_up_to(spark, home, version)
+        return version, counts
+    raise VersionConflict(f"{attempts} attempts met other writers")
+
+
+def _names_up_to(spark: SparkSession, home: str, version: int) -> NameIndex:
+    """The name index, with the names of all state versions up to the given one."""
     root, names_root = f"{home}/state", f"{home}/names"
-    versions = finished_versions(spark, root)
-    state = read_state(spark, root)
-    names = None
-    if versions:
-        if finished_versions(spark, f"{names_root}/rows"):
-            names = NameIndex.open(spark, names_root)
-            for late in [v for v in versions if v > max(finished_versions(spark, f"{names_root}/rows"))]:
-                names.extend(state_rows_since(spark, root, late), late)
-        else:
-            names = NameIndex.create(state, names_root, versions[-1])
-    stored = StoredNames(names, versions[-1]) if names else None
-    rows, counts = upsert(state, batch, today, resolved, index=stored, **limits)
-    version = write_state(rows, root)
-    if names is None:
-        NameIndex.create(read_state(spark, root), names_root, version)
-    else:
-        names.extend(state_rows_since(spark, root, version), version)
-    return version, counts
+    done = finished_versions(spark, f"{names_root}/rows")
+    if not done:
+        return NameIndex.create(read_state(spark, root, version), names_root, version)
+    names = NameIndex.open(spark, names_root)
+    for late in [v for v in finished_versions(spark, root) if max(done) < v <= version]:
+        names.extend(state_rows_since(spark, root, late), late)
+    return names
 
 
 def state_rows_since(spark: SparkSession, root: str, version: int) -> DataFrame:

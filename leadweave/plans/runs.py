@@ -15,10 +15,10 @@ from ..operators.merge import merge_companies
 from ..operators.reports import dashboard, needs_verification, new_on, result_counts, run_average, run_tiers, sheet
 from ..operators.resolve import assign_leaders
 from ..operators.scoring import score_companies
-from ..operators.upsert import set_verified, upsert
+from ..operators.upsert import Rescore, set_verified, stored_upsert
 from ..session import cut
 from ..settings import Settings
-from ..sources.tables import append_run, read_runs, read_stage, read_state, write_report, write_stage, write_state
+from ..sources.tables import append_run, read_runs, read_stage, read_state, write_report, write_stage
 from .channels import all_channels
 
 
@@ -64,10 +64,13 @@ def full_run(
     scoring: bool = True,
     run_id: str = "run",
     stages: bool = True,
+    indexed: bool = False,
+    rescore: bool = False,
 ) -> RunResult:
     """Runs all steps on the given channel sightings; tables live under `home`.
 
-    Every stage is a table of the run folder, so later steps read files, not recomputed plans.
+    Every stage is a table of the run folder, so later steps read files, not recomputed plans. `indexed`: the state's names
+    are looked up in a stored index. `rescore`: returning companies are scored anew from their merged row.
     """
     started = time.time()
     folder = f"{home}/runs/{run_id}"
@@ -86,8 +89,8 @@ def full_run(
     if scoring:
         rows = score_companies(rows, settings, states)
     rows = cut(rows, "scored")
-    state, counts = upsert(read_state(spark, f"{home}/state"), rows, today, resolved=True)
-    version = write_state(state, f"{home}/state")
+    again = Rescore(settings, states) if rescore and scoring else None
+    version, counts = stored_upsert(spark, home, rows, today, resolved=True, indexed=indexed, rescore=again)
     raw, dedup = sightings.count(), rows.count()
     tiers = run_tiers(rows).first().asDict()
     append_run(

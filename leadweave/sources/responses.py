@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,28 @@ def parse_responses(lines: DataFrame, schema: T.StructType, column: str = "value
     return lines.select(F.from_json(column, schema).alias("r")).select("r.*")
 
 
+def sorted_out(lines: DataFrame, schema: T.StructType, needs: list[str], column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(responses, quarantine) of responses kept as text; every line is in one of them.
+
+    A line is put aside, with a reason and its text, if it is blank, is no JSON object, holds a value of another type than the
+    schema's, or lacks one of the fields it `needs`. The other columns of `lines` stay beside quarantined lines. Both results read
+    `lines` anew; cut it first if it is costly.
+    """
+    corrupt = T.StructType([*schema, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(column, corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    blank = F.coalesce(F.trim(F.col(column)) == "", F.lit(True))
+    lacking = reduce(lambda a, b: a | b, [F.col(f"r.{name}").isNull() for name in needs], F.lit(False))
+    reason = (
+        F.when(blank, "blank")
+        .when(~F.coalesce(F.ltrim(F.col(column)).startswith("{"), F.lit(False)), "no object")
+        .when(F.col("r").isNull() | (F.col("r._corrupt").isNotNull() & F.get_json_object(column, "$").isNull()), "broken")
+        .when(F.col("r._corrupt").isNotNull(), "wrong type")
+        .when(lacking, "lacks a field")
+    )
+    told = lines.withColumn("r", parsed).withColumn("reason", reason)
+    return told.filter("reason IS NULL").select("r.*").drop("_corrupt"), told.filter("reason IS NOT NULL").drop("r")
+
+
 def search_hits(responses: DataFrame, provider: str | None = None) -> DataFrame:
     """One row per search hit: (seq, channel, vertical, keyword, title, link, snippet).
 

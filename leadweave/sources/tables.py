@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,10 +41,51 @@ def read_state(spark: SparkSession, root: str, version: int | None = None) -> Da
     return spark.read.schema(STATE_SCHEMA).parquet(f"{root}/version={version or versions[-1]}")
 
 
-def write_state(state: DataFrame, root: str) -> int:
-    """Writes the next version; the version being read is never touched."""
-    version = max(finished_versions(state.sparkSession, root), default=0) + 1
-    state.write.parquet(f"{root}/version={version}")
+class VersionConflict(Exception):
+    """Another writer took the version that was to follow the one this write started from."""
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, target = _files(spark, path)
+    fs.delete(target, True)
+
+
+def move_new(spark: SparkSession, folder: str, target: str) -> bool:
+    """Renames a written folder unless the target is there: the commit that only one of several writers gets.
+
+    One step where the file system renames atomically (HDFS; local folders, as a folder that holds files is never replaced).
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(folder).toUri() if "://" in folder else path(folder).getFileSystem(conf).getUri(), conf)
+        context.rename(path(folder), path(target), options)
+    except Py4JJavaError:
+        fs, there = _files(spark, target)
+        if fs.exists(there):
+            return False
+        raise
+    return True
+
+
+def write_state(state: DataFrame, root: str, base: int | None = None) -> int:
+    """Writes the next version; the version being read is never touched, and no two writers get the same version.
+
+    The rows are written to a folder of their own and renamed to `version=N` at the end. With `base`, the version the rows were
+    made from, the write fails with `VersionConflict` if another writer has followed that version by now; without it the next
+    free number is taken.
+    """
+    spark = state.sparkSession
+    staged = f"{root}/_staged-{uuid.uuid4().hex}"
+    state.write.parquet(staged)
+    version = (max(finished_versions(spark, root), default=0) if base is None else base) + 1
+    while not move_new(spark, staged, f"{root}/version={version}"):
+        if base is not None:
+            _delete(spark, staged)
+            raise VersionConflict(f"version {version} is taken")
+        version += 1
     return version
 
 
@@ -50,20 +93,28 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """Run history, latest run first."""
     if not _children(spark, path):
         return spark.createDataFrame([], RUN_SCHEMA)
-    return latest_first(spark.read.schema(RUN_SCHEMA).parquet(path))
+    return latest_first(spark.read.schema(RUN_SCHEMA).option("recursiveFileLookup", True).parquet(path))
 
 
 def latest_first(runs: DataFrame) -> DataFrame:
     return runs.orderBy(F.col("run_date").desc(), F.col("id").desc())
 
 
-def append_run(spark: SparkSession, path: str, **values) -> None:
-    """Adds one run; counts default to 0, texts to ''."""
+def append_run(spark: SparkSession, path: str, **values) -> int:
+    """Adds one run and gives its id; counts default to 0, texts to ''. Runs that end at once get ids of their own."""
     last = read_runs(spark, path).agg(F.max("id")).first()[0] or 0
     row = {f.name: "" if f.dataType.simpleString() == "string" else 0 for f in RUN_SCHEMA}
-    row |= {"avg_score": 0.0, "run_date": dt.datetime.now(), "id": last + 1} | values
-    run = spark.createDataFrame([tuple(row[f.name] for f in RUN_SCHEMA)], RUN_SCHEMA)
-    run.coalesce(1).write.mode("append").parquet(path)
+    row |= {"avg_score": 0.0, "run_date": dt.datetime.now()} | values
+    while True:
+        last += 1
+        row["id"] = values.get("id", last)
+        staged = f"{path}/_staged-{uuid.uuid4().hex}"
+        spark.createDataFrame([tuple(row[f.name] for f in RUN_SCHEMA)], RUN_SCHEMA).coalesce(1).write.parquet(staged)
+        if move_new(spark, staged, f"{path}/run-{row['id']:012d}"):
+            return row["id"]
+        _delete(spark, staged)
+        if "id" in values:
+            raise VersionConflict(f"run {row['id']} is taken")
 
 
 def stage_folder(run_folder: str, stage: str) -> str:

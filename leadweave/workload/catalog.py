@@ -105,6 +105,25 @@ def source_search_hits_any_shape(spark, sf):
     return responses.search_hits(responses.parse_responses(search_lines(spark, sf, "organic"), SEARCH_RESPONSE))
 
 
+DAMAGE = {0: "broken", 1: "no object", 2: "blank", 3: "wrong type", 4: "lacks a field"}
+
+
+@query(f"""SELECT query_seq, CASE query_seq % 13 {' '.join(f"WHEN {k} THEN '{v}'" for k, v in DAMAGE.items())} ELSE 'kept' END AS outcome,
+  CAST(CASE WHEN query_seq % 13 < {len(DAMAGE)} THEN 0 ELSE 3 END AS BIGINT) AS hits FROM {Q.rec(RESPONSES)} r""")
+def source_quarantine(spark, sf):
+    """Every third of the saved responses is damaged in one of five ways; each line is either read or put aside with a reason."""
+    seq = F.get_json_object("value", "$.query_seq").cast("bigint")
+    lines = search_lines(spark, sf, "organic_results").withColumn("line", seq)
+    way, value = F.col("line") % 13, F.col("value")
+    damaged = (F.when(way == 0, F.substr(value, F.lit(1), F.floor(F.char_length("value") / 2).cast("int"))).when(way == 1, F.lit("[1, 2]")).when(way == 2, F.lit("  "))
+               .when(way == 3, F.regexp_replace("value", r'"channel":"[^"]*"', '"channel":"web_search","organic":"none"'))
+               .when(way == 4, F.regexp_replace("value", r'"channel":"[^"]*",', "")).otherwise(value))
+    kept, aside = responses.sorted_out(cut(lines.select("line", damaged.alias("value")), "lines"), SEARCH_RESPONSE, ["query_seq", "channel"])
+    hits = responses.search_hits(kept, "serpapi").groupBy(F.floor(F.col("seq") / responses.POSITIONS).alias("query_seq")).agg(F.count(F.lit(1)).alias("hits"))
+    read = kept.select("query_seq").join(hits, "query_seq", "left").select("query_seq", F.lit("kept").alias("outcome"), F.coalesce("hits", F.lit(0)).alias("hits"))
+    return read.unionByName(aside.select(F.col("line").alias("query_seq"), F.col("reason").alias("outcome"), F.lit(0).cast("bigint").alias("hits")))
+
+
 def organisation_lines(spark, sf) -> DataFrame:
     o = D(spark, sf, I.ORGANISATIONS)
     org = F.struct(
@@ -734,6 +753,18 @@ def state_upsert_stored(spark, sf):
     return rows.withColumn("inserted", F.col("id") > first)
 
 
+SCORED_STATE = Q.scored_cte(f"(SELECT id AS seq, '' AS scraped_date, {', '.join(c for c in SIGHTING_COLUMNS if c != 'scraped_date')} FROM next_state WHERE id IN (SELECT target FROM hits))", STATES)
+
+
+@query(f"""WITH RECURSIVE {RESOLVED_BATCH}, {Q.upsert_ctes()}, {SCORED_STATE}
+  SELECT {', '.join(f'coalesce(s.{c}, n.{c}) AS {c}' if c in ('score', 'score_breakdown', 'tier') else f'n.{c}' for c in STATE_COLUMNS)}
+  FROM next_state n LEFT JOIN scored s ON s.seq = n.id""")
+def state_upsert_rescored(spark, sf):
+    """Returning companies are scored anew from their merged row."""
+    again = upsert.Rescore(SETTINGS, STATES)
+    return upsert.upsert(D(spark, sf, I.OLD_STATE), resolved_batch(spark, sf), TODAY, resolved=True, rescore=again)[0]
+
+
 @query(f"""WITH RECURSIVE {Q.placed_ctes(I.BATCH)}, {Q.upsert_ctes()}
   SELECT {ALL_STATE}, (SELECT count(*) FROM fresh) AS new_count, (SELECT count(*) FROM hits) AS updated_count FROM old_rows""")
 def state_upsert_unresolved(spark, sf):
