@@ -119,18 +119,25 @@ def full_name(first: Column | str, last: Column | str) -> Column:
     return strip(F.concat_ws(" ", text_or_blank(first), text_or_blank(last)))
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def small_letters(c: Column) -> Column:
+    """A-Z as a-z, every other character as it is."""
+    return F.translate(c, UPPER, LOWER)
+
+
 def matches_terms(query: str, columns: list[str]) -> Column:
     """Every white-space separated term occurs in at least one of the columns; only A-Z and a-z are the same.
 
     `%` and `_` in a term keep their LIKE meaning.
     """
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     test = F.lit(True)
     for term in query.split():
-        pattern = "%" + term.translate(str.maketrans(upper, lower)).replace("\\", "\\\\") + "%"
+        pattern = "%" + term.translate(str.maketrans(UPPER, LOWER)).replace("\\", "\\\\") + "%"
         found = F.lit(False)
         for name in columns:
-            found = found | F.coalesce(F.translate(F.col(name), upper, lower).like(pattern), F.lit(False))
+            found = found | F.coalesce(small_letters(F.col(name)).like(pattern), F.lit(False))
         test = test & found
     return test
 

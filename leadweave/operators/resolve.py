@@ -92,6 +92,18 @@ def _claim(later: DataFrame, leaders: DataFrame, width: int) -> DataFrame:
     return cut(probe_pairs(later, leaders, width).groupBy("b").agg(F.min("a").alias("leader")), "claimed")
 
 
+def name_groups(keys: DataFrame, first_batch: int = FIRST_BATCH, budget: int = PAIR_BUDGET) -> DataFrame:
+    """(ord, name_key, leader, members): each key with the earliest leader it matches and the size of that leader's group.
+
+    One row a key: a crowd of alike names costs its number of names, not their pairs (`fuzzy.self_pairs` gives those).
+    Every key matches its leader, and leaders do not match each other.
+    """
+    decided = cut(keys.select("ord", "name_key").join(key_leaders(keys, first_batch, budget), "ord"), "decided")
+    sizes = cut(decided.groupBy("leader").agg(F.count(F.lit(1)).alias("members")), "sizes")
+    counts = sizes.select("leader", F.col("members").alias("n"))
+    return lookup(decided, sizes, "leader", counts, decided.count()).select("ord", "name_key", "leader", "members")
+
+
 def revise_leaders(decided: DataFrame, keys: DataFrame, first_batch: int = FIRST_BATCH, budget: int = PAIR_BUDGET) -> DataFrame:
     """(ord, name_key, leader) of `keys` (ord, name_key), from an earlier decision (ord, name_key, leader) about other keys or orders.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions import hosts, names, text
-from ..operators import contacts, firsthit, fuzzy, merge, reports, requests, resolve, scoring, upsert
+from ..operators import contacts, firsthit, fuzzy, merge, postings, reports, requests, resolve, scoring, upsert
 from ..plans import channels, runs
 from ..schemas import (
     CONTACT_COLUMNS, DOMAIN_RESPONSE, FILL_COLUMNS, LIST_COLUMNS, ORGANISATION_RESPONSE, PEOPLE_RESPONSE,
@@ -443,6 +443,21 @@ def filter_keyword_search(spark, sf):
     return reports.by_score(upsert.search(state(spark, sf), " FOOD  tx "))
 
 
+SEARCHES = {"common": " FOOD  tx ", "long": "Hunter pattern", "wild": "kw_, f%d", "short": "y x 2", "none": "zq!zq"}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS search, id, normalized_name FROM {T} t WHERE {' AND '.join(term_sql(term) for term in terms.split())}" for name, terms in SEARCHES.items()))
+def filter_keyword_postings(spark, sf):
+    """Searches answered from postings that two versions of the state were listed in."""
+    now, listed = cut(state(spark, sf), "state"), postings.Postings(spark, f"{work_folder(spark)}/postings-{uuid.uuid4().hex}")
+    before = now.filter("id % 2 = 1").withColumn("notes", F.when(F.col("id") % 3 == 0, F.lit("zq!zq")).otherwise(F.col("notes")))
+    listed.extend(before, 1)
+    listed.extend(now, 2, before)
+    found = [listed.search(now, terms, 2).select(F.lit(name).alias("search"), "id", "normalized_name") for name, terms in SEARCHES.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(f"SELECT id, normalized_name FROM {T} t WHERE lower(normalized_name) LIKE '%the%'")
 def filter_name_contains(spark, sf):
     return state(spark, sf).filter(upsert.name_contains("the")).select("id", "normalized_name")
@@ -476,6 +491,20 @@ def join_fuzzy_names(spark, sf):
     return fuzzy.self_pairs(described, fuzzy.signature_width(number), small=number <= fuzzy.SMALL_SET)
 
 
+@query(f"""WITH RECURSIVE k AS MATERIALIZED (SELECT {Q.tokens(Q.company_key('company_name'))} AS key, min(seq) AS ord FROM {S} s GROUP BY 1 HAVING key <> ''),
+  near AS MATERIALIZED (SELECT x.ord AS a, y.ord AS b, x.key AS ka, y.key AS kb FROM k x JOIN k y
+    ON x.ord < y.ord AND {Q.NEAR.format(a='x.key', b='y.key')}),
+  adj AS MATERIALIZED (SELECT b, list(a ORDER BY a) AS nb, row_number() OVER (ORDER BY b) AS n FROM near WHERE {Q.match('ka', 'kb')} GROUP BY b),
+  walk(n, b, lead, gone) AS (SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST([] AS BIGINT[])
+    UNION ALL SELECT adj.n, adj.b, list_filter(adj.nb, lambda a: NOT list_contains(walk.gone, a))[1],
+      CASE WHEN len(list_filter(adj.nb, lambda a: NOT list_contains(walk.gone, a))) > 0 THEN list_append(walk.gone, adj.b) ELSE walk.gone END
+    FROM walk JOIN adj ON adj.n = walk.n + 1)
+  SELECT ord, key AS name_key, coalesce(lead, ord) AS leader, count(*) OVER (PARTITION BY coalesce(lead, ord)) AS members FROM k LEFT JOIN walk ON k.ord = walk.b""")
+def join_fuzzy_groups(spark, sf):
+    """The matches of all names as groups: one row a name, whatever the size of a crowd."""
+    return resolve.name_groups(cut(name_keys(spark, sf), "keys"))
+
+
 def keyed_batch(spark, sf) -> DataFrame:
     return D(spark, sf, I.BATCH).select(
         "seq", hosts.host("website").alias("domain"), names.sorted_tokens(names.company_key("company_name")).alias("name_key"))

@@ -226,3 +226,15 @@ def test_followers_of_a_lost_leader_are_spread_again(spark, monkeypatch):
     decided = cut(keys.join(key_leaders(keys), "ord"), "decided")
     now = keys.filter("ord > 0")
     assert {r["name_key"]: (r["ord"], r["leader"]) for r in revise_leaders(decided, now).collect()} == leaders_of(now)
+
+
+def test_groups_of_a_crowd_are_linear(spark):
+    rng = random.Random(6)
+    names = near_copies(rng, ["acme foods north", "delta pharma works"], 40) + ["ab", "zz top of all"]
+    keys = spark.createDataFrame(list(enumerate(names)), "ord long, name_key string")
+    rows = R.name_groups(keys).collect()
+    assert sorted(r.ord for r in rows) == list(range(len(names)))
+    leaders = [k for k, r in enumerate(sorted(rows, key=lambda r: r.ord)) if r.leader == k]
+    for r in rows:
+        earlier = [k for k in leaders if k < r.ord and alike(r.name_key, names[k])]
+        assert r.leader == (earlier[0] if earlier else r.ord) and r.members == sum(x.leader == r.leader for x in rows)
