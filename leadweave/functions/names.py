@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..fixed_values import DESCRIPTOR_WORDS, LEGAL_WORDS, NAME_MATCH_PERCENT
-from .text import any_of, strip, text_or_blank
+from .text import any_of, bind, strip, text_or_blank
 
 # Bits of a word of the bit-parallel comparison: two words and a carry add up within 63 bits.
 WORD = 62
@@ -32,11 +30,6 @@ def sorted_tokens(name: Column | str) -> Column:
     return F.array_join(F.sort_array(F.split(words, " ")), " ")
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is computed once; a lambda that refers to an expression computes it for every element."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _mask(backwards: Column, letter: Column, text: Column, digits: Column) -> Column:
     """Bit i is set where letter i of a block of `text` is the given one: the block, given backwards, read as a binary number."""
     binary = F.call_function("translate", backwards, F.concat(letter, text), digits)
@@ -56,7 +49,7 @@ def lcs_length(a: str, b: str) -> Column:
 
     step = lambda v, m: (v + v.bitwiseAND(m)).bitwiseAND(full).bitwiseOR(v.bitwiseAND(F.bitwise_not(m)))
     whole = F.struct(F.reverse(text).alias("r"), digits.alias("d"))
-    short = F.lit(WORD) - F.bit_count(_bind(whole, lambda p: F.aggregate(F.transform(F.split(b, ""), lambda c: _mask(p["r"], c, text, p["d"])), full, step)))
+    short = F.lit(WORD) - F.bit_count(bind(whole, lambda p: F.aggregate(F.transform(F.split(b, ""), lambda c: _mask(p["r"], c, text, p["d"])), full, step)))
 
     # From here on arrays of words, the lowest first.
     words = F.sequence(F.lit(0), F.floor((number - 1) / WORD).cast("int"))
@@ -73,7 +66,7 @@ def lcs_length(a: str, b: str) -> Column:
         return F.aggregate(masks, F.transform(p["r"], lambda block: full), row)
 
     blocks = F.struct(F.transform(words, block).alias("r"), digits.alias("d"))
-    long = F.aggregate(_bind(blocks, last), F.lit(0), lambda acc, v: acc + F.lit(WORD) - F.bit_count(v))
+    long = F.aggregate(bind(blocks, last), F.lit(0), lambda acc, v: acc + F.lit(WORD) - F.bit_count(v))
     return F.when((number == 0) | (F.length(b) == 0), 0).when(number <= WORD, short).otherwise(long).cast("int")
 
 

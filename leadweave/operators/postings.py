@@ -19,8 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import SEARCH_COLUMNS
-from ..functions.names import _bind
-from ..functions.text import matches_terms, small_letters
+from ..functions.text import bind, matches_terms, small_letters
 from ..session import cut
 from ..sources.tables import finished_versions
 
@@ -35,7 +34,7 @@ def _grams(column: str) -> Column:
         runs = lambda n: F.transform(letters, lambda _, i: F.xxhash64(F.concat(*[F.get(letters, i + k) for k in range(n)])))
         return F.array_distinct(F.concat(*[runs(n) for n in range(1, LONGEST + 1)]))
 
-    return _bind(F.split(F.coalesce(small_letters(F.col(column)), F.lit("")), ""), of)
+    return bind(F.split(F.coalesce(small_letters(F.col(column)), F.lit("")), ""), of)
 
 
 def listings(rows: DataFrame, buckets: int) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import STAGE_NUMBERS
@@ -158,3 +158,13 @@ def write_report(rows: DataFrame, path: str) -> None:
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """A written report, all columns as text; values may hold line breaks."""
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+
+
+def in_written_order(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a written parquet report with `position`: 1 for the first row of the first file by name."""
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # one row a file
+    start = F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.withColumn("_start", F.coalesce(start, F.lit(0))).drop("_n")
+    told = rows.join(F.broadcast(starts), "_file")
+    return told.withColumn("position", F.col("_start") + F.col("_row") + 1).drop("_file", "_row", "_start")

@@ -272,6 +272,36 @@ def sink_published_reports(spark, sf):
     return reduce(DataFrame.unionByName, counted)
 
 
+def published(spark, sf, report: str) -> DataFrame:
+    """Rows of a report of the state as they stand in its files, numbered in that order."""
+    home = f"{work_folder(spark)}/home-{uuid.uuid4().hex}"
+    tables.write_state(state(spark, sf), f"{home}/state")
+    for n in (3, 1, 2):
+        tables.append_run(spark, f"{home}/history", raw_count=n, run_date=dt.datetime(2024, 1, n), states_used=f"S{n}")
+    runs.publish(spark, home, RUN_DAY)
+    return tables.in_written_order(spark, f"{home}/reports/{RUN_DAY}/{report}")
+
+
+@query(f"SELECT {SHEET}, row_number() OVER ({ORDER}) AS position FROM {T} t")
+def sink_written_full_sheet(spark, sf):
+    return published(spark, sf, "full")
+
+
+@query(f"SELECT {SHEET}, row_number() OVER ({ORDER}) AS position FROM {T} t WHERE first_seen = DATE '2024-03-01'")
+def sink_written_new_sheet(spark, sf):
+    return published(spark, sf, "new_this_run")
+
+
+@query(SQL["sink_dashboard"])
+def sink_written_dashboard(spark, sf):
+    return published(spark, sf, "dashboard").drop("position")
+
+
+@query("SELECT * FROM (VALUES (CAST(1 AS BIGINT), 1, 3, 'S3'), (2, 3, 1, 'S1'), (3, 2, 2, 'S2')) v(id, position, raw_count, states_used)")
+def sink_written_run_log(spark, sf):
+    return published(spark, sf, "run_log").select("id", "position", "raw_count", "states_used")
+
+
 @query(f"""SELECT module, stage_no, CAST(credits AS INT) AS credits_used, count(*) AS companies FROM {S} s,
   (SELECT 'apollo' AS module, '04' AS stage_no, 7 AS credits UNION ALL SELECT 'other', '99', 0) m GROUP BY ALL""")
 def sink_stage_write(spark, sf):
