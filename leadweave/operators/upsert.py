@@ -17,7 +17,7 @@ from ..functions.hosts import host
 from ..functions.names import company_key, sorted_tokens
 from ..functions.text import blank_to_null, matches_terms
 from ..schemas import LIST_COLUMNS, SIGHTING_COLUMNS, STATE_COLUMNS, STATE_SCHEMA, STATE_TYPES
-from ..session import cut, lookup, row_order
+from ..session import cut, lookup, row_order, temporary_tables
 from ..settings import Settings
 from ..sources.tables import VersionConflict, finished_versions, read_state, write_state
 from .fuzzy import PAIR_BUDGET, first_match
@@ -233,18 +233,19 @@ def stored_upsert(
     """
     root = f"{home}/state"
     for _ in range(attempts):
-        base = max(finished_versions(spark, root), default=0)
-        state = read_state(spark, root, base or None)
-        names = _names_up_to(spark, home, base) if indexed and base else None
-        stored = StoredNames(names, base) if names else None
-        rows, counts = upsert(state, batch, today, resolved, index=stored, rescore=rescore, **limits)
-        try:
-            version = write_state(rows, root, base)
-        except VersionConflict:
-            continue
-        if indexed:
-            _names_up_to(spark, home, version)
-        return version, counts
+        with temporary_tables(spark):
+            base = max(finished_versions(spark, root), default=0)
+            state = read_state(spark, root, base or None)
+            names = _names_up_to(spark, home, base) if indexed and base else None
+            stored = StoredNames(names, base) if names else None
+            rows, counts = upsert(state, batch, today, resolved, index=stored, rescore=rescore, **limits)
+            try:
+                version = write_state(rows, root, base)
+            except VersionConflict:
+                continue
+            if indexed:
+                _names_up_to(spark, home, version)
+            return version, counts
     raise VersionConflict(f"{attempts} attempts met other writers")
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,17 +62,39 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    written = _temporary.get()
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Folders of the tables that `cut` writes inside `temporary_tables`.
+_temporary: ContextVar[list[str] | None] = ContextVar("temporary", default=None)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the tables that `cut` wrote inside: for steps whose results are written or collected by then."""
+    token = _temporary.set([])
+    try:
+        yield
+    finally:
+        for path in _temporary.get():
+            _delete(spark, path)
+        _temporary.reset(token)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables written by `cut` that nothing reads any more."""
     for table in tables:
         for file in table.inputFiles()[:1]:  # all files of such a table lie in its folder
-            spark = table.sparkSession
-            path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(table.sparkSession, file.rsplit("/", 1)[0])
 
 
 def row_order(df: DataFrame, order_col: str, out: str, start: int = 0) -> DataFrame:

@@ -86,3 +86,18 @@ def test_each_response_is_read_or_put_aside(spark):
     assert {r.file: r.reason for r in aside.collect()} == {
         1: "broken", 2: "no object", 3: "blank", 4: "blank", 5: "blank", 6: "wrong type", 7: "lacks a field", 9: "no object", 10: "lacks a field"}
     assert {r.file: r.value for r in aside.collect()}[1] == good[:30]
+
+
+def test_intermediate_tables_of_a_step_go_with_it(spark, tmp_path, monkeypatch):
+    from leadweave import session
+
+    monkeypatch.setattr(session, "work_folder", lambda _: str(tmp_path / "work"))
+    left = lambda: sorted(p.name.split("-")[0] for p in (tmp_path / "work").iterdir())
+    kept = session.cut(spark.range(3), "kept")
+    with session.temporary_tables(spark):
+        session.cut(spark.range(3), "outer")
+        with session.temporary_tables(spark):
+            assert session.cut(spark.range(3), "inner").count() == 3
+        assert left() == ["kept", "outer"]
+    upsert.stored_upsert(spark, str(tmp_path), make(spark, [{"company_name": "Alpha Foods", "website": "a.com"}]), DAY)
+    assert left() == ["kept"] and kept.count() == 3
