@@ -2,12 +2,15 @@
 
 A page is read into blocks: the text between borders of block elements, with its open elements. A linear classifier
 over element names, class and id words, link share, length and sentence signs gives each block a cost as content and
-as boilerplate; these costs are its capacities to the two terminals. Smoothness edges join neighbours in page order and
+as boilerplate. Inline elements that are hidden or marked as boilerplate lose their own piece only. Words of an id count on
+containers only, since headings and paragraphs have ids as anchors, and inside an article only those that never name a
+section of a text. The costs are its capacities to the two terminals. Smoothness edges join neighbours in page order and
 next blocks of one parent element, stronger the nearer they are in the tree. A maximum flow separates the two sides;
 blocks on the source side are the text. Blocks whose terminal capacity outweighs all their edges have the same label in
 every minimum cut and are folded away first, which leaves the flow a few doubtful blocks.
 
-Pages are independent: one pass, no shuffle, whole html whatever its length.
+Pages are independent: one pass, no shuffle, whole html whatever its length, in slices of whole pages of about 1 MB.
+Character references are decoded piece by piece, between two tags.
 
 Defined cases: null or empty html gives an empty text; unclosed or crossing tags follow the usual repairs; a page
 without any content block gives an empty text; null urls and repeated pages pass through; extra columns are not read.
@@ -24,9 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadweave.llm.words import batch_slices
+
 # Names of HTML, and the words that mark parts of pages.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template svg math iframe object head title textarea select option button canvas audio video".split())
+SILENT = frozenset("script style noscript template svg annotation annotation-xml iframe object head title textarea select option button canvas audio video".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -40,12 +45,15 @@ BAD = frozenset(
     "notices alert popup modal overlay sidebar sidebars side aside menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer foot header masthead "
     "topbar toolbar comment comments commentlist disqus reply replies respond discussion share sharing social related recommended recommendations "
     "subscribe subscription newsletter signup login widget widgets form search skip copyright legal tags tagcloud outbrain taboola".split())
+SURELY_BAD = frozenset("ad ads advert adverts advertisement cookie cookies comment comments commentlist disqus respond newsletter sidebar outbrain taboola".split())
+CONTAINERS = frozenset("article aside div footer form header main nav ol section table ul".split())
 GOOD = frozenset("article content main post entry story body text page".split())
 BAD_WORD, GOOD_WORD, HIDDEN = -9.0, 2.5, -30.0
+MARKED = -6.0  # inline weight from which a piece is left out
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_NAMES = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SENTENCE = re.compile(r"[.!?…。](?:\s|$)")
@@ -58,15 +66,20 @@ class Block:
         self.pieces, self.linked, self.bias, self.parent, self.depth, self.tag = [], 0, bias, parent, depth, tag
 
 
-def _weight(tag: str, attributes: str) -> float:
+def _weight(tag: str, attributes: str, in_article: bool) -> float:
     """What an element says about the text inside it."""
     out = ELEMENT.get(tag, 0.0)
     if attributes:
         if tag not in ("html", "body"):
-            words = [w for m in _NAMES.findall(attributes) for w in _WORD.findall("".join(m).lower())]
-            if any(w in BAD for w in words):
+            words = set()
+            for name, *value in _NAMES.findall(attributes):
+                found = _WORD.findall("".join(value).lower())
+                if name.lower() == "id":
+                    found = [w for w in found if w not in BAD or not in_article or w in SURELY_BAD] if tag in CONTAINERS else []
+                words.update(found)
+            if words & BAD:
                 out += BAD_WORD
-            elif any(w in GOOD for w in words):
+            elif words & GOOD:
                 out += GOOD_WORD
         if _HIDDEN.search(attributes):
             out += HIDDEN
@@ -75,8 +88,9 @@ def _weight(tag: str, attributes: str) -> float:
 
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page that hold text, in page order."""
-    # open elements: tag, weight of all of them, number of the nearest block element, block depth, inside a link, silent
-    stack = [("", 0.0, 0, 0, False, False)]
+    # open elements: tag, weight of all of them, number of the nearest block element, block depth, inside a link, silent, weight up to
+    # the nearest block element, inside an article
+    stack = [("", 0.0, 0, 0, False, False, 0.0, False)]
     opened: dict[str, int] = {}
     out: list[Block] = []
     block, number, at, size = None, 0, 0, len(html)
@@ -88,15 +102,15 @@ def blocks_of(html: str) -> list[Block]:
 
     def text(piece):
         nonlocal block
-        _, bias, parent, depth, link, silent = stack[-1]
-        if silent or not piece or (block is None and piece.isspace()):
+        _, bias, parent, depth, link, silent, outer, _ = stack[-1]
+        if silent or not piece or bias - outer <= MARKED or (block is None and piece.isspace()):
             return
         if block is None:
             tag = next((e[0] for e in reversed(stack) if e[0] in BLOCKS), "")
-            block = Block(bias, parent, depth, tag)
+            block = Block(outer, parent, depth, tag)
             out.append(block)
-        block.pieces.append(piece)
-        block.bias = min(block.bias, bias)
+        block.pieces.append(unescape(piece) if "&" in piece else piece)
+        block.bias = min(block.bias, outer)
         if link:
             block.linked += len(piece)
 
@@ -141,9 +155,11 @@ def blocks_of(html: str) -> list[Block]:
         if tag == "body":  # the head ends where the body begins
             while len(stack) > 1 and stack[-1][0] != "html":
                 pop_to(len(stack) - 1)
-        _, bias, parent, depth, link, silent = stack[-1]
+        _, bias, parent, depth, link, silent, outer, inside = stack[-1]
         number += 1
-        stack.append((tag, bias + _weight(tag, attributes), number if is_block else parent, depth + is_block, link or tag == "a", silent or tag in SILENT))
+        bias += _weight(tag, attributes, inside)
+        stack.append((tag, bias, number if is_block else parent, depth + is_block, link or tag == "a", silent or tag in SILENT,
+                      bias if is_block else outer, inside or tag in ("article", "main")))
         opened[tag] = opened.get(tag, 0) + 1
         if tag in RAW and not attributes.endswith("/"):
             end = re.compile(f"</{tag}", re.I).search(html, at)
@@ -234,8 +250,7 @@ def main_text(html: str | None) -> tuple[str, int, int]:
     """(text, number of content blocks, number of blocks) of a page."""
     blocks, texts = [], []
     for b in blocks_of(html or ""):
-        raw = "".join(b.pieces)
-        text = " ".join((unescape(raw) if "&" in raw else raw).split())
+        text = " ".join("".join(b.pieces).split())
         if text:
             blocks.append(b)
             texts.append(text)
@@ -248,7 +263,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, n_content_blocks and n_blocks of every page."""
 
     def read(batches):
-        for batch in batches:
+        for batch in batch_slices(batches, "html"):
             found = [main_text(h) for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()), pa.array([len(f[0]) for f in found], pa.int64()),
@@ -257,4 +272,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
     fields = [pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType()),
               *(T.StructField(n, T.LongType()) for n in ("n_chars", "n_content_blocks", "n_blocks"))]
-    return pages.select("page_id", "url", F.col("html").cast("string")).mapInArrow(read, T.StructType(fields))
+    return pages.select("page_id", "url", F.col("html").cast("string").alias("html")).mapInArrow(read, T.StructType(fields))
