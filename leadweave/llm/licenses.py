@@ -11,7 +11,7 @@ Only template words are counted and ordered, so the broadcast index is bounded b
 their own and meet again by document through partial aggregates.
 
 Defined cases: null and empty texts have no words, places or labels and score 0; repeated rows are judged one by one;
-null ids pass through; an empty table gives an empty result; extra columns are not read.
+null ids pass through; an empty table gives an empty result; texts of any length are read whole; extra columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -10,9 +10,9 @@ missing is less than the length of any document that is not taken. Which documen
 seeded hash of the row.
 
 Only lengths with their counts meet in one task per source. The n-th hash of a length is found by counting ranges of
-hashes first, so no length, however common, is sorted whole.
+hashes first, so no length, however common, is sorted whole. The sum may lie above the budget where that is nearer.
 
-Defined cases: null and empty texts have size 0 and take nothing; a null source is a source of its own, the last one;
+Defined cases: null and empty texts have size 0 and take nothing; a very long text is one document of its length, read whole; a null source is a source of its own, the last one;
 null ids are mixed like others; repeated rows count one by one and ties of the hash are cut by number; an empty table
 gives an empty result; columns of `docs` named like the new ones are replaced by them.
 """
@@ -69,6 +69,19 @@ def pick_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int
     return taken if not rest else _refill(lengths, counts, taken, rest, order)
 
 
+def nearest_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
+    """How many documents of each length to take so that their words come nearest to `budget`, from below if both sides are as near.
+
+    What comes nearest from above leaves out what comes nearest from below to the words that the budget leaves.
+    """
+    below = pick_lengths(lengths, counts, budget, seed)
+    missing, total = budget - int((lengths * below).sum()), int((lengths * counts).sum())
+    if missing <= 0 or budget >= total:
+        return below
+    above = counts - pick_lengths(lengths, counts, total - budget, seed)
+    return above if int((lengths * above).sum()) - budget < missing else below
+
+
 def _fill(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, rest: int, order: np.ndarray) -> tuple[np.ndarray, int]:
     """Bounded knapsack over what is not taken: the words nearest to `rest` from below, and what is missing then."""
     taken = taken.copy()
@@ -143,7 +156,7 @@ def _plan(rows: DataFrame, weights, share, most, seed) -> DataFrame:
     def choose(table: pa.Table) -> pa.Table:
         table = table.sort_by("size")
         budget = int(np.rint(table["rest"][0].as_py()))
-        n = pick_lengths(np.asarray(table["size"]), np.asarray(table["c"]), budget, seed)
+        n = nearest_lengths(np.asarray(table["size"]), np.asarray(table["c"]), budget, seed)
         return table.drop_columns(["rest"]).append_column("n", pa.array(n))
 
     joined = lengths.join(F.broadcast(goals) if sources.count() <= BROADCAST_ROWS else goals, "src")

@@ -17,7 +17,8 @@ forest of the links it found. So no bucket, family or class is ever gathered who
 link between two candidate texts is lost. A class is a connected component of links; it is named by its least id.
 
 Defined cases: null and empty texts have no words, link with nothing and are classes of their own; a text of one to
-four words is one shingle; repeated rows are copies of each other; rows with a null id have a null class and are kept.
+four words is one shingle; repeated rows are copies of each other; rows with a null id have a null class and are kept; texts
+of any length are read whole; extra columns, whatever their names, are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ vocabulary and typography count. The fit takes at most `per_class` labelled docu
 the corpus is scored in place: one pass, no shuffle, two tables of 4 MB broadcast whatever the corpus size.
 
 Defined cases: null and empty texts have no features and get the score of the offset alone; without labels of
-both classes every score is 0.5; repeated rows are scored alike; null ids are scored and count as not held out.
+both classes every score is 0.5; repeated rows are scored alike; null ids are scored and count as not held out; very long texts
+are read whole; columns beyond id, text and label, whatever their names, are not read.
 """
 
 from __future__ import annotations

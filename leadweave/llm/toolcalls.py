@@ -15,7 +15,7 @@ Defined cases: a null or empty text, or arguments that are no JSON object, is `i
 identifier or conversation links with nothing and is a row of its own (`unlinked`); of several calls (or results) with one
 identifier in a conversation the first by turn and text is linked, with the count of all, and each other one is a row of
 its own (`duplicate`); an empty list of calls makes its message a plain one; a call without result is `unanswered`, a result without call `orphan`, a reference to no call `missing_ref`, and calls in a
-circle or behind one `cyclic` with a null level; empty tables give an empty result; extra columns are not read.
+circle or behind one `cyclic` with a null level; empty tables give an empty result; texts of any length are read whole; extra columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ Rules name a host (with its subdomains) and the beginning of a path; the longest
 for the cascade are those a rule blocks, and those without a rule whose host is listed by one of its words.
 
 Defined cases: a null url, or one without `://`, has an empty host and path, no rule, and is allowed; repeated urls get
-the same verdict; null ids pass through; an empty table gives an empty result; extra columns are not read.
+the same verdict; null ids pass through; an empty table gives an empty result; urls of any length are read whole; extra columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -15,6 +15,19 @@ from leadweave.llm.html import extract, main_text, minimum_cut
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+def test_sums_above_the_budget_count_where_they_are_nearer():
+    assert mixing.nearest_lengths(np.array([100]), np.array([1]), 90).tolist() == [1]
+    assert mixing.nearest_lengths(np.array([100]), np.array([3]), 190).tolist() == [2] and mixing.nearest_lengths(np.array([100]), np.array([3]), 150).tolist() == [1]
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        lengths = np.sort(rng.choice(np.arange(1, 40), rng.integers(1, 6), replace=False))
+        counts = rng.integers(1, 4, len(lengths))
+        budget = int(rng.integers(0, (lengths * counts).sum() + 1))
+        sums = {int(sum(n * x for n, x in zip(take, lengths))) for take in itertools.product(*[range(c + 1) for c in counts])}
+        got = mixing.nearest_lengths(lengths, counts, budget)
+        assert (got <= counts).all() and abs(int((lengths * got).sum()) - budget) == min(abs(s - budget) for s in sums)
+
+
 def test_minimum_cut_equals_enumeration():
     rng = random.Random(1)
     for _ in range(150):
