@@ -1,4 +1,10 @@
-"""The training-text pipeline: each stage works on all documents that the one before it kept."""
+"""The training-text pipeline: each stage works on all documents that the one before it kept.
+
+Defined cases, beside those of the operators: null and empty texts have the score that the classifiers give a text without
+words, are never near duplicates or contaminated, and leave with the mix, which takes documents of at least one word; rows with
+a null id go through all filters like others; repeated rows count as copies, of which one stays; texts of any length are read
+whole; extra columns stay as they are; an empty table stays empty.
+"""
 
 from __future__ import annotations
 
