@@ -22,7 +22,7 @@ from ..settings import Settings
 from ..sources.tables import VersionConflict, finished_versions, read_state, write_state
 from .fuzzy import PAIR_BUDGET, first_match
 from .name_index import NameIndex
-from .merge import first_filled, filled, united_lists
+from .merge import chosen, filled, first_place, united_lists, with_chosen
 from .resolve import key_leaders, revise_leaders
 from .scoring import score_companies
 
@@ -139,11 +139,14 @@ def place(batch: DataFrame, state: DataFrame, **limits) -> DataFrame:
 
 def fold_batch(rows: DataFrame, target: str = "target") -> DataFrame:
     """Batch rows per state row: first filled value per column, first domain, number of rows."""
-    return rows.groupBy(target).agg(
-        *[first_filled(c).alias(f"_n_{c}") for c in UPDATABLE],
-        F.min_by("domain", F.when(F.col("domain") != "", F.col("seq"))).alias("_n_domain"),
-        F.count(F.lit(1)).alias("_rows"),
-    )
+    picks = cut(rows.groupBy(target).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[first_place(c).alias(f"_p_{c}") for c in UPDATABLE],
+        F.min(F.when(F.col("domain") != "", F.col("seq"))).alias("_p_domain"),
+    ), "picks")
+    columns = [*UPDATABLE, "domain"]
+    found = with_chosen(rows, picks, target, columns, [f"_p_{c}" for c in columns])
+    return found.select(target, *[chosen(f"_p_{c}", c).alias(f"_n_{c}") for c in columns], F.col("_n").alias("_rows"))
 
 
 def updated_rows(state: DataFrame, matched: DataFrame, today: dt.date, rescore: Rescore | None = None) -> DataFrame:

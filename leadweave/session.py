@@ -119,14 +119,14 @@ def row_order(df: DataFrame, order_col: str, out: str, start: int = 0) -> DataFr
     return marked.withColumn(out, (base + within).cast("bigint")).drop("_part")
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, counts: DataFrame, total: int, plain: int = PLAIN_ROWS) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, key: str, counts: DataFrame, total: int, plain: int | None = None) -> DataFrame:
     """Left join `rows` to `table` (one row per key) where some keys may hold a large share of `rows`.
 
     `counts` has columns (key, n): rows per key. Keys with more than total/HOT_PARTS rows number at
     most HOT_PARTS, so their entries are broadcast; all other keys take the ordinary shuffle join, as do all keys of up to
-    `plain` rows.
+    `plain` rows (PLAIN_ROWS by default).
     """
-    if total <= plain:
+    if total <= (PLAIN_ROWS if plain is None else plain):
         return rows.join(table, key, "left")
     hot_keys = counts.filter(F.col("n") > F.lit(total // HOT_PARTS)).select(key)
     hot = F.broadcast(hot_keys.join(table, key, "left").withColumn("_hot", F.lit(True)))  # hot keys without an entry too

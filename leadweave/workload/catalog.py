@@ -650,7 +650,7 @@ def dedupe_unite_lists(spark, sf):
 
 @query("SELECT leader, " + ", ".join(f"{Q.first_filled(c)} AS {c}" for c in FILL_COLUMNS) + f" FROM {DOMAIN_GROUPS} d GROUP BY leader")
 def dedupe_first_filled(spark, sf):
-    return domain_groups(spark, sf).groupBy("leader").agg(*[merge.first_filled(c).alias(c) for c in FILL_COLUMNS])
+    return merge.first_values(domain_groups(spark, sf), "leader", FILL_COLUMNS)
 
 
 @query(f"WITH d AS (SELECT * FROM {DOMAIN_GROUPS} q), {Q.merged_cte('d')} SELECT seq, {', '.join(CONTACT_COLUMNS)} FROM merged")

@@ -238,3 +238,18 @@ def test_groups_of_a_crowd_are_linear(spark):
     for r in rows:
         earlier = [k for k in leaders if k < r.ord and alike(r.name_key, names[k])]
         assert r.leader == (earlier[0] if earlier else r.ord) and r.members == sum(x.leader == r.leader for x in rows)
+
+
+def test_texts_are_fetched_not_aggregated(spark, monkeypatch):
+    """Groups are decided by numbers: no sort aggregate, and one company with most rows is not gathered."""
+    from leadweave import session
+
+    monkeypatch.setattr(session, "PLAIN_ROWS", 0)
+    rows = make(spark, [{"company_name": f"N{i}", "notes": "" if i < 50 else f"note {i}", "contact_source": "apollo" if i == 70 else "", "contact_email": f"e{i}",
+                         "source_channel": "web_search"} for i in range(90)]).selectExpr("*", "IF(seq < 80, 0, seq) AS leader")
+    merged = merge.merge_companies(rows)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Python" not in plan
+    got = {r.seq: r for r in merged.collect()}
+    assert len(got) == 11 and (got[0].company_name, got[0].notes, got[0].contact_email, got[0].contact_source) == ("N0", "note 50", "e70", "apollo")
+    assert got[85].notes == "note 85"
