@@ -3,7 +3,7 @@
 A text is handled as the vocabulary's own library does: special tokens standing in the raw text are one id each; the rest
 is composed (NFC), white space becomes one space, letters are lowered one by one, and a pattern cuts words; white space is
 dropped. The UTF-8 bytes of a word are its first symbols, the last one marked as a word end. The leaves of a tree hold
-(rank, place) of each adjacent pair, inner nodes the smaller child: the root is the leftmost pair of lowest rank. A merge
+(rank, place) of each adjacent pair, inner nodes the smallest child: the root is the leftmost pair of lowest rank. A merge
 changes three leaves, each in logarithmic time, until the root holds no pair. Decoding joins the tokens of the ids by spaces.
 
 The vocabulary is read once by the driver and broadcast (a file of a few MB); documents are encoded where they lie, without
@@ -36,6 +36,7 @@ from leadweave.llm.words import batch_slices, column_of
 MEMORY = 128 << 20  # bytes of remembered words a worker
 PIECE = 1 << 20  # characters of a long text handled at a time
 NO_PAIR = 1 << 62
+WIDE = 32  # children of a node of the tree
 PLACES = (1 << 32) - 1
 
 # White space of Unicode.
@@ -122,51 +123,43 @@ class Merges:
         if n < 2:
             return symbols
         rank, result, symbols = self.rank.get, self.result, list(symbols)
-        size = 1 << (n - 2).bit_length()
-        leaves = [NO_PAIR] * size
+        leaves = []
         for i, (a, b) in enumerate(pairwise(symbols)):
             r = rank(a << 32 | b)
-            if r is not None:
-                leaves[i] = r << 32 | i
-        tree = leaves
-        while len(leaves) > 1:  # level by level up to the root
-            leaves = list(map(min, leaves[::2], leaves[1::2]))
-            tree = leaves + tree
-        tree.insert(0, NO_PAIR)
+            leaves.append(NO_PAIR if r is None else r << 32 | i)
+        levels = [leaves]
+        while len(levels[-1]) > 1:  # up to the root; a node is the least of its `WIDE` children
+            low = levels[-1]
+            levels.append([min(low[j : j + WIDE]) for j in range(0, len(low), WIDE)])
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        while True:
-            top = tree[1]
-            if top == NO_PAIR:
-                break
-            i = top & PLACES
+        root, climbs = levels[-1], list(pairwise(levels))
+        while root[0] != NO_PAIR:
+            i = root[0] & PLACES
             j = after[i]
             k = after[j]
-            merged = symbols[i] = result[top >> 32]
+            merged = symbols[i] = result[root[0] >> 32]
             symbols[j] = -1
             after[i] = k
-            changes = []
             h = before[i]
             if h >= 0:
                 r = rank(symbols[h] << 32 | merged)
-                changes.append((h, NO_PAIR if r is None else r << 32 | h))
+                leaves[h] = NO_PAIR if r is None else r << 32 | h
             if k < n:
                 before[k] = i
-                changes.append((j, NO_PAIR))
+                leaves[j] = NO_PAIR
                 r = rank(merged << 32 | symbols[k])
-                changes.append((i, NO_PAIR if r is None else r << 32 | i))
+                leaves[i] = NO_PAIR if r is None else r << 32 | i
             else:
-                changes.append((i, NO_PAIR))
-            for at, value in changes:
-                at += size
-                tree[at] = value
-                while at > 1:
-                    other = tree[at ^ 1]
-                    if other < value:
-                        value = other
-                    at >>= 1
-                    if tree[at] == value:
-                        break
-                    tree[at] = value
+                leaves[i] = NO_PAIR
+            if n <= WIDE + 1:  # the root stands on the leaves
+                if n > 2:
+                    root[0] = min(leaves)
+                continue
+            places = {max(h, 0), i, min(j, n - 2)}
+            for low, high in climbs:
+                places = {p // WIDE for p in places}
+                for p in places:
+                    high[p] = min(low[p * WIDE : p * WIDE + WIDE])
         return [s for s in symbols if s >= 0]
 
 
@@ -195,7 +188,8 @@ class Vocabulary:
 
     def encode_word(self, word: str) -> list[int]:
         raw = word.encode("utf-8", "replace")
-        return self.merges.apply([s for s in (*(self.inner[b] for b in raw[:-1]), self.last[raw[-1]]) if s is not None])
+        symbols = [*map(self.inner.__getitem__, raw[:-1]), self.last[raw[-1]]]
+        return self.merges.apply([s for s in symbols if s is not None] if None in symbols else symbols)
 
     def _ids(self, word: str) -> bytes:
         packed = self.known.get(word) or self.old.get(word) or pack(self.encode_word(word))
