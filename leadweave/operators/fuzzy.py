@@ -15,11 +15,16 @@ D stays below S*(n+m) with S = 0.155. Everything below follows from that bound.
   one side, so more than D (or 3 D) differing bits rule the pair out; what is left meets the
   built-in bounded `levenshtein`, never above D. Only survivors leave the join; the exact LCS decides.
 
+Where names are so alike that the signature groups hold more pairs than there are, all pairs are compared instead, block by
+block, with the same cheap tests in front (`matching_pairs`, `matching_self`); the pairs of both ways are counted first.
+
 Nothing is capped: every bound is implied by the match condition.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,14 +38,19 @@ SHORT, LONG = 4, 64
 SMALL_SET = 30_000
 # Bigrams whose frequency orders the prefixes; all others count as rare.
 RANKED_BIGRAMS = 500
-LETTER_WORDS, BIGRAM_WORDS = 2, 4
+LETTER_WORDS, BIGRAM_WORDS, WIDE_WORDS = 2, 4, 8
 
 # An index side of at most this many signature rows (about 100 bytes each) is broadcast.
 BROADCAST_ROWS = 200_000
-# Comparisons inside signature groups that one join may cost: in all, or per key if that is more.
+# Comparisons that one join may cost: in all, or per key of the larger side if that is more.
 PAIR_BUDGET = 500_000_000
-PAIRS_PER_KEY = 20_000
-# Pairs that may survive lengths and fingerprints: in all, or per key. Crowds of alike keys exceed this.
+PAIRS_PER_KEY = 1_000_000
+# So few pairs are all compared at once; beyond that, the pairs in signature groups are counted first.
+FEW_PAIRS = 100_000_000
+# Keys of the index side (about 200 bytes each) that one block of such a comparison broadcasts.
+BLOCK_ROWS = 200_000
+# Matching pairs of a join, estimated from so many keys of the probe side: in all, or per key. Crowds of alike keys exceed this.
+SAMPLE_KEYS = 500
 SURVIVOR_BUDGET = 5_000_000
 SURVIVORS_PER_KEY = 200
 # Comparisons and rows of one signature group that one task may get; larger groups are split.
@@ -142,20 +152,23 @@ def signatures(described: DataFrame, width: int = 1) -> DataFrame:
     return heads.select(F.explode(every).alias("sig"), *kept)
 
 
-def _agree(a: str, b: str) -> Column:
+def _agree(a: str, b: str, bigram_words: int = BIGRAM_WORDS) -> Column:
     """Lengths and fingerprints allow a match."""
     limit = f"{SLACK} * ({a}.n + {b}.n)"
     bits = lambda name, words: " + ".join(f"bit_count({a}.{name}{w} ^ {b}.{name}{w})" for w in range(words))
     return F.expr(
         f"1000 * abs({a}.n - {b}.n) < {limit}"
         f" AND 1000 * ({bits('l', LETTER_WORDS)}) < {limit}"
-        f" AND 1000 * ({bits('b', BIGRAM_WORDS)}) < 3 * {limit}"
+        f" AND 1000 * ({bits('b', bigram_words)}) < 3 * {limit}"
     )
 
 
+def _limit(a: str, b: str) -> str:
+    return f"cast({SLACK} * ({a}.n + {b}.n) div 1000 as int)"
+
+
 def _plausible(a: str, b: str) -> Column:
-    limit = f"cast({SLACK} * ({a}.n + {b}.n) div 1000 as int)"
-    return _agree(a, b) & F.expr(f"levenshtein({a}.name_key, {b}.name_key, {limit}) >= 0")
+    return _agree(a, b) & F.expr(f"levenshtein({a}.name_key, {b}.name_key, {_limit(a, b)}) >= 0")
 
 
 def _verified(joined: DataFrame) -> DataFrame:
@@ -212,24 +225,89 @@ def self_pairs(described: DataFrame, width: int = 1, small: bool = True) -> Data
     return _verified(_shuffled(sig, sig, condition))
 
 
-def _affordable(ps: DataFrame, xs: DataFrame, keys: int, budget: int, extra: Column) -> bool:
-    """Whether joining two signature sets stays within the budgets, counted by a cheap dry run."""
+def _group_pairs(ps: DataFrame, xs: DataFrame) -> float:
+    """Comparisons inside the groups of two signature sets."""
     p = ps.groupBy("sig").agg(F.count(F.lit(1)).alias("p"))
     x = xs.groupBy("sig").agg(F.count(F.lit(1)).alias("x"))
-    row = p.join(x, "sig").agg(F.sum(F.col("p").cast("double") * F.col("x")).alias("pairs")).first()
-    if (row["pairs"] or 0) > max(budget, PAIRS_PER_KEY * keys):
+    return p.join(x, "sig").agg(F.sum(F.col("p").cast("double") * F.col("x")).alias("pairs")).first()["pairs"] or 0.0
+
+
+def _sampled(probe: DataFrame, number: int) -> tuple[DataFrame, int]:
+    """About SAMPLE_KEYS of `number` keys, and the number of keys that each stands for."""
+    each = max(1, number // SAMPLE_KEYS)
+    return probe.filter(F.pmod(F.xxhash64("ord"), F.lit(each)) == 0), each
+
+
+def _few_matches(pairs: int, keys: int, budget: int) -> bool:
+    return pairs <= max(min(budget, SURVIVOR_BUDGET), SURVIVORS_PER_KEY * keys)
+
+
+def _few_comparisons(probes: int, keys: int, budget: int) -> bool:
+    return probes * keys <= max(budget, PAIRS_PER_KEY * max(probes, keys))
+
+
+def affordable(probe: DataFrame, index: DataFrame, keys: int, budget: int, extra: Column | None = None) -> bool:
+    """Whether joining two sets of keys stays within the budgets; `keys` is the size of the index side.
+
+    Dividing the index does not save comparisons; it helps where crowds of alike keys would be paired. How many pairs match is
+    therefore estimated: a sample of the probe side meets the whole index side.
+    """
+    probes = probe.count()
+    if not _few_comparisons(probes, keys, budget):
         return False
-    left = _spread(ps, "sig").alias("y").join(_spread(xs, "sig").alias("x"), F.expr("x.sig = y.sig") & extra & _agree("x", "y"))
-    return left.count() <= max(min(budget, SURVIVOR_BUDGET), SURVIVORS_PER_KEY * keys)
+    some, each = _sampled(probe.drop("grams"), probes)
+    condition = _plausible("x", "y") if extra is None else extra & _plausible("x", "y")
+    met = _spread(index.drop("grams"), "ord").alias("x").join(F.broadcast(some.alias("y")), condition)
+    return _few_matches(met.count() * each, keys, budget)
 
 
-def self_affordable(described: DataFrame, width: int, keys: int, budget: int) -> bool:
-    sig = signatures(described, width)
-    return _affordable(sig, sig, keys, budget, F.expr("x.ord < y.ord"))
+def self_affordable(described: DataFrame, keys: int, budget: int) -> bool:
+    return affordable(described, described, keys, budget, F.expr("x.ord < y.ord"))
+
+
+def plainly(probe: DataFrame, index: DataFrame, width: int) -> bool:
+    """Whether comparing all pairs costs no more than the signature groups of both sides would."""
+    every = float(probe.count()) * index.count()
+    return every <= FEW_PAIRS or every <= _group_pairs(signatures(probe, width), signatures(index, width))
+
+
+def _wide(described: DataFrame) -> DataFrame:
+    """Described keys with a fingerprint of their bigrams that is twice as wide."""
+    hashed = F.transform("grams", lambda g: F.pmod(F.xxhash64(g), F.lit(1 << 40)))
+    wide = described.withColumn("_wh", hashed).withColumns(_fingerprint("_wh", WIDE_WORDS, "b"))
+    return wide.select("ord", "name_key", "n", *[f"l{w}" for w in range(LETTER_WORDS)], *[f"b{w}" for w in range(WIDE_WORDS)])
+
+
+def plain_pairs(probe: DataFrame, index: DataFrame, within: bool = False, block_rows: int | None = None) -> DataFrame:
+    """Matching pairs by comparing all: index side `a`, probe side `b`. `within`: both are one set, `a` is the earlier key.
+
+    The probe side stays dealt to all tasks. The index side is broadcast in blocks, one after the other, so memory follows the
+    block, not the table.
+    """
+    xs = cut(_wide(index), "plain")
+    ys = _spread(xs if within else cut(_wide(probe), "plain"), "ord")
+    blocks = max(1, -(-xs.count() // (block_rows or BLOCK_ROWS)))
+    condition = _agree("x", "y", WIDE_WORDS)
+    if within:
+        condition = F.expr("x.ord < y.ord") & condition
+    # A random part keeps the distance out of the join: in its condition, the texts of all pairs would be read.
+    near = F.expr(f"levenshtein(x.name_key, y.name_key, {_limit('x', 'y')}) > rand(0) - 1")
+    parts = []
+    for i in range(blocks):
+        block = xs.filter(F.pmod(F.xxhash64("ord"), F.lit(blocks)) == i) if blocks > 1 else xs
+        found = _verified(ys.alias("y").join(F.broadcast(block.alias("x")), condition).filter(near))
+        parts.append(cut(found, "block") if blocks > 1 else found)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def matching_pairs(probe: DataFrame, index: DataFrame, width: int) -> DataFrame:
+    """Matching pairs between two sets of described keys, the cheaper way: index side `a`, probe side `b`."""
+    return plain_pairs(probe, index) if plainly(probe, index, width) else probe_pairs(probe, index, width)
 
 
-def probe_affordable(probe: DataFrame, index: DataFrame, width: int, keys: int, budget: int) -> bool:
-    return _affordable(signatures(probe, width), signatures(index, width), keys, budget, F.lit(True))
+def matching_self(described: DataFrame, width: int, small: bool) -> DataFrame:
+    """Matching pairs within one set of described keys, the cheaper way: later `b`, earlier `a`."""
+    return plain_pairs(described, described, within=True) if plainly(described, described, width) else self_pairs(described, width, small)
 
 
 def probe_pairs(probe: DataFrame, index: DataFrame, width: int = 1, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -257,7 +335,7 @@ def first_match(
 
     Both inputs hold distinct keys as (ord, name_key). The index is probed in order, in growing
     chunks; a matched probe key leaves at once, so a crowd of alike keys is never paired with each of
-    its look-alikes. A chunk whose signature groups would cost more than `budget` is halved first.
+    its look-alikes. A chunk that would match too often, or cost more than `budget`, is divided first.
     """
     # Equal keys need no similarity join.
     same = probe.alias("p").join(index.alias("i"), "name_key").select(F.col("p.ord").alias("ord"), F.col("i.ord").alias("equal"))
@@ -268,8 +346,8 @@ def first_match(
     width = signature_width(max(left, rest.count()))
     found, chunk = [], first_chunk
     while left:
-        part, later, size = _next_chunk(todo, left, chunk, lambda d, n: probe_affordable(rest, d, width, n, budget))
-        pairs = cut(probe_pairs(rest, part, width).groupBy("b").agg(F.min("a").alias("match")), "match")
+        part, later, size = _next_chunk(todo, left, chunk, lambda d, n: affordable(rest, d, n, budget))
+        pairs = cut(matching_pairs(rest, part, width).groupBy("b").agg(F.min("a").alias("match")), "match")
         found.append(pairs)
         left -= size
         if left:

@@ -22,7 +22,7 @@ from ..functions.names import alike, sorted_tokens
 from ..session import cut
 from ..sources.tables import finished_versions
 from .fuzzy import (
-    BROADCAST_ROWS, FINGERPRINTS, PAIR_BUDGET, _affordable, _plausible, _shuffled, _spread, bigram_order, describe, first_match, signature_width, signatures,
+    BROADCAST_ROWS, FEW_PAIRS, FINGERPRINTS, PAIR_BUDGET, _few_comparisons, _few_matches, _group_pairs, _plausible, _sampled, _shuffled, _spread, bigram_order, describe, first_match, signature_width, signatures,
 )
 
 BUCKETS = 64
@@ -94,6 +94,15 @@ class NameIndex:
         rows = read.parquet(*[f"{self.root}/rows/version={v}" for v in versions])
         return rows if touched is None else rows.filter(F.col("bucket").isin(touched))
 
+    def _affordable(self, ps: DataFrame, xs: DataFrame, probes: int, names: int, budget: int) -> bool:
+        """Whether the signature groups hold no more than all pairs, and a sample of the probe matches within the budgets."""
+        pairs = _group_pairs(ps, xs)
+        if pairs > FEW_PAIRS and pairs > float(probes) * names or not _few_comparisons(probes, names, budget):
+            return False
+        some, each = _sampled(ps, probes)
+        met = xs.alias("x").join(F.broadcast(some.alias("y")), F.expr("x.sig = y.sig") & _plausible("x", "y"))
+        return _few_matches(met.select("x.ord", F.col("y.ord").alias("probe")).distinct().count() * each, max(probes, 1), budget)
+
     def first_match(self, probe: DataFrame, version: int, budget: int = PAIR_BUDGET) -> DataFrame:
         """(ord, match): for every probe key (ord, name_key) that matches one, the least id of the state's names up to a version."""
         asked = cut(self.signed(probe), "asked")
@@ -103,8 +112,8 @@ class NameIndex:
         equal = found.filter("n IS NULL").select("sig", "name_key", F.col("ord").alias("match"))
         same = asked.filter("n IS NULL").select("sig", "name_key", "ord").join(equal, ["sig", "name_key"]).select("ord", "match")
         ps, xs = asked.filter("n IS NOT NULL").drop("bucket"), found.filter("n IS NOT NULL").drop("bucket")
-        if not _affordable(ps, xs, probe.count(), budget, F.lit(True)):
-            # crowds of alike names: probed in order, in chunks that shed what has matched
+        if not self._affordable(ps, xs, probe.count(), found.filter("n IS NULL").count(), budget):
+            # names so alike that their groups hold more than all pairs, or crowds: probed in order, in chunks that shed what has matched
             every = self.rows(version).filter("n IS NULL").groupBy("name_key").agg(F.min("ord").alias("ord")).select("ord", "name_key")
             return first_match(probe, cut(every, "index-names"), budget)
         if ps.count() <= BROADCAST_ROWS:

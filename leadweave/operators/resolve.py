@@ -25,7 +25,7 @@ from ..functions.hosts import host
 from ..functions.names import company_key, sorted_tokens
 from ..session import cut, discard, lookup
 from .fuzzy import (
-    BROADCAST_ROWS, PAIR_BUDGET, SMALL_SET, _next_chunk, _spread, bigram_order, describe, probe_pairs, self_affordable, self_pairs, signature_width,
+    BROADCAST_ROWS, PAIR_BUDGET, SMALL_SET, _next_chunk, _spread, bigram_order, describe, matching_pairs, matching_self, self_affordable, signature_width,
 )
 
 FIRST_BATCH = 100_000
@@ -72,8 +72,8 @@ def key_leaders(keys: DataFrame, first_batch: int = FIRST_BATCH, budget: int = P
     width = signature_width(min(left, first_batch))
     parts, batch = [short], first_batch
     while left:
-        part, later, size = _next_chunk(todo, left, batch, lambda d, n: self_affordable(d, width, n, budget))
-        pairs = cut(self_pairs(part, width, small=size <= SMALL_SET), "pairs")
+        part, later, size = _next_chunk(todo, left, batch, lambda d, n: self_affordable(d, n, budget))
+        pairs = cut(matching_self(part, width, size <= SMALL_SET), "pairs")
         state = greedy_leaders(part, pairs)
         parts.append(state)
         left -= size
@@ -89,7 +89,7 @@ def key_leaders(keys: DataFrame, first_batch: int = FIRST_BATCH, budget: int = P
 
 def _claim(later: DataFrame, leaders: DataFrame, width: int) -> DataFrame:
     """(b, leader): later keys matched by one of the new leaders, with the earliest of them."""
-    return cut(probe_pairs(later, leaders, width).groupBy("b").agg(F.min("a").alias("leader")), "claimed")
+    return cut(matching_pairs(later, leaders, width).groupBy("b").agg(F.min("a").alias("leader")), "claimed")
 
 
 def name_groups(keys: DataFrame, first_batch: int = FIRST_BATCH, budget: int = PAIR_BUDGET) -> DataFrame:
@@ -133,11 +133,11 @@ def revise_leaders(decided: DataFrame, keys: DataFrame, first_batch: int = FIRST
             described, width = cut(describe(_spread(keys, "ord"), bigram_order(keys)), "keys"), signature_width(counted["all"])
         part = lambda condition: described.join(state.filter(condition).select("ord"), "ord", "left_semi")  # noqa: E731, B023
         undecided = cut(part(is_open), "open")
-        met = probe_pairs(part(F.col("leader") == F.col("ord")), undecided, width).filter("b < a")
+        met = matching_pairs(part(F.col("leader") == F.col("ord")), undecided, width).filter("b < a")
         claims = cut(met.groupBy("a").agg(F.min("b").alias("claim")).withColumnRenamed("a", "ord"), "claims")
         led = cut(key_leaders(undecided.join(claims, "ord", "left_anti").select("ord", "name_key"), first_batch, budget).withColumnRenamed("leader", "led"), "led")
         fresh = cut(described.join(led.filter("ord = led").select("ord"), "ord", "left_semi"), "new-leaders")
-        taken = probe_pairs(described.join(led, "ord", "left_anti"), fresh, width).filter("a < b").groupBy("b").agg(F.min("a").alias("new"))
+        taken = matching_pairs(described.join(led, "ord", "left_anti"), fresh, width).filter("a < b").groupBy("b").agg(F.min("a").alias("new"))
         standing = F.coalesce("leader", "claim", "led")
         changed = state.join(claims, "ord", "left").join(led, "ord", "left").join(taken.withColumnRenamed("b", "ord"), "ord", "left").select(
             "ord", "name_key", F.least("new", standing).alias("leader"), (F.col("leader").eqNullSafe(F.col("ord")) & (F.col("new") < F.col("ord"))).alias("_fell"))

@@ -55,6 +55,42 @@ def test_split_groups_change_nothing(spark, keys, monkeypatch):
     assert {tuple(r) for r in probed.collect()} == plain
 
 
+@pytest.mark.parametrize("block", [1000, 40])
+def test_comparing_all_pairs_is_exact(spark, keys, block):
+    want = {(i, j) for i in range(len(keys)) for j in range(i + 1, len(keys)) if alike(keys[i], keys[j])}
+    df = spark.createDataFrame(list(enumerate(keys)), "ord bigint, name_key string")
+    described = fuzzy.describe(df, fuzzy.bigram_order(df)).cache()
+    assert {tuple(r) for r in fuzzy.plain_pairs(described, described, within=True, block_rows=block).collect()} == want
+    both = {tuple(r) for r in fuzzy.plain_pairs(described, described.filter("ord < 100"), block_rows=block).filter("a < b").collect()}
+    assert both == {(a, b) for a, b in want if a < 100}
+
+
+def test_names_of_few_bigrams_are_compared_in_one_batch(spark, monkeypatch):
+    """Signature groups hold more pairs than there are, and few names match: such a set is not divided, and all pairs are compared."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("enrst") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    dense = sorted({" ".join(sorted(rng.sample(words, 5))) for _ in range(600)})
+    spread = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(20)) for _ in range(300)]
+    described = {}
+    for name, rows in (("dense", dense), ("spread", spread)):
+        df = spark.createDataFrame(list(enumerate(rows)), "ord bigint, name_key string")
+        described[name] = fuzzy.describe(df, fuzzy.bigram_order(df)).cache()
+    monkeypatch.setattr(fuzzy, "FEW_PAIRS", 0)
+    assert fuzzy.plainly(described["dense"], described["dense"], 2) and not fuzzy.plainly(described["spread"], described["spread"], 2)
+    monkeypatch.setattr(fuzzy, "SURVIVORS_PER_KEY", 2)
+    assert fuzzy.self_affordable(described["dense"], len(dense), 1_000)
+    want = {(i, j) for i in range(len(dense)) for j in range(i + 1, len(dense)) if alike(dense[i], dense[j])}
+    assert {tuple(r) for r in fuzzy.matching_self(described["dense"], 2, True).collect()} == want
+
+
+def test_crowds_are_divided(spark, monkeypatch):
+    crowd = near_copies(random.Random(2), ["a crowd of names that are all alike"], 200)
+    df = spark.createDataFrame(list(enumerate(crowd)), "ord bigint, name_key string")
+    monkeypatch.setattr(fuzzy, "SURVIVORS_PER_KEY", 2)
+    described = fuzzy.describe(df, fuzzy.bigram_order(df)).cache()
+    assert not fuzzy.self_affordable(described, len(crowd), 1_000) and fuzzy.self_affordable(described, len(crowd), 10**6)
+
+
 @pytest.mark.parametrize("batch,budget,free", [(10**6, 10**9, 2000), (60, 10**9, 2000), (200, 3000, 20)])
 def test_leaders_in_batches(spark, keys, batch, budget, free, monkeypatch):
     leaders, want = [], {}
