@@ -9,6 +9,8 @@ from ..fixed_values import FIRST_CHOICE_TITLES, PATTERN_NOTE, SECOND_CHOICE_TITL
 from ..functions.hosts import is_blocked, website_host
 from ..functions.text import any_of, full_name, strip, text_or_blank
 
+# What was found for at most so many searched rows is broadcast.
+BROADCAST_ROWS = 100_000
 # Rows that were not searched follow the searched ones in output order.
 NOT_SEARCHED_OFFSET = 1 << 61
 
@@ -86,7 +88,14 @@ def enrich(rows: DataFrame, mailboxes: DataFrame, quota: int, user_blocked=()) -
         "_host", F.when(F.col("searched"), website_host("website"))
     )
     found = best_mailboxes(mailboxes).withColumnRenamed("domain", "_host")
-    joined = flagged.join(found, "_host", "left")
+    if quota <= BROADCAST_ROWS:
+        # Few hosts are searched: what was found for them goes to the rows, and the texts of all rows stay where they are.
+        asked = flagged.filter("searched").select("_host").distinct()
+        joined = flagged.join(F.broadcast(found.join(asked, "_host", "left_semi")), "_host", "left")
+    else:
+        # Rows that are not searched have no host: they are dealt by number, or one task would get them all.
+        spread = F.coalesce("_host", F.concat(F.lit("\u0000"), F.coalesce(F.col("seq").cast("string"), F.lit(""))))
+        joined = flagged.withColumn("_dealt", spread).join(found.withColumnRenamed("_host", "_dealt"), "_dealt", "left")
     hit = F.col("best").isNotNull()
     noted = ~hit & F.col("pattern").isNotNull()
     updates = {

@@ -93,6 +93,23 @@ def test_enrichment(spark):
     assert [r.company_name for r in order] == ["a", "c", "e", "g", "b", "d", "f"]
 
 
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_enrichment_deals_no_rows_by_a_missing_host(spark, monkeypatch, most):
+    """Rows that are not searched must not meet in one task; both ways of the lookup give the same."""
+    monkeypatch.setattr(contacts, "BROADCAST_ROWS", most)
+    rows = make(spark, [{"company_name": f"n{i}", "website": f"s{i % 7}.com" if i % 3 else ""} for i in range(60)])
+    boxes = spark.createDataFrame([(f"s{i}.com", None, i, f"m@{i}", "Di", "L", "Director of Logistics", 9) for i in range(5)], BOX)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        out = contacts.enrich(rows, boxes, 9)
+        assert "SortMergeJoin [_host" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = sorted((r.company_name, r.contact_email) for r in out.collect() if r.contact_email)
+    searched = [i for i in range(60) if i % 3][:9]
+    assert got == sorted((f"n{i}", f"m@{i % 7}") for i in searched if i % 7 < 5) and out.count() == 60
+
+
 @pytest.mark.parametrize("row,score,tier,part", [
     ({"source_channel": "web_search, apollo, sqep", "compliance_signals": "walmart_supplier, sqep_mentioned", "state": "TX", "vertical": "food",
       "contact_email": "a@b", "contact_title": "Director of Logistics"}, 98, "HOT", "Signal:25"),
