@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import FIRST_CHOICE_TITLES, PATTERN_NOTE, SECOND_CHOICE_TITLES
 from ..functions.hosts import is_blocked, website_host
 from ..functions.text import any_of, full_name, strip, text_or_blank
+from ..session import cut, lookup
 
 # What was found for at most so many searched rows is broadcast.
 BROADCAST_ROWS = 100_000
@@ -81,6 +82,17 @@ def pattern_note(notes: Column, pattern: Column, domain: Column) -> Column:
     return F.when(notes == "", note).otherwise(strip(F.concat(notes, F.lit("\n"), note)))
 
 
+def with_patterns(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows whose domain has an address pattern, with it. `known`: (domain, pattern), one row per domain.
+
+    Very many rows may share a domain, or have none: such keys are told apart by their counts.
+    """
+    rows = rows.filter("domain IS NOT NULL")
+    counts = cut(rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")), "domains")
+    told = lookup(rows, known.filter("pattern IS NOT NULL"), "domain", counts, counts.agg(F.sum("n")).first()[0] or 0, plain=0)
+    return told.filter("pattern IS NOT NULL")
+
+
 def enrich(rows: DataFrame, mailboxes: DataFrame, quota: int, user_blocked=()) -> DataFrame:
     """Fills contacts of searchable rows within the quota; searched rows come first in `seq`."""
     columns = rows.columns

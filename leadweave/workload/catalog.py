@@ -684,8 +684,8 @@ def contact_best_person(spark, sf):
   FROM (SELECT *, {Q.host('website')} AS domain FROM {S} q) s JOIN ({Q.PATTERNS}) p ON s.domain = p.domain""")
 def contact_pattern_note(spark, sf):
     rows = sightings(spark, sf).withColumn("domain", hosts.host("website"))
-    known = contacts.best_mailboxes(D(spark, sf, I.MAILBOXES)).filter("pattern IS NOT NULL").select("domain", "pattern")
-    return rows.join(known, "domain").select("seq", contacts.pattern_note(F.col("notes"), F.col("pattern"), F.col("domain")).alias("notes"))
+    known = contacts.best_mailboxes(D(spark, sf, I.MAILBOXES)).select("domain", "pattern")
+    return contacts.with_patterns(rows, known).select("seq", contacts.pattern_note(F.col("notes"), F.col("pattern"), F.col("domain")).alias("notes"))
 
 
 @query(f"SELECT title, CAST({Q.choice('title')} AS INT) AS choice, count(*) AS people FROM {P} p GROUP BY title")

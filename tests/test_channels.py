@@ -110,6 +110,24 @@ def test_enrichment_deals_no_rows_by_a_missing_host(spark, monkeypatch, most):
     assert got == sorted((f"n{i}", f"m@{i % 7}") for i in searched if i % 7 < 5) and out.count() == 60
 
 
+def test_patterns_of_crowded_domains(spark, monkeypatch):
+    """A third of the rows without domain and a third with one domain: the same rows as a plain join, by a broadcast of these keys."""
+    from leadweave import session
+    monkeypatch.setattr(session, "HOT_PARTS", 10)
+    domain = lambda i: [None if i % 2 else "", "hot.com", f"s{i % 40}.com"][i % 3]
+    rows = spark.createDataFrame([(i, domain(i), "n" * i) for i in range(240)], "seq bigint, domain string, notes string")
+    known = spark.createDataFrame([("hot.com", "f.last"), (None, "x")] + [(f"s{i}.com", None if i % 4 else f"p{i}") for i in range(30)], "domain string, pattern string")
+    found = contacts.with_patterns(rows, known)
+    want = rows.join(known.filter("pattern IS NOT NULL"), "domain").select("seq", "domain", "notes", "pattern")
+    got = sorted(found.select(*want.columns).collect())
+    assert got == sorted(want.collect()) and {r.domain for r in got} > {"hot.com"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin [domain" in contacts.with_patterns(rows, known)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("row,score,tier,part", [
     ({"source_channel": "web_search, apollo, sqep", "compliance_signals": "walmart_supplier, sqep_mentioned", "state": "TX", "vertical": "food",
       "contact_email": "a@b", "contact_title": "Director of Logistics"}, 98, "HOT", "Signal:25"),
