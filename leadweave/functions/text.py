@@ -119,12 +119,11 @@ def full_name(first: Column | str, last: Column | str) -> Column:
     return strip(F.concat_ws(" ", text_or_blank(first), text_or_blank(last)))
 
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def small_letters(c: Column) -> Column:
-    """A-Z as a-z, every other character as it is."""
-    return F.translate(c, UPPER, LOWER)
+def _like_pattern(term: str) -> str:
+    """Regular expression found in the texts that are LIKE `%term%`, A-Z and a-z alike (without its Unicode flag `(?i)` folds only these)."""
+    pieces = ["".join("." if c == "_" else re.escape(c) for c in piece) for piece in term.split("%") if piece]
+    # A piece has a fixed length, so its first place after the piece before decides: nothing is tried again.
+    return "(?is)" + (pieces[0] if len(pieces) == 1 else "".join(["^", *[f"(?>.*?{piece})" for piece in pieces]]))
 
 
 def matches_terms(query: str, columns: list[str]) -> Column:
@@ -134,10 +133,9 @@ def matches_terms(query: str, columns: list[str]) -> Column:
     """
     test = F.lit(True)
     for term in query.split():
-        pattern = "%" + term.translate(str.maketrans(UPPER, LOWER)).replace("\\", "\\\\") + "%"
         found = F.lit(False)
         for name in columns:
-            found = found | F.coalesce(small_letters(F.col(name)).like(pattern), F.lit(False))
+            found = found | F.coalesce(F.col(name).rlike(_like_pattern(term)), F.lit(False))
         test = test & found
     return test
 

@@ -6,7 +6,7 @@ import random
 from conftest import make
 
 from leadweave.operators import upsert
-from leadweave.operators.postings import Postings, asked_grams
+from leadweave.operators.postings import BLOCK, PIECE, Postings, asked_grams, gram_code, row_grams
 
 DAY = dt.date(2024, 1, 1)
 
@@ -43,3 +43,40 @@ def test_only_changed_rows_are_listed_again(spark, tmp_path):
     listed.extend(state.selectExpr(*[c if c != "city" else "IF(id = 2, 'Oslo', city) AS city" for c in state.columns]), 2, state)
     again = spark.read.parquet(str(tmp_path / "p" / "version=2")).select("id").distinct().collect()
     assert [r.id for r in again] == [2]
+
+
+def test_listings_are_fewer_than_pairs_of_row_and_gram(spark, tmp_path):
+    """The rows of a block are one listing a gram: what is dealt out and sorted does not follow rows times grams."""
+    n = 3 * BLOCK
+    state, _ = upsert.upsert(upsert.empty_state(spark), make(spark, [{"company_name": "x", "notes": "some words that all rows hold"}] * n), DAY, resolved=True)
+    state = state.coalesce(1)
+    listed = Postings(spark, str(tmp_path / "p"), buckets=4)
+    listed.extend(state, 1)
+    grams = len(row_grams([b"x", b"some words that all rows hold"]))
+    assert grams <= spark.read.parquet(str(tmp_path / "p" / "version=1")).count() <= 4 * grams
+    assert listed.candidates("WORDS x", 1).count() == n and listed.candidates("wordy", 1).count() == 0
+
+
+def test_grams_of_rows_equal_plain_ones():
+    rng = random.Random(5)
+    def plain(texts):
+        low = ["".join(c.lower() if "A" <= c <= "Z" else c for c in t or "") for t in texts]
+        return sorted({gram_code(t[i : i + n]) for t in low for n in (1, 2, 3) for i in range(len(t) - n + 1)})
+    for _ in range(200):
+        texts = [rng.choice([None, "", "".join(rng.choice("aAbZzÉéK\0\ufffd😀\U0010ffff ") for _ in range(rng.randrange(12)))]) for _ in range(4)]
+        assert row_grams([t if t is None else t.encode() for t in texts]).tolist() == plain(texts)
+    long = "ab" * (PIECE // 2) + "xyz" + "c" * PIECE  # runs that reach over the pieces a text is read in
+    assert row_grams([long.encode(), b"q"]).tolist() == plain([long, "q"])
+    assert row_grams([b"a\xc3\xc3\xa9", b"\xff"]).tolist() == plain(["a", "é"])  # bytes that are no character are in no gram
+
+
+def test_ids_of_any_kind_are_listed(spark, tmp_path):
+    """Ids may be far apart, negative, repeated or null; a null id is never found."""
+    state, _ = upsert.upsert(upsert.empty_state(spark), make(spark, [{"company_name": f"Company {i}"} for i in range(6)]), DAY, resolved=True)
+    ids = "element_at(array(-9223372036854775808, 9223372036854775807, 7, 7, 0, CAST(NULL AS BIGINT)), CAST(id AS INT))"
+    state = state.selectExpr(*[c if c != "id" else f"{ids} AS id" for c in state.columns]).coalesce(1)
+    listed = Postings(spark, str(tmp_path / "p"), buckets=4)
+    listed.extend(state, 1)
+    found = [r.id for r in listed.search(state, "COMPANY", 1).collect()]
+    assert sorted(found) == [-(2**63), 0, 7, 7, 2**63 - 1]
+    assert [r.id for r in listed.search(state, "company 3", 1).collect()] == [7]

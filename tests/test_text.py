@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from model import common_length
@@ -122,3 +123,17 @@ def test_rounding_at_the_threshold(spark):
     # 84.5 rounds to the even 84 and is no match
     df = spark.createDataFrame([(169, 400), (170, 400)], "lcs int, total int")
     assert [r[0] for r in df.select(names.is_match(F.col("lcs"), F.col("total"))).collect()] == [False, True]
+
+
+def test_terms_match_like_the_plain_way(spark):
+    """`%` and `_` are wild, all else stands for itself; only A-Z and a-z are the same."""
+    def like(term, value):
+        small = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+        pattern = "".join({"%": ".*", "_": "."}.get(c, re.escape(c)) for c in small(term))
+        return re.search(pattern, small(value), re.S) is not None
+
+    values = ["FOOD and more", "f\no\nd", "\u212ag \u017f \u0130 \u00c9", "kg s i \u00e9", "a.b*c(d)\\e^f$", "", "\U0001f600x", "100%_", "f" * 5000, "oof", None]
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, a string").withColumn("b", F.lit("Tx"))
+    for query in ["food", "f%D", "f_o_d", "%", "%%o%f%", "KG", "s I", "\u00c9", ".b*c(", "\\e^f$", "_x tX", "%_x", "0%_", "f%d%x", "zz TX", "\u212a"]:
+        want = [i for i, v in enumerate(values) if all(like(t, "tx") or (v is not None and like(t, v)) for t in query.split())]
+        assert sorted(r.i for r in rows.filter(text.matches_terms(query, ["a", "b"])).collect()) == want, query
