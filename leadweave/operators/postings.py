@@ -35,6 +35,8 @@ LONGEST = 3
 BLOCK, BLOCK_GRAMS = 1024, 1 << 20
 # Rows taken from an Arrow batch, and letters of a text read, at a time.
 TAKEN, PIECE = 64, 1 << 20
+# Rows of a few numbers that are sent to all tasks, so that the texts they are joined to stay where they are.
+SENT_ROWS = 1_000_000
 # Bits of a letter in a gram; its code point plus one, so that none is zero.
 BITS = 21
 LETTER = (1 << BITS) - 1
@@ -144,6 +146,7 @@ class Postings:
         if before is not None:
             print_of = F.xxhash64(*[F.coalesce(F.col(c), F.lit("")) for c in SEARCH_COLUMNS])
             old = before.select("id", print_of.alias("_print"))
+            old = F.broadcast(old) if before.count() <= SENT_ROWS else old
             after = after.withColumn("_print", print_of).join(old, ["id", "_print"], "left_anti").drop("_print")
         self._write(after, version)
 
@@ -165,6 +168,12 @@ class Postings:
 
     def search(self, state: DataFrame, query: str, version: int) -> DataFrame:
         """Rows of the state (of that version) that match the query: the same as a scan with `matches_terms`."""
-        found = self.candidates(query, version)
-        rows = state if found is None else state.join(cut(found, "candidates"), "id", "left_semi")
-        return rows.filter(matches_terms(query, SEARCH_COLUMNS))
+        test, found = matches_terms(query, SEARCH_COLUMNS), self.candidates(query, version)
+        if found is None:
+            return state.filter(test)
+        listed = cut(found.select("id", F.lit(True).alias("_listed")), "candidates")
+        if listed.count() > SENT_ROWS:  # the test comes first, so that texts are not shuffled
+            return state.join(listed, "id", "left_semi").filter(test)
+        # A test that mentions the listing stays in the join and is tried on its rows only.
+        listed = F.broadcast(listed.withColumnRenamed("id", "_id"))
+        return state.join(listed, (F.col("id") == F.col("_id")) & F.when(F.col("_listed"), test), "left_semi")

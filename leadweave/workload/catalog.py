@@ -481,6 +481,7 @@ SEARCHES = {"common": " FOOD  tx ", "long": "Hunter pattern", "wild": "kw_, f%d"
 def filter_keyword_postings(spark, sf):
     """Searches answered from postings that two versions of the state were listed in."""
     now, listed = cut(state(spark, sf), "state"), postings.Postings(spark, f"{work_folder(spark)}/postings-{uuid.uuid4().hex}")
+    I.drop_shared()
     before = now.filter("id % 2 = 1").withColumn("notes", F.when(F.col("id") % 3 == 0, F.lit("zq!zq")).otherwise(F.col("notes")))
     listed.extend(before, 1)
     listed.extend(now, 2, before)

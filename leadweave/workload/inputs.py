@@ -12,7 +12,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import cut
+from ..session import cut, discard
 
 # Five words of every document, drawn by hash from all words of its whole text (letters and digits, lower case), and a
 # site name of the first three. Copies draw the same words, near copies nearly the same: names that are alike.
@@ -251,6 +251,14 @@ def deriving_once(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[
     return run
 
 
+def drop_shared() -> None:
+    """Deletes the shared tables of the running query: for queries that have written all that they derive from them."""
+    shared = _shared.get()
+    if shared:
+        discard(*shared.values())
+        shared.clear()
+
+
 def derive(spark: SparkSession, folder: str, sql: str) -> DataFrame:
     """Runs a recipe over the tables of a folder; tables are passed by reference, no view is left behind."""
     named, shared = {}, _shared.get()

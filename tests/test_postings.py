@@ -5,7 +5,7 @@ import random
 
 from conftest import make
 
-from leadweave.operators import upsert
+from leadweave.operators import postings, upsert
 from leadweave.operators.postings import BLOCK, PIECE, Postings, asked_grams, gram_code, row_grams
 
 DAY = dt.date(2024, 1, 1)
@@ -80,3 +80,21 @@ def test_ids_of_any_kind_are_listed(spark, tmp_path):
     found = [r.id for r in listed.search(state, "COMPANY", 1).collect()]
     assert sorted(found) == [-(2**63), 0, 7, 7, 2**63 - 1]
     assert [r.id for r in listed.search(state, "company 3", 1).collect()] == [7]
+
+
+def test_only_listed_rows_are_tested(spark, tmp_path, monkeypatch):
+    """Few listed rows are met before the test; with more, the test comes first. Both find the same."""
+    state, _ = upsert.upsert(upsert.empty_state(spark), make(spark, [{"company_name": f"Company {i}", "notes": "old"} for i in range(30)]), DAY, resolved=True)
+    new = state.selectExpr(*[c if c != "notes" else "IF(id % 7 = 0, 'new words', notes) AS notes" for c in state.columns])
+    for sent in (postings.SENT_ROWS, 0):
+        monkeypatch.setattr(postings, "SENT_ROWS", sent)
+        listed = Postings(spark, str(tmp_path / f"p{sent}"), buckets=4)
+        listed.extend(state, 1)
+        listed.extend(new, 2, state)
+        found = listed.search(new, "NEW y", 2)
+        lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert any("Filter" in line and "RLIKE" in line for line in lines) == (sent == 0)
+        assert sorted(r.id for r in found.collect()) == [7, 14, 21, 28]
+        assert listed.search(new, "old", 2).count() == 26
+        again = spark.read.parquet(str(tmp_path / f"p{sent}" / "version=2")).selectExpr("explode(concat(array(id), transform(more, x -> x ^ id))) AS id")
+        assert sorted({r.id for r in again.collect()}) == [7, 14, 21, 28]
