@@ -1,8 +1,8 @@
 """Keyword search from postings: which rows hold which short runs of letters.
 
 Every row is listed under the runs of one, two and three letters (grams) that its searched columns hold, A-Z and a-z alike.
-A search lists the grams that its terms must have, takes the rows that are listed under all of them, and tests only these
-rows in full. A term of three letters or more asks for its runs of three, a shorter one for the whole of it; wild cards part a
+A search lists the grams that its terms must have, takes the rows that are listed under all of them, and tests these rows in
+full (if there are more than `SENT_ROWS`, all rows are tested before they meet the listed ones). A term of three letters or more asks for its runs of three, a shorter one for the whole of it; wild cards part a
 term. Old listings of changed rows are not taken back: they can only add rows to test.
 
 Grams are numbers made of their letters. A task lists `BLOCK` rows at a time: a listing holds the rows of the block under one gram,
