@@ -15,8 +15,9 @@ D stays below S*(n+m) with S = 0.155. Everything below follows from that bound.
   one side, so more than D (or 3 D) differing bits rule the pair out; what is left meets the
   built-in bounded `levenshtein`, never above D. Only survivors leave the join; the exact LCS decides.
 
-Where names are so alike that the signature groups hold more pairs than there are, all pairs are compared instead, block by
-block, with the same cheap tests in front (`matching_pairs`, `matching_self`); the pairs of both ways are counted first.
+Sets of up to `FEW_PAIRS` pairs, and larger ones whose signature groups hold more pairs than there are, are compared in full
+instead, block by block, with the same cheap tests in front (`allpairs.py`): such a comparison costs a few nanoseconds a pair,
+the signatures of a key some hundred microseconds.
 
 Nothing is capped: every bound is implied by the match condition.
 """
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import alike
 from ..session import cut, discard
+from .allpairs import FOUND, MARKED, MARKS, Names, comparison, fingerprints
 
 SLACK = 155  # thousandths
 # Signature classes by the longer key of a pair: up to SHORT, then pairs of bigrams, then from LONG on.
@@ -38,7 +40,7 @@ SHORT, LONG = 4, 64
 SMALL_SET = 30_000
 # Bigrams whose frequency orders the prefixes; all others count as rare.
 RANKED_BIGRAMS = 500
-LETTER_WORDS, BIGRAM_WORDS, WIDE_WORDS = 2, 4, 8
+LETTER_WORDS, BIGRAM_WORDS = 2, 4
 
 # An index side of at most this many signature rows (about 100 bytes each) is broadcast.
 BROADCAST_ROWS = 200_000
@@ -46,8 +48,8 @@ BROADCAST_ROWS = 200_000
 PAIR_BUDGET = 500_000_000
 PAIRS_PER_KEY = 1_000_000
 # So few pairs are all compared at once; beyond that, the pairs in signature groups are counted first.
-FEW_PAIRS = 100_000_000
-# Keys of the index side (about 200 bytes each) that one block of such a comparison broadcasts.
+FEW_PAIRS = 300_000_000_000
+# Keys of the index side (about 200 bytes each) that one block of such a comparison sends to all tasks.
 BLOCK_ROWS = 200_000
 # Matching pairs of a join, estimated from so many keys of the probe side: in all, or per key. Crowds of alike keys exceed this.
 SAMPLE_KEYS = 500
@@ -120,6 +122,23 @@ def describe(keys: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
+def prepared(keys: DataFrame, pairs: float, others: DataFrame | None = None) -> DataFrame:
+    """Keys (ord, name_key) of three characters and more, as the joins below take them: with their fingerprints, or described where
+    so many pairs are at stake that signatures may be compared. Bigrams are ordered by how frequent they are in `others`."""
+    if pairs > FEW_PAIRS:
+        return describe(_spread(keys, "ord"), bigram_order(keys if others is None else others))
+    return _marked(_spread(keys.select("ord", "name_key", F.char_length("name_key").alias("n")).filter("n >= 3"), "ord"))
+
+
+def _both_described(probe: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their bigrams in one order."""
+    if "grams" in probe.columns and "grams" in index.columns:
+        return probe, index
+    order = bigram_order(index)
+    side = lambda rows: cut(describe(_spread(rows.select("ord", "name_key"), "ord"), order), "described")
+    return side(probe), side(index)
+
+
 def signature_width(size: int) -> int:
     return 1 if size <= SMALL_SET else 2
 
@@ -152,14 +171,14 @@ def signatures(described: DataFrame, width: int = 1) -> DataFrame:
     return heads.select(F.explode(every).alias("sig"), *kept)
 
 
-def _agree(a: str, b: str, bigram_words: int = BIGRAM_WORDS) -> Column:
+def _agree(a: str, b: str) -> Column:
     """Lengths and fingerprints allow a match."""
     limit = f"{SLACK} * ({a}.n + {b}.n)"
     bits = lambda name, words: " + ".join(f"bit_count({a}.{name}{w} ^ {b}.{name}{w})" for w in range(words))
     return F.expr(
         f"1000 * abs({a}.n - {b}.n) < {limit}"
         f" AND 1000 * ({bits('l', LETTER_WORDS)}) < {limit}"
-        f" AND 1000 * ({bits('b', bigram_words)}) < 3 * {limit}"
+        f" AND 1000 * ({bits('b', BIGRAM_WORDS)}) < 3 * {limit}"
     )
 
 
@@ -246,8 +265,8 @@ def _few_comparisons(probes: int, keys: int, budget: int) -> bool:
     return probes * keys <= max(budget, PAIRS_PER_KEY * max(probes, keys))
 
 
-def affordable(probe: DataFrame, index: DataFrame, keys: int, budget: int, extra: Column | None = None) -> bool:
-    """Whether joining two sets of keys stays within the budgets; `keys` is the size of the index side.
+def affordable(probe: DataFrame, index: DataFrame, keys: int, budget: int, within: bool = False) -> bool:
+    """Whether joining two sets of keys stays within the budgets; `keys` is the size of the index side. `within`: both are one set.
 
     Dividing the index does not save comparisons; it helps where crowds of alike keys would be paired. How many pairs match is
     therefore estimated: a sample of the probe side meets the whole index side.
@@ -255,59 +274,69 @@ def affordable(probe: DataFrame, index: DataFrame, keys: int, budget: int, extra
     probes = probe.count()
     if not _few_comparisons(probes, keys, budget):
         return False
-    some, each = _sampled(probe.drop("grams"), probes)
-    condition = _plausible("x", "y") if extra is None else extra & _plausible("x", "y")
-    met = _spread(index.drop("grams"), "ord").alias("x").join(F.broadcast(some.alias("y")), condition)
-    return _few_matches(met.count() * each, keys, budget)
+    some, each = _sampled(probe, probes)
+    met = _compared(_marked(some), _spread(_marked(index), "ord"))
+    return _few_matches((met.filter("b < a") if within else met).count() * each, keys, budget)
 
 
 def self_affordable(described: DataFrame, keys: int, budget: int) -> bool:
-    return affordable(described, described, keys, budget, F.expr("x.ord < y.ord"))
+    return affordable(described, described, keys, budget, within=True)
+
+
+def _few(probe: DataFrame, index: DataFrame) -> bool:
+    return float(probe.count()) * index.count() <= FEW_PAIRS
 
 
 def plainly(probe: DataFrame, index: DataFrame, width: int) -> bool:
-    """Whether comparing all pairs costs no more than the signature groups of both sides would."""
+    """Whether comparing all pairs of described keys costs no more than the signature groups of both sides would."""
     every = float(probe.count()) * index.count()
     return every <= FEW_PAIRS or every <= _group_pairs(signatures(probe, width), signatures(index, width))
 
 
-def _wide(described: DataFrame) -> DataFrame:
-    """Described keys with a fingerprint of their bigrams that is twice as wide."""
-    hashed = F.transform("grams", lambda g: F.pmod(F.xxhash64(g), F.lit(1 << 40)))
-    wide = described.withColumn("_wh", hashed).withColumns(_fingerprint("_wh", WIDE_WORDS, "b"))
-    return wide.select("ord", "name_key", "n", *[f"l{w}" for w in range(LETTER_WORDS)], *[f"b{w}" for w in range(WIDE_WORDS)])
+def _marked(rows: DataFrame) -> DataFrame:
+    """Keys with the fingerprints of a comparison of all pairs."""
+    if MARKS[0] in rows.columns:
+        return rows.select("ord", "name_key", "n", *MARKS)
+    return rows.select("ord", "name_key", "n").mapInArrow(fingerprints, MARKED)
+
+
+def _compared(index: DataFrame, probe: DataFrame, within: bool = False) -> DataFrame:
+    """Matching pairs of two sets of keys with fingerprints; the index side `a` is sent to all tasks, the probe side `b` stays dealt."""
+    shared = index.sparkSession.sparkContext.broadcast(Names.read(index.toArrow()))
+    found = probe.mapInArrow(comparison(shared, SLACK, within), FOUND)
+    return found.filter(F.col("sure") | alike("ka", "kb")).select("a", "b")
 
 
 def plain_pairs(probe: DataFrame, index: DataFrame, within: bool = False, block_rows: int | None = None) -> DataFrame:
     """Matching pairs by comparing all: index side `a`, probe side `b`. `within`: both are one set, `a` is the earlier key.
 
-    The probe side stays dealt to all tasks. The index side is broadcast in blocks, one after the other, so memory follows the
-    block, not the table.
+    The probe side stays dealt to all tasks, by length, so that a task meets few lengths. The index side is sent to them in
+    blocks, one after the other, so memory follows the block, not the table.
     """
-    xs = cut(_wide(index), "plain")
-    ys = _spread(xs if within else cut(_wide(probe), "plain"), "ord")
+    xs = cut(_marked(index), "plain")
+    ys = xs if within else _marked(probe)
+    ys = ys.repartitionByRange(int(ys.sparkSession.conf.get("spark.sql.shuffle.partitions")), "n", "ord")
     blocks = max(1, -(-xs.count() // (block_rows or BLOCK_ROWS)))
-    condition = _agree("x", "y", WIDE_WORDS)
-    if within:
-        condition = F.expr("x.ord < y.ord") & condition
-    # A random part keeps the distance out of the join: in its condition, the texts of all pairs would be read.
-    near = F.expr(f"levenshtein(x.name_key, y.name_key, {_limit('x', 'y')}) > rand(0) - 1")
-    parts = []
-    for i in range(blocks):
-        block = xs.filter(F.pmod(F.xxhash64("ord"), F.lit(blocks)) == i) if blocks > 1 else xs
-        found = _verified(ys.alias("y").join(F.broadcast(block.alias("x")), condition).filter(near))
-        parts.append(cut(found, "block") if blocks > 1 else found)
+    if blocks == 1:
+        return _compared(xs, ys, within)
+    parts = [cut(_compared(xs.filter(F.pmod(F.xxhash64("ord"), F.lit(blocks)) == i), ys, within), "block") for i in range(blocks)]
     return reduce(DataFrame.unionByName, parts)
 
 
 def matching_pairs(probe: DataFrame, index: DataFrame, width: int) -> DataFrame:
-    """Matching pairs between two sets of described keys, the cheaper way: index side `a`, probe side `b`."""
+    """Matching pairs between two sets of prepared keys, the cheaper way: index side `a`, probe side `b`."""
+    if _few(probe, index):
+        return plain_pairs(probe, index)
+    probe, index = _both_described(probe, index)
     return plain_pairs(probe, index) if plainly(probe, index, width) else probe_pairs(probe, index, width)
 
 
-def matching_self(described: DataFrame, width: int, small: bool) -> DataFrame:
-    """Matching pairs within one set of described keys, the cheaper way: later `b`, earlier `a`."""
-    return plain_pairs(described, described, within=True) if plainly(described, described, width) else self_pairs(described, width, small)
+def matching_self(keys: DataFrame, width: int, small: bool) -> DataFrame:
+    """Matching pairs within one set of prepared keys, the cheaper way: later `b`, earlier `a`."""
+    if _few(keys, keys):
+        return plain_pairs(keys, keys, within=True)
+    keys, _ = _both_described(keys, keys)
+    return plain_pairs(keys, keys, within=True) if plainly(keys, keys, width) else self_pairs(keys, width, small)
 
 
 def probe_pairs(probe: DataFrame, index: DataFrame, width: int = 1, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -339,9 +368,8 @@ def first_match(
     """
     # Equal keys need no similarity join.
     same = probe.alias("p").join(index.alias("i"), "name_key").select(F.col("p.ord").alias("ord"), F.col("i.ord").alias("equal"))
-    order = bigram_order(index)
-    rest = cut(describe(_spread(probe, "ord"), order), "probe")
-    todo = cut(describe(_spread(index, "ord"), order), "index")
+    pairs = float(probe.count()) * index.count()
+    rest, todo = cut(prepared(probe, pairs, index), "probe"), cut(prepared(index, pairs, index), "index")
     left = todo.count()
     width = signature_width(max(left, rest.count()))
     found, chunk = [], first_chunk

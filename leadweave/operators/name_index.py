@@ -22,13 +22,16 @@ from ..functions.names import alike, sorted_tokens
 from ..session import cut
 from ..sources.tables import finished_versions
 from .fuzzy import (
-    BROADCAST_ROWS, FEW_PAIRS, FINGERPRINTS, PAIR_BUDGET, _few_comparisons, _few_matches, _group_pairs, _plausible, _sampled, _shuffled, _spread, bigram_order, describe, first_match, signature_width, signatures,
+    BROADCAST_ROWS, FINGERPRINTS, PAIR_BUDGET, _few_comparisons, _few_matches, _group_pairs, _plausible, _sampled, _shuffled, _spread, bigram_order, describe, first_match, signature_width, signatures,
 )
 
 BUCKETS = 64
 # Names for which pairs of bigrams are used as signatures from the start.
 WIDE_FROM = 30_000
 WHOLE = "whole"
+# So many pairs in signature groups are always compared there; more of them only where they are fewer than `PAIR_COST` of all pairs,
+# since a pair of a group costs as much as many pairs of a comparison of all.
+FEW_PAIRS, PAIR_COST = 100_000_000, 0.05
 
 
 def _names(rows: DataFrame) -> DataFrame:
@@ -95,9 +98,9 @@ class NameIndex:
         return rows if touched is None else rows.filter(F.col("bucket").isin(touched))
 
     def _affordable(self, ps: DataFrame, xs: DataFrame, probes: int, names: int, budget: int) -> bool:
-        """Whether the signature groups hold no more than all pairs, and a sample of the probe matches within the budgets."""
+        """Whether the signature groups hold far fewer pairs than there are, and a sample of the probe matches within the budgets."""
         pairs = _group_pairs(ps, xs)
-        if pairs > FEW_PAIRS and pairs > float(probes) * names or not _few_comparisons(probes, names, budget):
+        if pairs > FEW_PAIRS and pairs > PAIR_COST * probes * names or not _few_comparisons(probes, names, budget):
             return False
         some, each = _sampled(ps, probes)
         met = xs.alias("x").join(F.broadcast(some.alias("y")), F.expr("x.sig = y.sig") & _plausible("x", "y"))

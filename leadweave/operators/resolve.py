@@ -18,6 +18,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,18 +27,22 @@ from ..functions.hosts import host
 from ..functions.names import company_key, sorted_tokens
 from ..session import cut, discard, lookup
 from .fuzzy import (
-    BROADCAST_ROWS, PAIR_BUDGET, SMALL_SET, _next_chunk, _spread, bigram_order, describe, matching_pairs, matching_self, self_affordable, signature_width,
+    BROADCAST_ROWS, PAIR_BUDGET, SMALL_SET, _next_chunk, matching_pairs, matching_self, prepared, self_affordable, signature_width,
 )
 
 FIRST_BATCH = 100_000
+# So many matching pairs (16 bytes each) are decided by the driver.
+FEW_EDGES = 2_000_000
 
 
 def greedy_leaders(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(ord, leader) for every node, given matching pairs (a earlier, b later).
 
     Each round decides every node whose earlier neighbours allow it: none left undecided or leading
-    -> leader; the earliest leading one precedes all undecided ones -> follower.
+    -> leader; the earliest leading one precedes all undecided ones -> follower. Few pairs are decided in order, without rounds.
     """
+    if edges.count() <= FEW_EDGES:
+        return cut(nodes.select("ord").join(_decided_in_order(edges), "ord", "left").select("ord", F.coalesce("leader", "ord").alias("leader")), "leaders")
     late = edges.select(F.col("b").alias("ord")).distinct()
     state = nodes.select("ord").join(late.withColumn("_late", F.lit(True)), "ord", "left").select(
         "ord", F.when(F.col("_late"), F.lit(None).cast("bigint")).otherwise(F.col("ord")).alias("leader")
@@ -64,10 +70,22 @@ def greedy_leaders(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return state
 
 
+def _decided_in_order(edges: DataFrame) -> DataFrame:
+    """(ord, leader) of the followers."""
+    table = edges.select("a", "b").toArrow()  # at most FEW_EDGES rows
+    a, b = (np.asarray(table[c]).astype(np.int64) for c in ("a", "b"))
+    leader, order = {}, np.lexsort((a, b))
+    for earlier, later in zip(a[order].tolist(), b[order].tolist()):  # the pairs of a node, earliest first, after those of all nodes before it
+        if earlier not in leader:
+            leader.setdefault(later, earlier)
+    rows = pa.table({"ord": pa.array(list(leader), pa.int64()), "leader": pa.array(list(leader.values()), pa.int64())})
+    return edges.sparkSession.createDataFrame(rows, "ord bigint, leader bigint")
+
+
 def key_leaders(keys: DataFrame, first_batch: int = FIRST_BATCH, budget: int = PAIR_BUDGET) -> DataFrame:
     """(ord, leader) for distinct non-blank name keys (ord, name_key)."""
     short = keys.filter(F.char_length("name_key") < 3).select("ord", F.col("ord").alias("leader"))
-    todo = cut(describe(_spread(keys, "ord"), bigram_order(keys)), "keys")
+    todo = cut(prepared(keys, float(keys.count()) ** 2), "keys")
     left = todo.count()
     width = signature_width(min(left, first_batch))
     parts, batch = [short], first_batch
@@ -130,7 +148,7 @@ def revise_leaders(decided: DataFrame, keys: DataFrame, first_batch: int = FIRST
             raise RuntimeError("open keys must move on")  # see above: cannot happen
         seen = counted["least"]
         if described is None:
-            described, width = cut(describe(_spread(keys, "ord"), bigram_order(keys)), "keys"), signature_width(counted["all"])
+            described, width = cut(prepared(keys, float(counted["all"]) * counted["n"]), "keys"), signature_width(counted["all"])
         part = lambda condition: described.join(state.filter(condition).select("ord"), "ord", "left_semi")  # noqa: E731, B023
         undecided = cut(part(is_open), "open")
         met = matching_pairs(part(F.col("leader") == F.col("ord")), undecided, width).filter("b < a")

@@ -517,9 +517,9 @@ def name_keys(spark, sf) -> DataFrame:
   SELECT a, b FROM near WHERE {Q.match('ka', 'kb')}""")
 def join_fuzzy_names(spark, sf):
     keys = cut(name_keys(spark, sf), "keys")
-    described = cut(fuzzy.describe(keys, fuzzy.bigram_order(keys)), "keys")
-    number = described.count()
-    return fuzzy.matching_self(described, fuzzy.signature_width(number), small=number <= fuzzy.SMALL_SET)
+    number = keys.count()
+    prepared = cut(fuzzy.prepared(keys, float(number) ** 2), "keys")
+    return fuzzy.matching_self(prepared, fuzzy.signature_width(number), small=number <= fuzzy.SMALL_SET)
 
 
 @query(f"""WITH RECURSIVE k AS MATERIALIZED (SELECT {Q.tokens(Q.company_key('company_name'))} AS key, min(seq) AS ord FROM {S} s GROUP BY 1 HAVING key <> ''),
